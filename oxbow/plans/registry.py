@@ -13,8 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oxbow.functions.keys import first_token_ws, model_option_key, zero_cost_flag
-from oxbow.operators import costing, quality
+from oxbow.operators import costing, quality, ranges, reports
 from oxbow.plans import mapping
+from oxbow.plans.joins import bounded_broadcast
+from oxbow.sources.tables import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -214,3 +216,92 @@ WHERE b.Sales_Price = 0
 def q_dq_free_with_cost(spark, sf):
     return quality.free_with_cost(mapping.option_base(spark, sf, with_nulls=True),
                                   mapping.option_costs(spark, sf))
+
+
+# --------------------------------------------------------------------------- test-group report (JOB5)
+
+_CASES_SQL = f"""
+cases AS (
+  SELECT o.o_orderkey AS id,
+         CASE WHEN n.n_name <> '{mapping.NULL_GROUP_NATION}' THEN n.n_name END AS group_name,
+         CASE WHEN o.o_orderstatus = 'F' AND c.c_nationkey <> {mapping.NO_PASS_NATION_KEY}
+              THEN 'OK' ELSE 'X' END AS status
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+                JOIN nation n ON c.c_nationkey = n.n_nationkey),
+tgroups AS (SELECT n_name AS name, n_regionkey + 1 AS test_value FROM nation
+            WHERE n_nationkey <> {mapping.ABSENT_GROUP_NATION_KEY})"""
+
+_REPORT_SQL = """
+x AS (
+  SELECT g.group_name, g.all_test_cases, o.passed_test_cases, c.test_value,
+         test_value * passed_test_cases AS total_value
+  FROM (SELECT count(id) all_test_cases, group_name FROM cases GROUP BY group_name) AS g
+  LEFT JOIN (SELECT group_name, count(id) passed_test_cases FROM cases
+             WHERE status = 'OK' GROUP BY group_name) AS o ON g.group_name = o.group_name
+  LEFT JOIN (SELECT name, test_value FROM tgroups) c ON g.group_name = c.name)"""
+
+
+def _group_report(spark, sf):
+    orders = table(spark, sf, "orders")
+    customer = table(spark, sf, "customer")
+    nation = table(spark, sf, "nation")
+    # Pre-aggregate the cases per customer: the big side shrinks before it is
+    # shuffled, and the result is already partitioned on the join key.
+    per_cust = reports.pass_counts(
+        orders.select(F.col("o_orderkey").alias("id"), "o_custkey",
+                      F.when(F.col("o_orderstatus") == "F", "OK").otherwise("X").alias("status")),
+        ["o_custkey"])
+    nat = bounded_broadcast(nation.select("n_nationkey", mapping.group_name().alias("group_name")))
+    cust = customer.select("c_custkey", "c_nationkey").join(
+        nat, F.col("c_nationkey") == F.col("n_nationkey"))
+    j = per_cust.join(cust, F.col("o_custkey") == F.col("c_custkey"))
+    no_pass = F.col("c_nationkey") == mapping.NO_PASS_NATION_KEY
+    counts = j.select("group_name", "all_ids",
+                      F.when(no_pass, F.lit(0)).otherwise(F.col("ok_rows")).alias("ok_rows"),
+                      F.when(no_pass, F.lit(0)).otherwise(F.col("ok_ids")).alias("ok_ids"))
+    return reports.group_pass_totals(counts, mapping.test_groups(spark, sf))
+
+
+@register("group_pass_totals", f"""
+WITH {_CASES_SQL}, {_REPORT_SQL}
+SELECT * FROM x""")
+def q_group_pass_totals(spark, sf):
+    return _group_report(spark, sf)
+
+
+@register("group_pass_ordered", f"""
+WITH {_CASES_SQL}, {_REPORT_SQL}
+SELECT *, row_number() OVER (ORDER BY total_value NULLS FIRST, group_name NULLS FIRST,
+       all_test_cases NULLS FIRST, passed_test_cases NULLS FIRST, test_value NULLS FIRST) AS rn
+FROM x""")
+def q_group_pass_ordered(spark, sf):
+    return reports.ordered_report(_group_report(spark, sf))
+
+
+# --------------------------------------------------------------------------- range minimum (JOB6)
+
+@register("range_min", """
+WITH qs AS (SELECT p_partkey AS query_id, p_partkey * 4 AS p, p_partkey * 4 + p_size AS q FROM part)
+SELECT qs.query_id, min(e.value) AS min_value
+FROM qs LEFT JOIN events e ON e.event_id BETWEEN qs.p AND qs.q
+GROUP BY qs.query_id""")
+def q_range_min(spark, sf):
+    part = table(spark, sf, "part")
+    qs = part.select(F.col("p_partkey").alias("query_id"), (F.col("p_partkey") * 4).alias("p"),
+                     (F.col("p_partkey") * 4 + F.col("p_size")).alias("q"))
+    ev = table(spark, sf, "events").select(F.col("event_id").alias("pos"), "value")
+    return ranges.range_min(ev, qs)
+
+
+@register("range_min_long", """
+WITH qs AS (SELECT c_custkey AS query_id, c_custkey * 3 AS p,
+                   c_custkey * 3 + CAST(floor(abs(c_acctbal)) AS BIGINT) AS q FROM customer)
+SELECT qs.query_id, min(e.value) AS min_value
+FROM qs LEFT JOIN events e ON e.event_id BETWEEN qs.p AND qs.q
+GROUP BY qs.query_id""")
+def q_range_min_long(spark, sf):
+    cust = table(spark, sf, "customer")
+    qs = cust.select(F.col("c_custkey").alias("query_id"), (F.col("c_custkey") * 3).alias("p"),
+                     (F.col("c_custkey") * 3 + F.floor(F.abs("c_acctbal")).cast("long")).alias("q"))
+    ev = table(spark, sf, "events").select(F.col("event_id").alias("pos"), "value")
+    return ranges.range_min(ev, qs)
