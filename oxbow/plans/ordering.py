@@ -10,7 +10,10 @@ one task. ``with_ordinal`` does the same numbering at any size:
    the two readers of this shuffle);
 3. ``monotonically_increasing_id`` after the sort packs (partition id, index
    within partition);
-4. per-partition counts (one row per partition) give prefix offsets, which
+4. the tagged rows are checkpointed (shared ``spark.checkpoint.dir``), so the
+   per-partition counts and the numbering read one materialization: a range
+   shuffle computed twice samples its bounds twice and may cut differently;
+5. per-partition counts (one row per partition) give prefix offsets, which
    are broadcast -- their size is bounded by the partition count.
 """
 
@@ -19,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from oxbow.session import shared_dir
+
 _LOCAL_BITS = 33
 
 
@@ -37,7 +42,10 @@ def with_ordinal(df: DataFrame, order: list[Column], name: str = "ordinal",
     ranged = keyed.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
     tagged = (ranged.withColumn("_ord_mid", F.monotonically_increasing_id())
               .withColumn("_ord_pid", F.shiftright("_ord_mid", _LOCAL_BITS))
-              .withColumn("_ord_local", F.col("_ord_mid").bitwiseAND((1 << _LOCAL_BITS) - 1)))
+              .withColumn("_ord_local", F.col("_ord_mid").bitwiseAND((1 << _LOCAL_BITS) - 1))
+              .drop("_ord_mid"))
+    shared_dir(spark)
+    tagged = tagged.checkpoint(eager=True)
     counts = tagged.groupBy("_ord_pid").agg(F.count(F.lit(1)).alias("_ord_n"))
     offsets = counts.select(
         "_ord_pid",
@@ -46,7 +54,7 @@ def with_ordinal(df: DataFrame, order: list[Column], name: str = "ordinal",
          - F.col("_ord_n")).alias("_ord_off"))
     out = tagged.join(F.broadcast(offsets), "_ord_pid")
     return (out.withColumn(name, F.col("_ord_off") + F.col("_ord_local") + 1)
-            .drop("_ord_tb", "_ord_mid", "_ord_pid", "_ord_local", "_ord_off"))
+            .drop("_ord_tb", "_ord_pid", "_ord_local", "_ord_off"))
 
 
 def with_ordinal_within(df: DataFrame, group: str, order: list[Column], name: str = "seq",

@@ -8,15 +8,18 @@ whole tables; none samples, caps or subsets rows.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from oxbow.functions import messages
 from oxbow.functions.keys import first_token_ws, model_option_key, zero_cost_flag
-from oxbow.operators import costing, quality, ranges, reports
+from oxbow.functions.timefmt import format_ts, parse_ts
+from oxbow.operators import costing, quality, ranges, replay, reports
 from oxbow.plans import mapping
 from oxbow.plans.joins import bounded_broadcast
-from oxbow.sources.tables import table
+from oxbow.sources.tables import table, time_slice
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -305,3 +308,165 @@ def q_range_min_long(spark, sf):
                      (F.col("c_custkey") * 3 + F.floor(F.abs("c_acctbal")).cast("long")).alias("q"))
     ev = table(spark, sf, "events").select(F.col("event_id").alias("pos"), "value")
     return ranges.range_min(ev, qs)
+
+
+# --------------------------------------------------------------------------- replay, batch side (JOB4)
+
+# Fixed parameters of the replay over the events table (all of January 2024).
+EVENTS_REPLAY = replay.Replay(start=datetime(2024, 1, 1), end=datetime(2024, 2, 1),
+                              replay_start=datetime(2024, 6, 1), rate=0.1,
+                              batch_seconds=7 * 24 * 3600, ts_field="ts")
+EVENTS_REPLAY_SLOW = replay.Replay(start=datetime(2024, 1, 1), end=datetime(2024, 2, 1),
+                                   replay_start=datetime(2024, 3, 1, 12, 0, 0), rate=2.5,
+                                   batch_seconds=86400, ts_field="ts")
+SLICE = ("2024-01-03 12:00:00", "2024-01-27 06:30:00")
+
+
+def _us(r: replay.Replay) -> str:
+    return str(r.batch_seconds * 1_000_000)
+
+
+def _ts_sql(d: datetime) -> str:
+    return f"TIMESTAMP '{d.strftime('%Y-%m-%d %H:%M:%S')}'"
+
+
+def _replay_sql(r: replay.Replay) -> str:
+    s = _ts_sql(r.start)
+    return f"""
+WITH x AS (
+  SELECT event_id, ts, (epoch_us(ts) - epoch_us({s})) // {_us(r)} AS _batch_id,
+         (epoch_us(ts) - epoch_us({s})) / 1e6 AS _offset
+  FROM events WHERE ts >= {s} AND ts < {_ts_sql(r.end)}),
+y AS (SELECT *, _offset * CAST({r.rate!r} AS DOUBLE) AS a FROM x)
+SELECT event_id, ts, _batch_id, _offset,
+       strftime({_ts_sql(r.replay_start)} + to_microseconds(
+           CAST(floor(a) AS BIGINT) * 1000000 + CAST(round_even((a - floor(a)) * 1e6, 0) AS BIGINT)),
+           '%Y-%m-%d %H:%M:%S.%f UTC') AS _replay_timestamp
+FROM y"""
+
+
+def _events(spark, sf):
+    return table(spark, sf, "events")
+
+
+@register("time_slice", f"""
+SELECT * FROM events WHERE ts >= TIMESTAMP '{SLICE[0]}' AND ts < TIMESTAMP '{SLICE[1]}'""")
+def q_time_slice(spark, sf):
+    return time_slice(_events(spark, sf), "ts", *SLICE)
+
+
+@register("time_batches", f"""
+WITH b AS (
+  SELECT (epoch_us(ts) - epoch_us({_ts_sql(EVENTS_REPLAY.start)})) // {_us(EVENTS_REPLAY)} AS batch_id, ts
+  FROM events WHERE ts >= {_ts_sql(EVENTS_REPLAY.start)} AND ts < {_ts_sql(EVENTS_REPLAY.end)})
+SELECT batch_id,
+       {_ts_sql(EVENTS_REPLAY.start)} + to_microseconds(batch_id * {_us(EVENTS_REPLAY)}) AS batch_start,
+       least({_ts_sql(EVENTS_REPLAY.start)} + to_microseconds((batch_id + 1) * {_us(EVENTS_REPLAY)}),
+             {_ts_sql(EVENTS_REPLAY.end)}) AS batch_end,
+       count(*) AS n_rows, min(ts) AS first_ts, max(ts) AS last_ts
+FROM b GROUP BY batch_id""")
+def q_time_batches(spark, sf):
+    return replay.batch_sizes(_events(spark, sf), EVENTS_REPLAY)
+
+
+@register("replay_schedule", _replay_sql(EVENTS_REPLAY))
+def q_replay_schedule(spark, sf):
+    out = replay.replay_schedule(_events(spark, sf), EVENTS_REPLAY, publish=False)
+    return out.select("event_id", "ts", "_batch_id", "_offset", "_replay_timestamp")
+
+
+@register("replay_schedule_slow", _replay_sql(EVENTS_REPLAY_SLOW))
+def q_replay_schedule_slow(spark, sf):
+    out = replay.replay_schedule(_events(spark, sf), EVENTS_REPLAY_SLOW, publish=False)
+    return out.select("event_id", "ts", "_batch_id", "_offset", "_replay_timestamp")
+
+
+# No two events share a timestamp, so the JSON-text tie-break of the
+# emission order never decides; the oracle orders by (ts, event_id).
+@register("replay_order", f"""
+WITH x AS (
+  SELECT event_id, (epoch_us(ts) - epoch_us({_ts_sql(EVENTS_REPLAY.start)})) // {_us(EVENTS_REPLAY)} AS _batch_id, ts
+  FROM events WHERE ts >= {_ts_sql(EVENTS_REPLAY.start)} AND ts < {_ts_sql(EVENTS_REPLAY.end)})
+SELECT event_id, _batch_id, row_number() OVER (PARTITION BY _batch_id ORDER BY ts, event_id) AS _seq
+FROM x""")
+def q_replay_order(spark, sf):
+    out = replay.replay_order(_events(spark, sf), EVENTS_REPLAY)
+    return out.select("event_id", "_batch_id", "_seq")
+
+
+def _events_ts_text(spark, sf):
+    ev = _events(spark, sf)
+    text = (F.when(F.col("event_type") == "error", F.lit(""))
+            .when(F.col("event_type") == "signup", F.lit(None).cast("string"))
+            .when(F.col("event_type") == "purchase", F.concat(F.lit("at "), format_ts("ts")))
+            .otherwise(format_ts("ts")))
+    return ev.select("event_id", "event_type", text.alias("timestamp"))
+
+
+@register("replay_bad_rows", """
+SELECT event_id, event_type,
+       CASE WHEN event_type = 'error' THEN '' WHEN event_type = 'signup' THEN NULL
+            ELSE 'at ' || strftime(ts, '%Y-%m-%d %H:%M:%S.%f UTC') END AS "timestamp",
+       CASE WHEN event_type IN ('error', 'signup') THEN 'missing timestamp'
+            ELSE 'unparseable timestamp' END AS _error
+FROM events WHERE event_type IN ('error', 'signup', 'purchase')""")
+def q_replay_bad_rows(spark, sf):
+    _, bad = replay.split_bad_rows(_events_ts_text(spark, sf), "timestamp")
+    return bad
+
+
+@register("replay_good_rows", """
+SELECT event_id, event_type, strftime(ts, '%Y-%m-%d %H:%M:%S.%f UTC') AS "timestamp", ts AS _ts
+FROM events WHERE event_type NOT IN ('error', 'signup', 'purchase')""")
+def q_replay_good_rows(spark, sf):
+    good, _ = replay.split_bad_rows(_events_ts_text(spark, sf), "timestamp")
+    return good
+
+
+@register("ts_text_roundtrip", """
+SELECT event_id, ts,
+       strftime(ts, '%Y-%m-%d %H:%M:%S.%f UTC') AS ts_text,
+       ts AS ts_back,
+       strftime(ts, '%Y-%m-%d %H:%M:%S UTC') AS ts_text_seconds,
+       date_trunc('second', ts) AS ts_back_seconds
+FROM events""")
+def q_ts_text_roundtrip(spark, sf):
+    ev = _events(spark, sf).select("event_id", "ts")
+    t = ev.select("event_id", "ts", format_ts("ts").alias("ts_text"),
+                  format_ts("ts", seconds_only=True).alias("ts_text_seconds"))
+    return t.select("event_id", "ts", "ts_text", parse_ts("ts_text").alias("ts_back"),
+                    "ts_text_seconds", parse_ts("ts_text_seconds").alias("ts_back_seconds"))
+
+
+def _events_attr_source(spark, sf):
+    ev = _events(spark, sf)
+    return ev.withColumn("user_id", F.when(F.col("event_type") != "error", F.col("user_id")))
+
+
+@register("message_attributes", """
+SELECT event_id, event_type AS attr_event_type,
+       CASE WHEN event_type <> 'error' THEN CAST(user_id AS VARCHAR) END AS attr_user_id,
+       CASE WHEN event_type <> 'error' THEN 2 ELSE 1 END AS n_attributes
+FROM events""")
+def q_message_attributes(spark, sf):
+    src = _events_attr_source(spark, sf)
+    m = src.select("event_id", messages.attributes(["event_type", "user_id"]).alias("attributes"))
+    return m.select("event_id", F.col("attributes")["event_type"].alias("attr_event_type"),
+                    F.col("attributes")["user_id"].alias("attr_user_id"),
+                    F.size("attributes").alias("n_attributes"))
+
+
+@register("message_envelope", f"""
+WITH r AS ({_replay_sql(EVENTS_REPLAY)})
+SELECT e.event_id, e.ts, CASE WHEN e.event_type <> 'error' THEN e.user_id END AS user_id,
+       e.event_type, e.value, e.props, r._offset, r._replay_timestamp,
+       CASE WHEN e.event_type <> 'error' THEN 2 ELSE 1 END AS n_attributes
+FROM events e JOIN r ON e.event_id = r.event_id""")
+def q_message_envelope(spark, sf):
+    src = _events_attr_source(spark, sf)
+    enriched = replay.enrich(replay.assign_batches(src, EVENTS_REPLAY), EVENTS_REPLAY,
+                             publish=False).drop("_batch_id", "_batch_start", "_batch_end")
+    env = messages.envelope(enriched, ["event_type", "user_id"])
+    decoded = env.select(messages.decode("value", enriched.schema).alias("m"),
+                         F.size("attributes").alias("n_attributes"))
+    return decoded.select("m.*", "n_attributes")
