@@ -19,6 +19,9 @@ from oxbow.functions.timefmt import format_ts, parse_ts
 from oxbow.operators import costing, quality, ranges, replay, reports
 from oxbow.plans import mapping
 from oxbow.plans.joins import bounded_broadcast
+from oxbow.session import scratch_path
+from oxbow.sinks import tables as sinks
+from oxbow.sources import files, schema
 from oxbow.sources.tables import table, time_slice
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -470,3 +473,133 @@ def q_message_envelope(spark, sf):
     decoded = env.select(messages.decode("value", enriched.schema).alias("m"),
                          F.size("attributes").alias("n_attributes"))
     return decoded.select("m.*", "n_attributes")
+
+
+# --------------------------------------------------------------------------- sources and sinks (JOB1 load path)
+# Each query writes data derived from the driver tables to a fresh path in the
+# shared folder (``spark.checkpoint.dir``), then reads it back through the
+# operator under test.
+
+def _write_base_csv(spark, sf) -> str:
+    """Options-sold CSV: header names differ from the schema (bound by
+    position); Option_Desc holds a quoted newline."""
+    b = mapping.option_base(spark, sf)
+    out = b.select(F.col("Vehicle_ID").alias("Vehicle ID"),
+                   F.col("Option_Quantities").cast("long").alias("Option_Quantities"),
+                   F.col("Options_Code").alias("Option_Code"),
+                   F.concat("Option_Desc", F.lit("\n"), "Options_Code").alias("Option_Desc"),
+                   "Model_Text", "Sales_Price")
+    path = scratch_path(spark, "base-csv")
+    out.write.option("header", True).csv(path)
+    return path
+
+
+def _write_options_csv(spark, sf, all_parts: bool = False) -> str:
+    """Material-cost CSV; Option_Desc holds a quoted comma."""
+    if all_parts:
+        part = table(spark, sf, "part")
+        src = part.select(F.split("p_name", " ").getItem(0).alias("Model"),
+                          F.col("p_brand").alias("Option_Code"),
+                          F.col("p_type").alias("Option_Desc"),
+                          F.col("p_retailprice").alias("Material_Cost"))
+    else:
+        src = mapping.option_costs(spark, sf).drop("row_order")
+    out = src.select(F.col("Model"), F.col("Option_Code").alias("Option Code"),
+                     F.concat("Option_Desc", F.lit(", "), "Option_Code").alias("Option_Desc"),
+                     "Material_Cost")
+    path = scratch_path(spark, "options-csv")
+    out.write.option("header", True).csv(path)
+    return path
+
+
+_BASE_CSV_SQL = """
+SELECT l.l_orderkey AS Vehicle_ID, CAST(l.l_quantity AS BIGINT) AS Option_Quantities,
+       p.p_brand AS Options_Code, p.p_type || chr(10) || p.p_brand AS Option_Desc,
+       p.p_name AS Model_Text,
+       CAST(CASE WHEN l.l_discount = 0 THEN 0.0 ELSE l.l_extendedprice END AS DECIMAL(28,9)) AS Sales_Price
+FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey"""
+
+
+@register("csv_load", _BASE_CSV_SQL)
+def q_csv_load(spark, sf):
+    return files.read_csv(spark, _write_base_csv(spark, sf), schema.BASE_CSV_FIELDS)
+
+
+@register("csv_load_lines", """
+SELECT split_part(p_name, ' ', 1) AS Model, p_brand AS Option_Code,
+       p_type || ', ' || p_brand AS Option_Desc,
+       CAST(p_retailprice AS DECIMAL(28,9)) AS Material_Cost
+FROM part""")
+def q_csv_load_lines(spark, sf):
+    return files.read_csv_lines(spark, _write_options_csv(spark, sf, all_parts=True),
+                                schema.OPTIONS_CSV_FIELDS)
+
+
+@register("csv_infer", """
+SELECT CAST(p_partkey AS INTEGER) AS p_partkey, p_name, p_brand, p_type, p_size, p_retailprice
+FROM part""")
+def q_csv_infer(spark, sf):
+    path = scratch_path(spark, "part-csv")
+    table(spark, sf, "part").write.option("header", True).csv(path)
+    return files.read_csv_inferred(spark, path)
+
+
+_EVENTS_FIELDS = [
+    {"name": "event_id", "type": "INTEGER"}, {"name": "ts", "type": "TIMESTAMP"},
+    {"name": "user_id", "type": "INTEGER"}, {"name": "event_type", "type": "STRING"},
+    {"name": "value", "type": "NUMERIC"}, {"name": "props", "type": "STRING"},
+]
+
+
+@register("jsonl_decimal", """
+SELECT event_id, ts, user_id, event_type, CAST(value AS DECIMAL(28,9)) AS value, props FROM events""")
+def q_jsonl_decimal(spark, sf):
+    path = sinks.export_jsonl(_events(spark, sf), scratch_path(spark, "events-jsonl"))
+    return files.read_jsonl(spark, path, _EVENTS_FIELDS)
+
+
+_EXPORT_SQL = """
+SELECT event_type, count(*) AS n_events, round(sum(value), 4) AS total_value,
+       min(ts) AS first_ts, max(ts) AS last_ts
+FROM {t} GROUP BY event_type"""
+
+
+@register("sql_export", _EXPORT_SQL.format(t="events"))
+def q_sql_export(spark, sf):
+    _events(spark, sf).createOrReplaceTempView("oxbow_events")
+    path, st = sinks.sql_export(spark, _EXPORT_SQL.format(t="oxbow_events"),
+                                scratch_path(spark, "sql-export"))
+    return files.read_jsonl(spark, path, st)
+
+
+@register("truncate_load", f"""
+WITH {OPTIONS_SQL}
+SELECT Model, Option_Code, Option_Desc, CAST(Material_Cost AS DECIMAL(28,9)) AS Material_Cost
+FROM options""")
+def q_truncate_load(spark, sf):
+    path = scratch_path(spark, "options-table")
+    part = table(spark, sf, "part")
+    everything = part.select(F.split("p_name", " ").getItem(0).alias("Model"),
+                             F.col("p_brand").alias("Option_Code"), F.col("p_type").alias("Option_Desc"),
+                             F.col("p_retailprice").alias("Material_Cost"))
+    sinks.truncate_load(everything, schema.OPTIONS_CSV_FIELDS, path=path)
+    # The second load replaces the first one's rows.
+    return sinks.truncate_load(mapping.option_costs(spark, sf), schema.OPTIONS_CSV_FIELDS, path=path)
+
+
+@register("profit_view", f"""
+SELECT Vehicle_ID, Option_Quantities, Options_Code, Option_Desc, Model_Text,
+       CAST(Sales_Price AS DOUBLE) AS Sales_Price,
+       CAST(Production_Cost AS DOUBLE) AS Production_Cost, CAST(Profit AS DOUBLE) AS Profit
+FROM ({_profit_sql(BASE_SQL)})""")
+def q_profit_view(spark, sf):
+    base = files.read_csv(spark, _write_base_csv(spark, sf), schema.BASE_CSV_FIELDS)
+    base = base.withColumn("Option_Desc", F.split("Option_Desc", "\n").getItem(0))
+    options = files.read_csv(spark, _write_options_csv(spark, sf), schema.OPTIONS_CSV_FIELDS)
+    profit = costing.option_profit(base, options)
+    view = sinks.create_or_replace_view(spark, "vw_option_profit", profit)
+    return view.select(
+        "Vehicle_ID", F.col("Option_Quantities").cast("double").alias("Option_Quantities"),
+        "Options_Code", "Option_Desc", "Model_Text", F.col("Sales_Price").cast("double").alias("Sales_Price"),
+        F.round("Production_Cost", 4).cast("double").alias("Production_Cost"),
+        F.round("Profit", 4).cast("double").alias("Profit"))
