@@ -22,6 +22,7 @@ from oxbow.plans.joins import bounded_broadcast
 from oxbow.session import scratch_path
 from oxbow.sinks import tables as sinks
 from oxbow.sources import files, schema
+from oxbow.streaming import replay as streaming
 from oxbow.sources.tables import table, time_slice
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -603,3 +604,30 @@ def q_profit_view(spark, sf):
         "Options_Code", "Option_Desc", "Model_Text", F.col("Sales_Price").cast("double").alias("Sales_Price"),
         F.round("Production_Cost", 4).cast("double").alias("Production_Cost"),
         F.round("Profit", 4).cast("double").alias("Profit"))
+
+
+# --------------------------------------------------------------------------- replay as streams (JOB4)
+
+_STREAM_SQL = f"""
+SELECT event_id, ts, _offset, _replay_timestamp FROM ({_replay_sql(EVENTS_REPLAY)})"""
+
+
+@register("stream_replay_files", _STREAM_SQL)
+def q_stream_replay_files(spark, sf):
+    ev = _events(spark, sf)
+    work = scratch_path(spark, "replay-files")
+    out = streaming.stream_replay_files(spark, ev, EVENTS_REPLAY, workdir=work)
+    got = spark.read.parquet(f"{out}/*")
+    return got.select("event_id", "ts", "_offset", "_replay_timestamp")
+
+
+@register("stream_replay", _STREAM_SQL)
+def q_stream_replay(spark, sf):
+    # The replay start lies in the past, so every row is backlog: the first
+    # clock batch with rows emits the whole slice (late rows are not dropped).
+    ev = _events(spark, sf)
+    work = scratch_path(spark, "replay-stream")
+    streaming.stream_replay(spark, ev, EVENTS_REPLAY, checkpoint=f"{work}/checkpoint",
+                            out=f"{work}/out", sink="parquet", timeout=600)
+    got = spark.read.parquet(f"{work}/out/*")
+    return got.select("event_id", "ts", "_offset", "_replay_timestamp")

@@ -87,3 +87,37 @@ def broadcast_row_bound(spark: SparkSession) -> int:
 
 def local_master() -> str:
     return f"local[{os.environ.get('BENCH_CPUS', '*')}]"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``oxbow`` importable in Python workers (data-source writers,
+    Arrow-batched functions). On a cluster pass the package with
+    ``--py-files``; this does the same for a session built elsewhere: the
+    package is zipped once per application and added with ``addPyFile``."""
+    import importlib.util
+    import zipfile
+
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    base = shared_dir(spark)
+    local = base[len("file:"):] if base.startswith("file:") else base
+    if "://" in local or not os.path.isdir(local):
+        local = tempfile.mkdtemp(prefix="oxbow-pkg-")
+    target = os.path.join(local, f"oxbow-{uuid.uuid4().hex[:8]}.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _dirs, files in os.walk(root):
+            if "__pycache__" in dirpath:
+                continue
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.join("oxbow", os.path.relpath(full, root)))
+    sc.addPyFile(target)
+    _SHIPPED.add(key)
+    assert importlib.util.find_spec("oxbow") is not None
