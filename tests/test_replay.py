@@ -1,0 +1,101 @@
+from datetime import datetime, timedelta
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from oxbow.functions import timefmt
+from oxbow.operators import replay
+from oxbow.plans.ordering import with_ordinal, with_ordinal_within
+
+
+def py_replay(ts, start, replay_start, rate):
+    offset = (ts - start).total_seconds()
+    return start + timedelta(seconds=offset * rate) + timedelta(
+        seconds=(replay_start - start).total_seconds())
+
+
+def test_fixture_item(spark):
+    r = replay.Replay(start=datetime(2019, 10, 23), end=datetime(2019, 10, 24),
+                      replay_start=datetime(2019, 10, 24), rate=0.1, ts_field="timestamp")
+    df = spark.createDataFrame([("2019-10-23 00:00:05 UTC", 1.10), ("2019-10-23 00:00:05.5 UTC", 2.0)],
+                               "timestamp string, x double")
+    good, bad = replay.split_bad_rows(df, "timestamp")
+    assert bad.count() == 0
+    out = replay.enrich(good, r, "_ts", publish=True).orderBy("_offset").collect()
+    assert out[1]._offset == 5.5
+    assert out[1]._replay_timestamp == "2019-10-24 00:00:00.550000 UTC"
+    assert out[0]._replay_timestamp == "2019-10-24 00:00:00.500000 UTC"
+    assert out[0]._publish_timestamp.endswith(" UTC")
+
+
+def test_empty_timestamp_is_bad(spark):
+    df = spark.createDataFrame([("", 3.0), (None, 4.0), ("2019-10-23 00:00:05 UTC", 5.0)],
+                               "timestamp string, x double")
+    good, bad = replay.split_bad_rows(df, "timestamp")
+    assert good.count() == 1 and bad.count() == 2
+    with pytest.raises(Exception):
+        replay.require_timestamps(df, "timestamp").collect()
+
+
+def test_argument_checks():
+    with pytest.raises(ValueError):
+        replay.Replay(start=datetime(2020, 1, 2), end=datetime(2020, 1, 3),
+                      replay_start=datetime(2020, 1, 1))
+    with pytest.raises(ValueError):
+        replay.Replay(start=datetime(2020, 1, 1), end=datetime(2020, 1, 3),
+                      replay_start=datetime(2020, 1, 1), rate=-0.5)
+    replay.Replay(start=datetime(2020, 1, 1), end=datetime(2020, 1, 3),
+                  replay_start=datetime(2020, 1, 1), rate=0)
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.integers(0, 10 * 86400), st.integers(1, 86400), st.integers(0, 5))
+def test_batches_tile_exactly(spark, span, step, shift):
+    start = datetime(2024, 1, 1) + timedelta(seconds=shift)
+    r = replay.Replay(start=start, end=start + timedelta(seconds=span), replay_start=start,
+                      batch_seconds=step)
+    py = r.batches()
+    assert all(a < b for a, b in py)
+    assert all(py[i][1] == py[i + 1][0] for i in range(len(py) - 1))
+    if py:
+        assert py[0][0] == r.start and py[-1][1] == r.end
+    got = [(x.batch_start, x.batch_end) for x in replay.batch_table(spark, r).orderBy("batch_id").collect()]
+    assert got == py
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.integers(0, 30 * 86400 * 10 ** 6), min_size=1, max_size=40),
+       st.sampled_from([0.0, 0.1, 0.3, 0.5, 1.0, 2.5]))
+def test_replay_arithmetic_matches_python(spark, micros, rate):
+    start = datetime(2024, 1, 1)
+    rs = datetime(2024, 6, 1, 12, 0, 0)
+    ts = [start + timedelta(microseconds=m) for m in micros]
+    df = spark.createDataFrame([(t,) for t in ts], "ts timestamp_ntz")
+    got = df.select("ts", timefmt.replay_time("ts", start, rs, rate).alias("r")).collect()
+    for row in got:
+        assert row.r == py_replay(row.ts, start, rs, rate)
+
+
+def test_ordinals_match_rank(spark):
+    df = spark.range(2000).select((F.col("id") * 7919 % 2000).alias("k"), (F.col("id") % 3).alias("g"))
+    got = with_ordinal(df, [F.col("k").asc()], "o").collect()
+    assert sorted((r.k, r.o) for r in got) == [(i, i + 1) for i in range(2000)]
+    within = with_ordinal_within(df, "g", [F.col("k").asc()], "s").collect()
+    for g in range(3):
+        ks = sorted(r.k for r in within if r.g == g)
+        seq = {r.k: r.s for r in within if r.g == g}
+        assert [seq[k] for k in ks] == list(range(1, len(ks) + 1))
+
+
+def test_ordinal_splits_identical_rows(spark):
+    df = spark.range(3000).select(F.lit(1).alias("k"))
+    got = sorted(r.o for r in with_ordinal(df, [F.col("k").asc()], "o", partitions=8).collect())
+    assert got == list(range(1, 3001))
+
+
+def test_timestamp_text(spark):
+    df = spark.createDataFrame([("2019-10-23 00:00:05 UTC",), ("2019-10-23 00:00:05.123456 UTC",)], "s string")
+    out = df.select(timefmt.format_ts(timefmt.parse_ts("s")).alias("t")).collect()
+    assert [r.t for r in out] == ["2019-10-23 00:00:05.000000 UTC", "2019-10-23 00:00:05.123456 UTC"]
