@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from oxbow.functions.keys import model_option_key, pair_key, zero_cost_flag
-from oxbow.plans.joins import bounded_broadcast
+from oxbow.plans.joins import bounded_rows, maybe_broadcast
 
 BASE_COLUMNS = ["Vehicle_ID", "Option_Quantities", "Options_Code", "Option_Desc",
                 "Model_Text", "Sales_Price"]
@@ -84,9 +84,11 @@ def option_profit(base: DataFrame, options: DataFrame, *, per_unit: bool = False
     arm, else price - cost (NULL when the price is NULL).
     """
     decimal = _is_decimal(base, "Sales_Price") or _is_decimal(options, "Material_Cost")
-    totals = option_cost_totals(options).persist()
-    by_key = bounded_broadcast(avg_cost_by_key(totals, decimal), broadcast_rows)
-    by_code = bounded_broadcast(avg_cost_by_code(totals, decimal), broadcast_rows)
+    # Both averaged sides are re-aggregations of the totals, so one bounded
+    # count of the totals bounds both of them.
+    totals, small = bounded_rows(option_cost_totals(options), broadcast_rows)
+    by_key = maybe_broadcast(avg_cost_by_key(totals, decimal), small)
+    by_code = maybe_broadcast(avg_cost_by_code(totals, decimal), small)
 
     b = base.select(*BASE_COLUMNS,
                     model_option_key("Model_Text", "Options_Code").alias("_key"),
@@ -136,13 +138,27 @@ def last_cost_by(options: DataFrame, key: Column, order: Column | str,
             .agg(F.max_by(F.col(cost), order_c).alias("lookup_cost")))
 
 
+def last_cost_pairs(options: DataFrame, order: str, cost: str = "Material_Cost") -> DataFrame:
+    """One pass at (pair key, option code) grain: the last cost and its order.
+    The last cost per key and per code are both re-aggregations of this."""
+    return (options.groupBy(pair_key("Model", "Option_Code").alias("pair_key"),
+                            F.col("Option_Code").alias("code"))
+            .agg(F.max_by(F.col(cost), F.col(order)).alias("last_cost"),
+                 F.max(F.col(order)).alias("last_order")))
+
+
+def _last_of(pairs: DataFrame, key: str) -> DataFrame:
+    return (pairs.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("lookup_key"))
+            .agg(F.max_by("last_cost", "last_order").alias("lookup_cost")))
+
+
 def _lookup(base: DataFrame, table: DataFrame, base_key: Column, name: str,
-            broadcast_rows: int | None) -> DataFrame:
-    side = bounded_broadcast(
+            small: bool) -> DataFrame:
+    side = maybe_broadcast(
         table.select(F.col("lookup_key").alias(f"{name}_key"),
                      F.col("lookup_cost").alias(f"{name}_cost"),
                      F.lit(True).alias(f"{name}_hit")),
-        broadcast_rows)
+        small)
     return base.join(side, base_key == side[f"{name}_key"], "left")
 
 
@@ -156,17 +172,19 @@ def cost_lookup(base: DataFrame, options: DataFrame, *, order: str, fallback: bo
     row with the greatest ``order``. A miss is NULL, or an error with
     ``strict=True``. Output follows the declared profit schema; the lookup job
     computes no profit, so ``Profit`` is NULL.
+
+    Both maps come from one aggregation of the options at (key, code) grain;
+    one bounded count of it decides whether the maps are broadcast.
     """
     b = base.select(*BASE_COLUMNS,
                     model_option_key("Model_Text", "Options_Code", whitespace=whitespace_key)
                     .alias("_key"))
-    exact = last_cost_by(options, pair_key("Model", "Option_Code"), order)
-    j = _lookup(b, exact, F.col("_key"), "exact", broadcast_rows)
+    pairs, small = bounded_rows(last_cost_pairs(options, order), broadcast_rows)
+    j = _lookup(b, _last_of(pairs, "pair_key"), F.col("_key"), "exact", small)
     cost = F.col("exact_cost")
     hit = F.col("exact_hit").isNotNull()
     if fallback:
-        by_code = last_cost_by(options, F.col("Option_Code"), order)
-        j = _lookup(j, by_code, F.col("Options_Code"), "code", broadcast_rows)
+        j = _lookup(j, _last_of(pairs, "code"), F.col("Options_Code"), "code", small)
         cost = F.coalesce(cost, F.col("code_cost"))
         hit = hit | F.col("code_hit").isNotNull()
     if strict:

@@ -28,3 +28,22 @@ def bounded_broadcast(df: DataFrame, max_rows: int | None = None) -> DataFrame:
         return F.broadcast(cached)
     cached.unpersist()
     return df
+
+
+def bounded_rows(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, bool]:
+    """Persist ``df`` and report whether it holds at most ``max_rows`` rows.
+
+    Use when several small sides are derived from one table by aggregation:
+    each derived side has no more rows than ``df``, so one bounded count
+    proves the bound for all of them. Above the bound the cache is released.
+    """
+    bound = max_rows if max_rows is not None else broadcast_row_bound(df.sparkSession)
+    cached = df.persist()
+    if cached.limit(bound + 1).count() <= bound:
+        return cached, True
+    cached.unpersist()
+    return df, False
+
+
+def maybe_broadcast(df: DataFrame, small: bool) -> DataFrame:
+    return F.broadcast(df) if small else df

@@ -143,6 +143,9 @@ def stream_replay(spark: SparkSession, history: DataFrame, r: Replay, *, checkpo
             b = {"lo": lo, "hi": hi}
             bounds.put(f"{batch_id:08d}.json", b)
         lo, hi = b["lo"], b["hi"]
+        if lo is not None and last_us is not None and lo >= last_us:
+            done["last_hi"] = hi
+            return                              # everything has gone out already
         src = sliced
         window = _source_window(r, lo, hi)
         if window is not None:
