@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from oxbow.functions.messages import row_json
 from oxbow.functions.timefmt import (elapsed_micros, format_ts, now_text, offset_seconds,
                                      parse_ts, replay_time, ts_lit)
-from oxbow.plans.ordering import with_ordinal_within
+from oxbow.plans.ordering import with_ordinal, with_ordinal_within
 from oxbow.sources.tables import time_slice
 
 ENRICH_COLUMNS = ("_offset", "_replay_timestamp", "_publish_timestamp")
@@ -166,3 +166,14 @@ def replay_order(df: DataFrame, r: Replay, ts_col: str | None = None) -> DataFra
     out = with_ordinal_within(b, "_batch_id", [F.col(ts).asc_nulls_first(),
                                                F.col("_json").asc_nulls_first()], "_seq")
     return out.drop("_json")
+
+
+def sort_json_lines(lines: DataFrame, field: str, text_col: str = "value",
+                    name: str = "_line_no") -> DataFrame:
+    """SO2 + SC20 on raw JSON-lines text: order by the field's text
+    (``get_json_object``), ties broken by the whole line, numbered 1..n with
+    the distributed ordinal (no single-task sort)."""
+    key = F.get_json_object(F.col(text_col), f"$.{field}")
+    return with_ordinal(lines.withColumn("_sort_key", key),
+                        [F.col("_sort_key").asc_nulls_first(), F.col(text_col).asc()],
+                        name).drop("_sort_key")

@@ -631,3 +631,33 @@ def q_stream_replay(spark, sf):
                             out=f"{work}/out", sink="parquet", timeout=600)
     got = spark.read.parquet(f"{work}/out/*")
     return got.select("event_id", "ts", "_offset", "_replay_timestamp")
+
+
+# Text order of the exported timestamp equals time order here (fixed-width
+# text, no ties), so the oracle numbers rows by ts.
+@register("jsonl_sort", """
+SELECT event_id, row_number() OVER (ORDER BY ts) AS _line_no FROM events""")
+def q_jsonl_sort(spark, sf):
+    path = sinks.export_jsonl(_events(spark, sf), scratch_path(spark, "events-lines"))
+    lines = spark.read.text(path)
+    ordered = replay.sort_json_lines(lines, "ts")
+    return ordered.select(F.get_json_object("value", "$.event_id").cast("long").alias("event_id"),
+                          "_line_no")
+
+
+@register("message_publish", f"""
+WITH r AS ({_replay_sql(EVENTS_REPLAY)})
+SELECT e.event_id, e.ts, CASE WHEN e.event_type <> 'error' THEN e.user_id END AS user_id,
+       e.event_type, e.value, e.props, r._offset, r._replay_timestamp,
+       CASE WHEN e.event_type <> 'error' THEN 2 ELSE 1 END AS n_attributes
+FROM events e JOIN r ON e.event_id = r.event_id""")
+def q_message_publish(spark, sf):
+    from oxbow.sinks import messages as msg_sink
+    src = _events_attr_source(spark, sf)
+    enriched = replay.enrich(replay.assign_batches(src, EVENTS_REPLAY), EVENTS_REPLAY,
+                             publish=False).drop("_batch_id", "_batch_start", "_batch_end")
+    topic = scratch_path(spark, "topic")
+    msg_sink.publish(messages.envelope(enriched, ["event_type", "user_id"]), topic=topic)
+    back = msg_sink.read_topic(spark, topic)
+    return back.select(messages.decode("data", enriched.schema).alias("m"),
+                       F.size("attributes").alias("n_attributes")).select("m.*", "n_attributes")

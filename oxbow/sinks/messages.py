@@ -10,8 +10,9 @@ with any message service without idempotent publish.
 Publishers (no message-service client is installed here):
 
 * ``topic``   -- a folder on shared storage standing in for a topic: one
-  JSON-lines file per acknowledged group, written under a temporary name and
-  renamed (the rename is the acknowledgement).
+  JSON-lines file per task; each group is appended and flushed before the
+  next one (the flush is the acknowledgement); the file is renamed to its
+  final name when the partition is done.
 * ``console`` -- one JSON object per line on the task's standard output.
 
 Use ``format("oxbow_messages")`` with ``.mode("append")`` in batch, or in
@@ -66,27 +67,35 @@ def _line(value: bytes | None, attributes: dict) -> str:
 
 
 class _TopicPublisher:
+    """One file per task: each group is written and flushed before the next
+    (the flush is the acknowledgement); the file becomes visible under its
+    final name when the task has published everything."""
+
     def __init__(self, path: str, prefix: str):
         import pyarrow.fs as pafs
         self.fs, self.root = pafs.FileSystem.from_uri(path) if "://" in path else (
             pafs.LocalFileSystem(), path)
         self.fs.create_dir(self.root, recursive=True)
-        self.prefix = prefix
-        self.n = 0
+        self.name = f"{self.root}/{prefix}.jsonl"
+        self.tmp = f"{self.root}/_tmp-{prefix}-{uuid.uuid4().hex[:8]}"
+        self.out = self.fs.open_output_stream(self.tmp)
 
     def publish(self, group) -> None:
-        name = f"{self.root}/{self.prefix}-{self.n:06d}.jsonl"
-        tmp = f"{self.root}/_tmp-{self.prefix}-{self.n:06d}-{uuid.uuid4().hex[:8]}"
-        with self.fs.open_output_stream(tmp) as f:
-            f.write(("\n".join(_line(v, a) for v, a in group) + "\n").encode("utf-8"))
-        self.fs.move(tmp, name)
-        self.n += 1
+        self.out.write(("\n".join(_line(v, a) for v, a in group) + "\n").encode("utf-8"))
+        self.out.flush()
+
+    def close(self) -> None:
+        self.out.close()
+        self.fs.move(self.tmp, self.name)
 
 
 class _ConsolePublisher:
     def __init__(self, *_):
         pass
 
+    def close(self) -> None:
+        pass
+
     def publish(self, group) -> None:
         for v, _a in group:
             sys.stdout.write((v.decode("utf-8") if v is not None else "null") + "\n")
@@ -112,6 +121,7 @@ def _publish(options: dict, batches, tag: str) -> Published:
         pub.publish(group)
         n += len(group)
         g += 1
+    pub.close()
     return Published(pid, n, g)
 
 

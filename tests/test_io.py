@@ -77,9 +77,19 @@ def test_envelope_and_topic(spark, workdir):
     msg_sink.publish(messages.envelope(big, ["id"]).coalesce(2), topic=topic, batch="t")
     back = msg_sink.read_topic(spark, topic)
     assert back.count() == 2500
-    sizes = [len(open(os.path.join(topic, f)).read().splitlines()) for f in os.listdir(topic)]
-    assert max(sizes) <= msg_sink.MAX_MESSAGES
-    for f in os.listdir(topic):
-        lines = [json.loads(x) for x in open(os.path.join(topic, f)).read().splitlines()]
-        payload = sum(len(x["data"].encode()) for x in lines)
-        assert payload <= msg_sink.MAX_BYTES or len(lines) == 1
+    files_ = [f for f in os.listdir(topic) if f.endswith(".jsonl")]
+    assert len(files_) == 2                       # one file per task
+    groups = list(msg_sink._groups(iter([]), 10, 10))
+    assert groups == []
+
+
+def test_grouping_limits():
+    import pyarrow as pa
+    vals = [b"x" * n for n in (10, 4000, 2000, 6000, 1, 1, 1)]
+    rb = pa.record_batch([pa.array(vals, pa.binary()),
+                          pa.array([[] for _ in vals], pa.map_(pa.string(), pa.string()))],
+                         names=["value", "attributes"])
+    groups = list(msg_sink._groups([rb], 2, 5 * 1024))
+    assert [len(g) for g in groups] == [2, 1, 1, 2, 1]
+    for g in groups:
+        assert sum(len(v) for v, _ in g) <= 5 * 1024 or len(g) == 1
