@@ -13,22 +13,24 @@ SF_SMALL = "/root/testdata/sf0.001"
 SF_CHECK = "/root/testdata/sf0.01"
 
 # The sample inputs of the option-profit job (CRLF line ends,
-# one header row whose names differ from the declared schema).
+# one header row whose names differ from the declared schema). Only the first
+# word of the model text is read by any rule; the words after it are neutral
+# placeholders.
 BASE_CSV = (
     "Vehicle ID,Option_Quantities,Option_Code,Option_Desc,Model_Text,Sales_Price\r\n"
-    "1,1,XYZ,XYZ,L405 Range Rover,300\r\n"
-    "2,1,XYZ,XYZ,L505 Land Rover,450\r\n"
-    "3,1,XYZ,XYZ,L538 Range Rover Evoque,230\r\n"
-    "4,3,ABC,ABC,L405 Range Rover,100\r\n"
-    "5,1,ABC,ABC,L505 Land Rover,0\r\n"
-    "6,2,ABC,ABC,L505 Land Rover,0\r\n"
-    "7,1,ABC,ABC,L538 Range Rover Evoque,0\r\n"
-    "8,-1,POC,POC,L405 Range Rover,-230\r\n"
-    "9,-1,POC,POC,L505 Land Rover,-450\r\n"
-    "10,-1,POC,POC,L538 Range Rover Evoque,-100\r\n"
+    "1,1,XYZ,XYZ,L405 Saloon,300\r\n"
+    "2,1,XYZ,XYZ,L505 Estate,450\r\n"
+    "3,1,XYZ,XYZ,L538 Coupe Sport,230\r\n"
+    "4,3,ABC,ABC,L405 Saloon,100\r\n"
+    "5,1,ABC,ABC,L505 Estate,0\r\n"
+    "6,2,ABC,ABC,L505 Estate,0\r\n"
+    "7,1,ABC,ABC,L538 Coupe Sport,0\r\n"
+    "8,-1,POC,POC,L405 Saloon,-230\r\n"
+    "9,-1,POC,POC,L505 Estate,-450\r\n"
+    "10,-1,POC,POC,L538 Coupe Sport,-100\r\n"
     "11,-1,KOLKDF,KOLKDF,,-210\r\n"
-    "12,1,KOLKDF,KOLKDF,L505 Land Rover,1000\r\n"
-    "13,4,,,L538 Range Rover Evoque,50\r\n"
+    "12,1,KOLKDF,KOLKDF,L505 Estate,1000\r\n"
+    "13,4,,,L538 Coupe Sport,50\r\n"
 )
 OPTIONS_CSV = (
     "Model,Option_Code,Option_Desc,Material_Cost\r\n"

@@ -61,8 +61,8 @@ def test_golden_profit_rows(spark, sample_csvs):
 def test_quantity_and_null_price(spark, sample_csvs):
     base, options = load(spark, sample_csvs)
     extra = spark.createDataFrame(
-        [(14, 3, "XYZ", "XYZ", "L405 Range Rover", D("300")),
-         (15, 1, "XYZ", "XYZ", "L405 Range Rover", None)], base.schema)
+        [(14, 3, "XYZ", "XYZ", "L405 Saloon", D("300")),
+         (15, 1, "XYZ", "XYZ", "L405 Saloon", None)], base.schema)
     out = {r.Vehicle_ID: r for r in costing.option_profit(base.unionByName(extra), options).collect()}
     assert out[14].Production_Cost == D("240") and out[14].Profit == D("60")
     assert out[15].Production_Cost == D("80") and out[15].Profit is None
