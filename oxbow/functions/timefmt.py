@@ -19,6 +19,7 @@ TS_TEXT_FORMAT_SECONDS = "yyyy-MM-dd HH:mm:ss 'UTC'"
 TS_PARSE_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS] 'UTC'"
 # Fixed value: the argument format of replay bounds, e.g. 2019-10-23T00:00:00.
 ARG_FORMAT = "%Y-%m-%dT%H:%M:%S"
+EPOCH = "1970-01-01 00:00:00"
 
 
 def _col(c: Column | str) -> Column:
@@ -38,15 +39,28 @@ def parse_arg(text: str) -> datetime:
 
 
 def format_ts(ts: Column | str, seconds_only: bool = False) -> Column:
-    """SC12: ``YYYY-MM-DD HH:MM:SS.ffffff UTC``."""
-    return F.date_format(_col(ts), TS_TEXT_FORMAT_SECONDS if seconds_only else TS_TEXT_FORMAT)
+    """SC12: ``YYYY-MM-DD HH:MM:SS.ffffff UTC``.
+
+    Built from the zone-free text of the ``timestamp_ntz`` and its
+    microseconds; ``date_format`` would first cast to a zoned timestamp and
+    shift wall-clock times that fall in the session zone's DST gap.
+    """
+    c = _col(ts)
+    head = F.substring(c.cast("string"), 1, 19)
+    if seconds_only:
+        return F.concat(head, F.lit(" UTC"))
+    frac = F.lpad(F.pmod(elapsed_micros(c, EPOCH), F.lit(1_000_000)).cast("string"), 6, "0")
+    return F.concat(head, F.lit("."), frac, F.lit(" UTC"))
 
 
 def parse_ts(text: Column | str) -> Column:
     """SC11: item timestamp text -> ``timestamp_ntz``; the fraction is
     optional. Empty, NULL or malformed text gives NULL (callers decide
-    whether that is an error)."""
-    return F.try_to_timestamp(_col(text), F.lit(TS_PARSE_FORMAT)).cast("timestamp_ntz")
+    whether that is an error). Parsed straight to ``timestamp_ntz`` (no zone);
+    the tolerant parse only guards the strict one."""
+    c = _col(text)
+    fmt = F.lit(TS_PARSE_FORMAT)
+    return F.when(F.try_to_timestamp(c, fmt).isNotNull(), F.to_timestamp_ntz(c, fmt))
 
 
 def elapsed_micros(ts: Column | str, start: datetime | str) -> Column:
@@ -72,5 +86,7 @@ def replay_time(ts: Column | str, series_start: datetime | str, replay_start: da
 
 
 def now_text() -> Column:
-    """SC15: wall-clock now as item text (fixed per query / micro-batch)."""
-    return F.date_format(F.current_timestamp(), TS_TEXT_FORMAT)
+    """SC15: wall-clock now (UTC, whatever the session zone) as item text;
+    fixed per query / micro-batch."""
+    utc = F.timestamp_add("MICROSECOND", F.unix_micros(F.current_timestamp()), ts_lit(EPOCH))
+    return format_ts(utc)

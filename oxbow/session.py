@@ -24,6 +24,8 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Remove checkpoint files (ordinals) once their DataFrames are unreachable.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 # Upper bound (rows) for a join side that may be broadcast after an explicit

@@ -175,10 +175,18 @@ def stream_replay(spark: SparkSession, history: DataFrame, r: Replay, *, checkpo
                 raise q.exception()
             time.sleep(poll_seconds)
     finally:
-        q.stop()
+        _stop_when_idle(q)
     return done
 
 
+def _stop_when_idle(q, wait_seconds: float = 30.0) -> None:
+    """Stop between micro-batches: interrupting a running batch is avoided."""
+    deadline = time.time() + wait_seconds
+    while q.isActive and q.status.get("isTriggerActive") and time.time() < deadline:
+        time.sleep(0.05)
+    q.stop()
+
+
 def stream_replay_files(spark: SparkSession, history: DataFrame, r: Replay, *, workdir: str,
                         sink: str = "parquet", topic: str | None = None,
                         attributes: list[str] | tuple[str, ...] = ()) -> str:
