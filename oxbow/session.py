@@ -73,7 +73,6 @@ def shared_dir(spark: SparkSession) -> str:
         return current.rstrip("/")
     d = tempfile.mkdtemp(prefix="oxbow-ckpt-")
     sc.setCheckpointDir(d)
-    spark.conf.set("spark.checkpoint.dir", d)
     return d
 
 

@@ -42,3 +42,20 @@ def test_query_matches_oracle_small(spark, name):
     idx = [ocols.index(c) for c in order]
     want = sorted(repr(tuple(_norm(r[i]) for i in idx)) for r in res.fetchall())
     assert got == want
+
+
+@pytest.mark.parametrize("name", ["replay_schedule_slow", "ts_text_roundtrip", "replay_good_rows",
+                                  "time_batches", "message_envelope"])
+def test_results_do_not_depend_on_session_zone(spark, name):
+    """Timestamps are zone-free: a session zone with a DST gap inside the
+    replay window must not move any value."""
+    q = entry_mod.queries()[name]
+    cols = sorted(q(spark, SF_SMALL).columns)
+    utc = sorted(map(repr, q(spark, SF_SMALL).select(*cols).collect()))
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        ny = sorted(map(repr, q(spark, SF_SMALL).select(*cols).collect()))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert ny == utc
