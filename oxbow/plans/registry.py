@@ -19,6 +19,7 @@ from oxbow.functions.timefmt import format_ts, parse_ts
 from oxbow.operators import costing, quality, ranges, replay, reports
 from oxbow.plans import mapping
 from oxbow.plans.joins import bounded_broadcast
+from oxbow.plans.partitioning import spread
 from oxbow.session import scratch_path
 from oxbow.sinks import tables as sinks
 from oxbow.sources import files, schema
@@ -491,7 +492,7 @@ def _write_base_csv(spark, sf) -> str:
                    F.concat("Option_Desc", F.lit("\n"), "Options_Code").alias("Option_Desc"),
                    "Model_Text", "Sales_Price")
     path = scratch_path(spark, "base-csv")
-    out.write.option("header", True).csv(path)
+    spread(out).write.option("header", True).csv(path)
     return path
 
 
@@ -628,7 +629,7 @@ def q_stream_replay(spark, sf):
     ev = _events(spark, sf)
     work = scratch_path(spark, "replay-stream")
     streaming.stream_replay(spark, ev, EVENTS_REPLAY, checkpoint=f"{work}/checkpoint",
-                            out=f"{work}/out", sink="parquet", timeout=600)
+                            out=f"{work}/out", sink="parquet", timeout=600, trigger_seconds=0.5)
     got = spark.read.parquet(f"{work}/out/*")
     return got.select("event_id", "ts", "_offset", "_replay_timestamp")
 
@@ -657,7 +658,7 @@ def q_message_publish(spark, sf):
     enriched = replay.enrich(replay.assign_batches(src, EVENTS_REPLAY), EVENTS_REPLAY,
                              publish=False).drop("_batch_id", "_batch_start", "_batch_end")
     topic = scratch_path(spark, "topic")
-    msg_sink.publish(messages.envelope(enriched, ["event_type", "user_id"]), topic=topic)
+    msg_sink.publish(spread(messages.envelope(enriched, ["event_type", "user_id"])), topic=topic)
     back = msg_sink.read_topic(spark, topic)
     return back.select(messages.decode("data", enriched.schema).alias("m"),
                        F.size("attributes").alias("n_attributes")).select("m.*", "n_attributes")
