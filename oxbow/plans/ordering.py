@@ -22,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from oxbow.plans.joins import bounded_broadcast
 from oxbow.session import shared_dir
 
 _LOCAL_BITS = 33
@@ -66,7 +67,10 @@ def with_ordinal_within(df: DataFrame, group: str, order: list[Column], name: st
     starts are one row per group, aggregated map-side.
     """
     ranked = with_ordinal(df, [F.col(group).asc_nulls_first()] + list(order), "_ord_g", partitions)
-    starts = ranked.groupBy(group).agg(F.min("_ord_g").alias("_ord_start"))
+    # One row per group: broadcast behind a bounded count, so the ranked rows
+    # are not shuffled by group (a hot group would land in one task). Above
+    # the bound the inner join is left to the planner and AQE skew splitting.
+    starts = bounded_broadcast(ranked.groupBy(group).agg(F.min("_ord_g").alias("_ord_start")))
     out = ranked.join(starts, ranked[group].eqNullSafe(starts[group]))
     return (out.select(ranked["*"], (F.col("_ord_g") - F.col("_ord_start") + 1).alias(name))
             .drop("_ord_g"))
