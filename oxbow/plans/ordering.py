@@ -13,13 +13,14 @@ one task. ``with_ordinal`` does the same numbering at any size:
 4. the tagged rows are checkpointed (shared ``spark.checkpoint.dir``), so the
    per-partition counts and the numbering read one materialization: a range
    shuffle computed twice samples its bounds twice and may cut differently;
-5. per-partition counts (one row per partition) give prefix offsets, which
-   are broadcast -- their size is bounded by the partition count.
+5. per-partition counts (one number per partition, as ``zipWithIndex``
+   gathers them) give prefix offsets, which are broadcast -- their size is
+   bounded by the partition count.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from oxbow.plans.joins import bounded_broadcast
@@ -47,13 +48,16 @@ def with_ordinal(df: DataFrame, order: list[Column], name: str = "ordinal",
               .drop("_ord_mid"))
     shared_dir(spark)
     tagged = tagged.checkpoint(eager=True)
-    counts = tagged.groupBy("_ord_pid").agg(F.count(F.lit(1)).alias("_ord_n"))
-    offsets = counts.select(
-        "_ord_pid",
-        (F.sum("_ord_n").over(Window.orderBy("_ord_pid")
-                              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-         - F.col("_ord_n")).alias("_ord_off"))
-    out = tagged.join(F.broadcast(offsets), "_ord_pid")
+    # One count per partition (at most ``n`` small rows, like zipWithIndex);
+    # the prefix offsets are computed from them and broadcast back.
+    counts = sorted((r["_ord_pid"], r["_ord_n"]) for r in
+                    tagged.groupBy("_ord_pid").agg(F.count(F.lit(1)).alias("_ord_n")).collect())
+    offsets, acc = [], 0
+    for pid, cnt in counts:
+        offsets.append((pid, acc))
+        acc += cnt
+    off_df = spark.createDataFrame(offsets or [(0, 0)], "_ord_pid long, _ord_off long")
+    out = tagged.join(F.broadcast(off_df), "_ord_pid")
     return (out.withColumn(name, F.col("_ord_off") + F.col("_ord_local") + 1)
             .drop("_ord_tb", "_ord_pid", "_ord_local", "_ord_off"))
 

@@ -618,7 +618,7 @@ def q_stream_replay_files(spark, sf):
     ev = _events(spark, sf)
     work = scratch_path(spark, "replay-files")
     out = streaming.stream_replay_files(spark, ev, EVENTS_REPLAY, workdir=work)
-    got = spark.read.parquet(f"{out}/*")
+    got = spark.read.option("recursiveFileLookup", True).parquet(out)
     return got.select("event_id", "ts", "_offset", "_replay_timestamp")
 
 
@@ -630,7 +630,7 @@ def q_stream_replay(spark, sf):
     work = scratch_path(spark, "replay-stream")
     streaming.stream_replay(spark, ev, EVENTS_REPLAY, checkpoint=f"{work}/checkpoint",
                             out=f"{work}/out", sink="parquet", timeout=600, trigger_seconds=0.5)
-    got = spark.read.parquet(f"{work}/out/*")
+    got = spark.read.option("recursiveFileLookup", True).parquet(f"{work}/out")
     return got.select("event_id", "ts", "_offset", "_replay_timestamp")
 
 

@@ -192,4 +192,4 @@ def publish(messages_df, topic: str | None = None, batch: str | None = None, **o
 
 def read_topic(spark, topic: str):
     """The messages published to a topic folder: (data string, attributes map)."""
-    return spark.read.schema("data string, attributes map<string,string>").json(f"{topic}/*.jsonl")
+    return spark.read.schema("data string, attributes map<string,string>").json(topic)

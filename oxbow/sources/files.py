@@ -53,11 +53,14 @@ def read_csv_inferred(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.option("header", True).option("inferSchema", True).csv(path)
 
 
-def read_jsonl(spark: SparkSession, path: str | list[str], schema=None) -> DataFrame:
+def read_jsonl(spark: SparkSession, path: str | list[str], schema=None,
+               recursive: bool = False) -> DataFrame:
     """SRC7/SC17: newline-delimited JSON. With a schema, decimals declared
     there stay exact; without one, JSON floats are inferred as decimals
     (``prefersDecimal``). Timestamps use the item text format."""
     reader = spark.read.options(**JSON_READ_OPTIONS)
+    if recursive:
+        reader = reader.option("recursiveFileLookup", True)
     if schema is None:
         return reader.option("prefersDecimal", True).json(path)
     return reader.schema(_schema(schema)).json(path)

@@ -221,5 +221,5 @@ def stream_replay_files(spark: SparkSession, history: DataFrame, r: Replay, *, w
 def read_replay_output(spark: SparkSession, out: str, schema, sink: str = "parquet") -> DataFrame:
     """Read back a replay's file output (all batch folders)."""
     if sink == "json":
-        return read_jsonl(spark, f"{out}/*", schema)
-    return spark.read.schema(schema).parquet(f"{out}/*")
+        return read_jsonl(spark, out, schema, recursive=True)
+    return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(out)
