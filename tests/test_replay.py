@@ -99,3 +99,18 @@ def test_timestamp_text(spark):
     df = spark.createDataFrame([("2019-10-23 00:00:05 UTC",), ("2019-10-23 00:00:05.123456 UTC",)], "s string")
     out = df.select(timefmt.format_ts(timefmt.parse_ts("s")).alias("t")).collect()
     assert [r.t for r in out] == ["2019-10-23 00:00:05.000000 UTC", "2019-10-23 00:00:05.123456 UTC"]
+
+
+def test_sort_json_lines_field_then_line(spark):
+    lines = ['{"t":"b","x":2}', '{"t":"a","x":9}', '{"t":"b","x":1}', '{"x":5}', '{"t":"a","x":10}']
+    df = spark.createDataFrame([(l,) for l in lines], "value string")
+    got = [r.value for r in replay.sort_json_lines(df, "t").orderBy("_line_no").collect()]
+    assert got == ['{"x":5}', '{"t":"a","x":10}', '{"t":"a","x":9}', '{"t":"b","x":1}', '{"t":"b","x":2}']
+
+
+def test_spread_only_when_needed(spark):
+    from oxbow.plans.partitioning import spread
+    one = spark.range(100).coalesce(1)
+    assert spread(one, 4).rdd.getNumPartitions() == 4
+    many = spark.range(100).repartition(6)
+    assert spread(many, 4) is many
