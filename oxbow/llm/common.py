@@ -49,17 +49,19 @@ def map_texts(df: DataFrame, keep: list[str], make: Callable[[], Callable[[list]
     a time. Rows stay in their partition.
     """
     ship_package(df.sparkSession)
-    slim = df.select(*keep, F.col(text).cast("string").alias("__text"))
+    kept = [F.col(f"`{c}`") for c in keep]
+    slim = df.select(*kept) if text in keep else df.select(*kept, F.col(text).alias("__text"))
+    at = keep.index(text) if text in keep else len(keep)
     added = StructType.fromDDL(out)
-    schema = StructType(slim.schema.fields[:-1] + added.fields)
+    schema = StructType(slim.schema.fields[:len(keep)] + added.fields)
     types = [to_arrow_schema(added).field(i).type for i in range(len(added))]
     names = schema.names
 
     def run(batches):
         fn = make()
         for b in batches:
-            cols = fn(b.column(b.num_columns - 1).to_pylist())
-            arrays = [b.column(i) for i in range(b.num_columns - 1)]
+            cols = fn(b.column(at).to_pylist())
+            arrays = [b.column(i) for i in range(len(keep))]
             arrays += [pa.array(c, t) for c, t in zip(cols, types, strict=True)]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
@@ -101,16 +103,20 @@ def with_row_key(docs: DataFrame) -> DataFrame:
     return docs.withColumn(ROW_KEY, F.xxhash64("text"))
 
 
-def keep_rows(docs: DataFrame, stay: DataFrame) -> DataFrame:
+def keep_rows(docs: DataFrame, stay: DataFrame, copies: Column | int = 1) -> DataFrame:
     """The rows of ``docs`` in ``stay`` (doc_id, ROW_KEY), columns unchanged.
 
     One shuffle of the rows by that key. A key names one row; where rows repeat
-    both doc_id and text, one of them is kept.
+    both doc_id and text, one of them is kept. With ``copies``, a column of
+    ``stay``, each row comes out as often as the copies of its key add up to.
     """
-    chosen = stay.select(F.col("doc_id").alias("__id"), F.col(ROW_KEY).alias("__key")).distinct()
+    chosen = (stay.groupBy(F.col("doc_id").alias("__id"), F.col(ROW_KEY).alias("__key"))
+              .agg(F.sum(F.lit(copies) if isinstance(copies, int) else copies).alias("__copies")))
     keyed = with_row_key(docs)
     found = keyed.join(chosen, keyed["doc_id"].eqNullSafe(chosen["__id"])
-                       & (keyed[ROW_KEY] == chosen["__key"]), "left_semi")
+                       & (keyed[ROW_KEY] == chosen["__key"]))
     first = Window.partitionBy("doc_id", ROW_KEY).orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
-    return (found.withColumn("__rn", F.row_number().over(first)).where("__rn = 1")
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+    one = found.withColumn("__rn", F.row_number().over(first)).where("__rn = 1")
+    if not isinstance(copies, int):
+        one = one.withColumn("__i", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))))
+    return one.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -2,17 +2,46 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from oxbow.llm import exact_dedup
-from oxbow.llm.common import documents
+from oxbow.llm import bpe, exact_dedup, mixing, quality_rules, simhash, toxicity
+from oxbow.llm.common import documents, table
+
+
+def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_report(documents(spark, sf_dir), shingle=3, radius=3)
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scores(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(documents(spark, sf_dir))
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir))
 
 
-QUERIES = {"op7_exact_dedup": op7_exact_dedup}
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    return bpe.round_trip(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.apply_policy(quality_rules.ledger(documents(spark, sf_dir)), "standard.1")
+
+
+QUERIES = {
+    "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op3_toxicity": op3_toxicity,
+    "op4_mixing": op4_mixing,
+    "op7_exact_dedup": op7_exact_dedup,
+    "op9_byte_bpe": op9_byte_bpe,
+    "op10_quality_rules": op10_quality_rules,
+}
 
 ORACLE_SQL = {
     "op7_exact_dedup": r"""
@@ -27,4 +56,40 @@ ORACLE_SQL = {
         SELECT t.doc_id, g.keep_id, g.group_size, t.doc_id = g.keep_id AS kept,
                sha256(t.norm) AS text_sha256
         FROM t JOIN g USING (norm)""",
+    "op10_quality_rules": r"""
+        WITH t AS (
+          SELECT doc_id, coalesce(text, '') AS text,
+                 regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+                 list_filter(string_split(coalesce(text, ''), chr(10)),
+                             lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+          FROM documents),
+        w AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM t),
+        win AS (
+          SELECT doc_id, i, word AS a, lead(word) OVER o AS b, lead(word, 2) OVER o AS c
+          FROM w WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+        rep AS (
+          SELECT doc_id, i,
+                 c IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, a, b, c) > 1 AS r
+          FROM win),
+        cov AS (
+          SELECT doc_id, bool_or(r) OVER (PARTITION BY doc_id ORDER BY i
+                                          ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS covered
+          FROM rep),
+        n AS (SELECT doc_id, count(*) FILTER (WHERE covered) AS n FROM cov GROUP BY doc_id),
+        m AS (
+          SELECT t.doc_id, len(words)::BIGINT AS n_words,
+                 length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+                 length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
+                 (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+                 coalesce(n.n, 0) AS n_repeat_words, len(lines)::BIGINT AS n_lines,
+                 length(regexp_replace(text, '[^!]+', '', 'g')) AS n_exclaims
+          FROM t LEFT JOIN n USING (doc_id)),
+        f AS (
+          SELECT *,
+                 (n_words < 50)::INT + 2 * (100 * n_repeat_words > 50 * n_words)::INT
+                 + 4 * (10 * n_symbols > n_words)::INT + 8 * (2 * n_dup_lines > n_lines)::INT
+                 + 16 * (word_chars < 2 * n_words OR word_chars > 15 * n_words)::INT
+                 + 32 * (10 * n_exclaims > 3 * n_words)::INT AS fail_bits
+          FROM m)
+        SELECT *, fail_bits & 3 <> 0 AS base_failed, fail_bits = 0 AS kept FROM f""",
 }
