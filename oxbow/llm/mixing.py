@@ -3,9 +3,9 @@
 ``targets`` shares the words of all documents among the sources by weight, no
 source above ``MOST`` times its own words. A document of source s is wanted
 target_s / size_s times: the whole part is taken as copies, the fraction is its
-inclusion probability. The flight phase moves the fractions of three documents
-at a time along the null space of two constraints, tokens and documents, until
-one of the three is settled, so both totals keep their expectation. Flights run
+inclusion probability. The flight phase moves the fractions along the null space
+of two constraints, tokens and documents, until one more is settled, so both
+totals keep their expectation; the largest documents settle first. Flights run
 over blocks of a source; each leaves at most two fractions, which fly again in
 blocks of blocks, until at most two per source are left. The landing settles
 these so that the source's words come nearest their target.
@@ -68,31 +68,41 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int =
     return weighted.withColumn("target", target).drop("__rank", "__w")
 
 
+def _direction(size: np.ndarray) -> np.ndarray:
+    """A vector of the null space of both constraints (sum u = sum u * size = 0)
+    for at least three units, the largest first: it moves the first unit by 1
+    and spreads the counterweight over all others, so large units settle first."""
+    u = np.zeros(len(size))
+    head, rest = size[0], size[1:]
+    n, s1, s2 = len(rest), rest.sum(), (rest * rest).sum()
+    det = n * s2 - s1 * s1
+    if det > 1e-9 * max(n * s2, 1.0):
+        u[0] = 1
+        u[1:] = -((n * head - s1) * rest + (s2 - s1 * head)) / det
+    elif head == rest[0]:
+        u[0], u[1:] = 1, -1 / n
+    else:
+        u[1], u[2] = 1, -1
+    return u
+
+
 def flight(size: np.ndarray, p: np.ndarray, rng: np.random.Generator) -> np.ndarray:
-    """Move the fractions ``p``, three at a time, keeping sum(p) and sum(p * size);
-    at most two are left strictly between 0 and 1."""
-    p = p.astype(float).tolist()
-    size = size.tolist()
-    active: list[int] = []
-    for k in range(len(p)):
-        if not _EDGE < p[k] < 1 - _EDGE:
-            p[k] = float(round(p[k]))
-            continue
-        active.append(k)
-        while len(active) == 3:
-            i, j, k = active
-            u = (size[j] - size[k], size[k] - size[i], size[i] - size[j])
-            if not any(u):
-                u = (1, -1, 0)
-            ahead = min((1 - p[a]) / x if x > 0 else p[a] / -x for a, x in zip(active, u) if x)
-            back = min(p[a] / x if x > 0 else (1 - p[a]) / -x for a, x in zip(active, u) if x)
-            move = ahead if rng.random() * (ahead + back) < back else -back
-            for a, x in zip(active, u):
-                p[a] += move * x
-                if p[a] < _EDGE or p[a] > 1 - _EDGE:
-                    p[a] = float(round(p[a]))
-            active = [a for a in active if 0 < p[a] < 1]
-    return np.array(p)
+    """Move the fractions of ``p`` (sizes descending) along the null space until
+    at most two are left; sum(p) and sum(p * size) keep their values."""
+    p = np.where((p > _EDGE) & (p < 1 - _EDGE), p, np.round(p))
+    live = np.flatnonzero((p > 0) & (p < 1))
+    q, s = p[live], size[live]
+    while len(q) > 2:
+        u = _direction(s)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            ahead = np.where(u > 0, (1 - q) / u, np.where(u < 0, -q / u, np.inf)).min()
+            back = np.where(u > 0, q / u, np.where(u < 0, (q - 1) / u, np.inf)).min()
+        q = q + (ahead if rng.random() * (ahead + back) < back else -back) * u
+        q = np.where((q > _EDGE) & (q < 1 - _EDGE), q, np.round(q))
+        p[live] = q
+        on = (q > 0) & (q < 1)
+        live, q, s = live[on], q[on], s[on]
+    return p
 
 
 def landing(size: np.ndarray, p: np.ndarray) -> np.ndarray:
