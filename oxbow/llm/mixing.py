@@ -115,21 +115,22 @@ def landing(size: np.ndarray, p: np.ndarray) -> np.ndarray:
     return p
 
 
-def cube(units: DataFrame, blocks: str, keys: list[str], size: str, p: str) -> DataFrame:
+def cube(units: DataFrame, blocks: str, keys: list[str], size: str, p: str, unit: str) -> DataFrame:
     """``units`` with each fraction in ``p`` settled to 0 or 1.
 
     ``keys`` name the group (a source) and are not null; ``blocks`` holds its
-    number of blocks. All other columns are carried along.
+    number of blocks. A unit's draw depends on ``unit`` (its id) and size; the
+    other columns are carried along and only order rows that share both.
     """
     ship_package(units.sparkSession)
-    order = [c for c in units.columns if c != p]
-    units = units.withColumn("__block", F.pmod(F.xxhash64(*order), F.col(blocks)))
+    rest = [c for c in units.columns if c not in (p, size, unit)]
+    units = units.withColumn("__block", F.pmod(F.xxhash64(unit, size), F.col(blocks)))
     schema = units.schema
     most = units.agg(F.max(blocks)).first()[0] or 1
     names = units.columns
     together = BLOCK // 2
     rounds = 1 + max(0, math.ceil(math.log(most, together) - 1e-12))
-    by = [(size, "descending"), *((c, "ascending") for c in order if c != size)]
+    by = [(size, "descending"), *((c, "ascending") for c in [unit, *rest])]
 
     def flying(turn: int, last: bool):
         def fly(key, rows):
@@ -167,7 +168,7 @@ def mixture(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOS
                          .withColumn("__p", times - F.floor(times))
                          .withColumn("__blocks", F.ceil(F.col("__docs") / BLOCK)))
     units = (join_hot(rows.drop("source"), wanted, keys, "__docs").drop("__docs"))
-    chosen = cube(units, "__blocks", keys, "size", "__p")
+    chosen = cube(units, "__blocks", keys, "size", "__p", "doc_id")
     return chosen.select("doc_id", *carry, "size", "source_size", "target",
                          (F.col("size") * (F.col("__whole") + F.col("__p").cast("long"))).alias("taken"),
                          (F.col("__whole") + F.col("__p").cast("long")).alias("copies"))

@@ -4,11 +4,22 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from oxbow.llm import bpe, exact_dedup, mixing, quality_rules, simhash, toxicity
+from oxbow.llm import (bpe, exact_dedup, licenses, line_dedup, mixing, quality_rules, simhash,
+                       token_counts, toxicity, warc)
 from oxbow.llm.common import documents, table
 
 
+#: Fixed value: the date given to response records made from ``pages``, which has none.
+PAGE_DATE = "2024-01-01T00:00:00Z"
+
+
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    return token_counts.token_counts(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_report(documents(spark, sf_dir), shingle=3, radius=3)
 
@@ -21,10 +32,27 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(documents(spark, sf_dir))
 
 
+def op5_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.responses(table(spark, sf_dir, "pages"), "page_id", PAGE_DATE)
+    derived = warc.derive(records, keep=("page_id",))
+    return derived.select("page_id", "warc_type", "record_id", "refers_to", "target_uri", "concurrent_to",
+                          "source_digest", "block_digest", F.octet_length("block").cast("long").alias("block_bytes"),
+                          F.sha2("record", 256).alias("record_sha256"))
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.dedup_lines(documents(spark, sf_dir))
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     return bpe.round_trip(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
@@ -35,15 +63,116 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_token_counts": op1_token_counts,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op3_toxicity": op3_toxicity,
     "op4_mixing": op4_mixing,
+    "op5_warc_derivatives": op5_warc_derivatives,
+    "op6_line_dedup": op6_line_dedup,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_license_scan": op8_license_scan,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_quality_rules": op10_quality_rules,
 }
 
+def _sql_text(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
+def _sql_html_text(html: str) -> str:
+    """The text extraction of ``warc.html_text`` as DuckDB SQL."""
+    for pattern, to in warc.HTML_RULES:
+        html = f"regexp_replace({html}, {_sql_text(pattern)}, E{_sql_text(to).replace(chr(10), chr(92) + 'n')}, 'g')"
+    for entity, char in warc.ENTITIES:
+        html = f"replace({html}, {_sql_text(entity)}, {_sql_text(char)})"
+    return html
+
+
+def _sql_uuid(kind: str, seed: str) -> str:
+    h = f"md5({_sql_text(kind)} || chr(31) || {seed})"
+    parts = " || '-' || ".join(f"substr({h}, {a}, {n})" for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12)))
+    return f"'<urn:uuid:' || {parts} || '>'"
+
+
+_WARC_SQL = f"""
+    WITH s AS (
+      SELECT page_id, coalesce(url, '') AS uri, coalesce(html, '') AS html, E'\\r\\n' AS nl FROM pages),
+    p AS (
+      SELECT *, {_sql_uuid('response', "CAST(page_id AS VARCHAR) || chr(31) || uri")} AS id,
+             nullif(trim(html, ''), '') IS NULL AS nothing,
+             'sha256:' || sha256(html) AS source_digest,
+             {_sql_html_text("html")} AS plain,
+             {_sql_html_text("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title', 1)")} AS title
+      FROM s),
+    q AS (
+      SELECT *, {_sql_uuid('conversion', 'id')} AS conv, {_sql_uuid('metadata', 'id')} AS meta,
+             'sha256:' || sha256(plain) AS plain_digest FROM p),
+    r AS (
+      SELECT page_id, 'conversion' AS warc_type, conv AS record_id, id, uri, nl, NULL AS concurrent_to,
+             source_digest, 'text/plain; charset=utf-8' AS mime, plain AS block FROM q
+      UNION ALL
+      SELECT page_id, 'metadata', meta, id, uri, nl, conv, source_digest, 'application/warc-fields',
+             CASE WHEN title <> '' THEN 'title: ' || title || nl ELSE '' END
+             || 'http-status: 200' || nl || 'source-payload-digest: ' || source_digest || nl
+             || 'text-digest: ' || plain_digest || nl || 'text-length: ' || strlen(plain) || nl
+             || 'digest-match: true' || nl || 'http-header: Content-Type: text/html; charset=utf-8' || nl
+             || 'http-header: Content-Length: ' || strlen(html) FROM q)
+    SELECT page_id, warc_type, record_id, id AS refers_to, nullif(uri, '') AS target_uri, concurrent_to,
+           source_digest, 'sha256:' || sha256(block) AS block_digest, strlen(block)::BIGINT AS block_bytes,
+           sha256('WARC/1.1' || nl || 'WARC-Type: ' || warc_type || nl || 'WARC-Record-ID: ' || record_id || nl
+             || CASE WHEN uri <> '' THEN 'WARC-Target-URI: ' || uri || nl ELSE '' END
+             || 'WARC-Date: {PAGE_DATE}' || nl || 'WARC-Refers-To: ' || id || nl
+             || CASE WHEN uri <> '' THEN 'WARC-Refers-To-Target-URI: ' || uri || nl ELSE '' END
+             || 'WARC-Refers-To-Date: {PAGE_DATE}' || nl
+             || CASE WHEN concurrent_to IS NULL THEN '' ELSE 'WARC-Concurrent-To: ' || concurrent_to || nl END
+             || 'Content-Type: ' || mime || nl || 'WARC-Block-Digest: sha256:' || sha256(block) || nl
+             || 'Content-Length: ' || strlen(block) || nl || nl || block) AS record_sha256
+    FROM r"""
+
+_LICENSE_SQL = f"""
+    WITH known(sentence, id) AS (VALUES {', '.join(f"({_sql_text(k)}, {_sql_text(v)})" for k, v in licenses.SENTENCES.items())}),
+    rules(n, name, ids) AS (VALUES {', '.join(f"({i}, {_sql_text(name)}, {_sql_text('|' + '|'.join(ids) + '|')})" for i, (name, ids) in enumerate(licenses.RULES))}),
+    s AS (
+      SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS i
+      FROM (SELECT doc_id, string_split(regexp_replace(coalesce(text, ''), '([.!?;:])[ \t\r]+', E'\\1\n', 'g'),
+                                        chr(10)) AS l FROM documents)),
+    f AS (
+      SELECT doc_id, list(id ORDER BY i) AS ids
+      FROM s JOIN known ON sentence = trim(regexp_replace(lower(line), '[^a-z0-9]+', ' ', 'g')) GROUP BY doc_id),
+    m AS (
+      SELECT doc_id, string_agg(name, ',' ORDER BY n) AS licenses
+      FROM (SELECT f.doc_id, name, min(n) AS n FROM f, rules
+            WHERE contains('|' || array_to_string(f.ids, '|') || '|', rules.ids) GROUP BY f.doc_id, name)
+      GROUP BY doc_id)
+    SELECT d.doc_id, coalesce(len(f.ids), 0)::BIGINT AS n_sentences,
+           coalesce(array_to_string(f.ids, ','), '') AS sentence_ids, coalesce(m.licenses, '') AS licenses
+    FROM documents d LEFT JOIN f ON f.doc_id = d.doc_id LEFT JOIN m ON m.doc_id = d.doc_id"""
+
 ORACLE_SQL = {
+    "op5_warc_derivatives": _WARC_SQL,
+    "op6_line_dedup": r"""
+        WITH l AS (
+          SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                 generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i
+          FROM documents),
+        k AS (
+          SELECT doc_id, i, trim(line, E' \t\r\x0b\x0c') AS x,
+                 row_number() OVER (PARTITION BY doc_id ORDER BY i) AS j
+          FROM l WHERE trim(line, E' \t\r\x0b\x0c') <> ''),
+        w AS (
+          SELECT doc_id, j, x AS a, lead(x) OVER o AS b, lead(x, 2) OVER o AS c
+          FROM k WINDOW o AS (PARTITION BY doc_id ORDER BY j)),
+        r AS (
+          SELECT doc_id, j, row_number() OVER (PARTITION BY a, b, c ORDER BY doc_id, j) > 1 AS later
+          FROM w WHERE c IS NOT NULL),
+        gone AS (
+          SELECT DISTINCT k.doc_id, k.i FROM k JOIN r ON r.doc_id = k.doc_id AND r.later
+           AND k.j BETWEEN r.j AND r.j + 2)
+        SELECT l.doc_id, count(*) FILTER (WHERE k.x IS NOT NULL) AS n_lines, count(gone.i) AS n_removed,
+               sha256(coalesce(string_agg(l.line, chr(10) ORDER BY l.i) FILTER (WHERE gone.i IS NULL), ''))
+                 AS text_sha256
+        FROM l LEFT JOIN k USING (doc_id, i) LEFT JOIN gone USING (doc_id, i) GROUP BY l.doc_id""",
+    "op8_license_scan": _LICENSE_SQL,
     "op7_exact_dedup": r"""
         WITH t AS (
           SELECT doc_id, length(coalesce(text, '')) AS points,
