@@ -28,6 +28,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 
 from oxbow.llm.common import map_texts
@@ -35,8 +36,8 @@ from oxbow.llm.common import map_texts
 #: Pieces over this many bytes leave the recursive query.
 LONG_PIECE = 512
 #: Entries of a worker's caches.
-CACHE = 400_000
-#: Pieces, or id runs, per query.
+CACHE = 700_000
+#: Pieces per query.
 CHUNK = 20_000
 #: A vocabulary is shipped to the workers, so its file must not exceed this.
 MAX_VOCABULARY_BYTES = 64 << 20
@@ -44,30 +45,29 @@ MAX_VOCABULARY_BYTES = 64 << 20
 _POS = 31
 
 _ENCODE = f"""
-WITH RECURSIVE state(n, k, tok) AS (
-  SELECT 0, k, tok FROM pieces
+WITH RECURSIVE state(k, tok, done) AS (
+  SELECT k, tok, false FROM pieces
   UNION ALL
   (WITH pairs AS MATERIALIZED (
-     SELECT n, k, tok, lead(tok) OVER o AS tok2, lead(k) OVER o AS k2, lag(k) OVER o AS k0
-     FROM state WINDOW o AS (ORDER BY k)),
+     SELECT k, tok, lead(tok) OVER o AS tok2, lead(k) OVER o AS k2, lag(k) OVER o AS k0
+     FROM state WHERE NOT done WINDOW o AS (ORDER BY k)),
    best AS (
      SELECT p.k >> {_POS} AS piece, min((m.rank << {_POS}) + (p.k & {(1 << _POS) - 1})) AS b
      FROM pairs p JOIN merges m ON m.pair = CASE WHEN p.k2 >> {_POS} = p.k >> {_POS}
                                                  THEN (p.tok << {_POS}) + p.tok2 ELSE -1 END
      GROUP BY 1),
    spot AS (SELECT piece, (piece << {_POS}) + (b & {(1 << _POS) - 1}) AS k, b >> {_POS} AS tok FROM best)
-   SELECT p.n + 1, p.k, CASE WHEN p.k = a.k THEN a.tok ELSE p.tok END
-   FROM pairs p JOIN spot a ON a.piece = p.k >> {_POS}
-   WHERE p.k0 IS DISTINCT FROM a.k)),
-last AS (SELECT k >> {_POS} AS piece, max(n) AS n FROM state GROUP BY 1)
-SELECT last.piece, list(tok ORDER BY k) AS ids
-FROM state JOIN last ON last.piece = state.k >> {_POS} AND last.n = state.n
-GROUP BY 1 ORDER BY 1
+   SELECT p.k, CASE WHEN p.k = s.k THEN s.tok ELSE p.tok END, s.k IS NULL
+   FROM pairs p LEFT JOIN spot s ON s.piece = p.k >> {_POS}
+   WHERE s.k IS NULL OR p.k0 IS DISTINCT FROM s.k))
+SELECT k >> {_POS} AS piece, tok FROM state WHERE done ORDER BY k
 """
 _DECODE = """
-SELECT run, list(bytes ORDER BY pos) AS parts
-FROM tokens JOIN vocabulary USING (id) GROUP BY run ORDER BY run
+SELECT text, list(bytes ORDER BY pos) AS parts
+FROM (SELECT text, pos, bytes FROM tokens JOIN vocabulary USING (id)) GROUP BY text ORDER BY text
 """
+#: White space other than the space and the line end: such texts are cut with more care.
+_RARE_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]").search
 
 
 def read_ranks(path: str) -> bytes:
@@ -130,15 +130,12 @@ class Codec:
         self._table("vocabulary", id=pa.array(self.tokens, pa.int64()),
                     bytes=pa.array(self.tokens.values(), pa.binary()))
         self.byte_ids = np.array([ranks.get(bytes([i]), -1) for i in range(256)], np.int64)
+        self.token_ids = {t: r.to_bytes(4, "little") for t, r in ranks.items()}
         self.pieces = regex.compile(pattern).findall
         self.at_spaces = regex.compile(r"(?<=\S) (?=\S)").split
-        self.odd_space = re.compile(r"\s\s|\A\s|\s\Z").search
-        starts = np.zeros(max(self.tokens) + 1, bool)
-        starts[[r for r, t in self.tokens.items() if t.startswith(b" ")]] = True
-        self.starts = starts
-        self.segment_ids: dict[str, bytes] = {}
+        self.first_ids: dict[str, bytes] = {}    # segments that begin a text
+        self.segment_ids: dict[str, bytes] = {}  # segments behind a space (left out of the key)
         self.piece_ids: dict[str, bytes] = {}
-        self.run_bytes: dict[bytes, bytes] = {}
 
     def _table(self, name: str, **columns) -> None:
         self.con.register("given", pa.table(columns))
@@ -151,77 +148,102 @@ class Codec:
         self.con.unregister(name)
         return out
 
-    def encode_pieces(self, pieces: list[bytes]) -> list[list[int]]:
+    def encode_pieces(self, pieces: list[bytes]) -> list[bytes]:
         """Ids of each piece: a piece that is a token is that token; all others
         start from their bytes in the recursive query."""
-        out: list = [None] * len(pieces)
+        out = [self.token_ids.get(p) for p in pieces]
         rest = []
         for i, p in enumerate(pieces):
-            if p in self.ranks:
-                out[i] = [self.ranks[p]]
-            elif len(p) > LONG_PIECE:
-                out[i] = contract(p, self.ranks)
-            else:
-                rest.append(i)
+            if out[i] is None:
+                if len(p) > LONG_PIECE:
+                    out[i] = np.array(contract(p, self.ranks), "<u4").tobytes()
+                else:
+                    rest.append(i)
         for at in range(0, len(rest), CHUNK):
             part = rest[at:at + CHUNK]
             sizes = np.array([len(pieces[i]) for i in part], np.int64)
             ends = np.cumsum(sizes)
             number = np.repeat(np.arange(len(part), dtype=np.int64), sizes)
             position = np.arange(ends[-1], dtype=np.int64) - np.repeat(ends - sizes, sizes)
-            raw = np.frombuffer(b"".join(pieces[i] for i in part), np.uint8)
-            ids = self._query(_ENCODE, "pieces", k=(number << _POS) + position, tok=self.byte_ids[raw])
-            for i, found in zip(part, ids.column("ids").to_pylist(), strict=True):
-                out[i] = found
+            raw = np.frombuffer(b"".join([pieces[i] for i in part]), np.uint8)
+            found = self._query(_ENCODE, "pieces", k=(number << _POS) + position, tok=self.byte_ids[raw])
+            ids = found.column("tok").to_numpy().astype("<u4").tobytes()
+            stops = 4 * np.cumsum(np.bincount(found.column("piece").to_numpy(), minlength=len(part)))
+            start = 0
+            for i, stop in zip(part, stops.tolist()):
+                out[i] = ids[start:stop]
+                start = stop
         return out
 
-    def _learn(self, segments: set[str]) -> None:
-        cut = {s: self.pieces(s) for s in segments}
+    def _learn(self, first: set[str], later: set[str]) -> None:
+        """Encode the segments that are not known yet, each distinct piece once."""
         known = self.piece_ids
-        new = list({p for ps in cut.values() for p in ps if p not in known})
-        for p, ids in zip(new, self.encode_pieces([p.encode() for p in new]), strict=True):
-            known[p] = np.array(ids, "<u4").tobytes()
-        for s, ps in cut.items():
-            self.segment_ids[s] = b"".join([known[p] for p in ps])
         if len(known) > CACHE:
             known.clear()
+        cut = [(self.first_ids, s, self.pieces(s)) for s in first]
+        cut += [(self.segment_ids, s, self._behind_space(s)) for s in later]
+        new = list({p for *_, ps in cut for p in ps}.difference(known))
+        known.update(zip(new, self.encode_pieces([p.encode() for p in new]), strict=True))
+        for to, s, ps in cut:
+            to[s] = known[ps[0]] if len(ps) == 1 else b"".join([known[p] for p in ps])
+
+    def _behind_space(self, s: str) -> list[str]:
+        """Pieces of a segment behind a space. Letters alone are one piece, and
+        a stop or comma after them another; the pattern cuts all else."""
+        if s.isalpha():
+            return [" " + s]
+        if s[-1] in ".," and s[:-1].isalpha():
+            return [" " + s[:-1], s[-1]]
+        return self.pieces(" " + s)
+
+    def _segments(self, text: str) -> list[str]:
+        """Cut at each single space: one with no white space on either side."""
+        if ("  " in text or "\n " in text or " \n" in text or text[:1] == " " or text[-1:] == " "
+                or _RARE_SPACE(text)):
+            return self.at_spaces(text)
+        return text.split(" ")
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text, as little-endian unsigned 32-bit integers."""
-        if len(self.segment_ids) > CACHE:
-            self.segment_ids.clear()
-        split = []
-        for t in texts:
-            first, *rest = self.at_spaces(t or "") if self.odd_space(t or "") else (t or "").split(" ")
-            split.append([first, *[" " + s for s in rest]])
-        wanted = {s for x in split for s in x if s not in self.segment_ids}
-        if wanted:
-            self._learn(wanted)
-        known = self.segment_ids
-        return [b"".join([known[s] for s in x]) for x in split]
+        for cache in (self.first_ids, self.segment_ids):
+            if len(cache) > CACHE:
+                cache.clear()
+        split = [self._segments(t or "") for t in texts]
+        first = {s[0] for s in split}.difference(self.first_ids)
+        later: set[str] = set()
+        for s in split:
+            s[0], head = "", s[0]  # the empty segment is known to both and has no ids
+            later.update(set(s).difference(self.segment_ids))
+            s[0] = head
+        later.discard("")
+        if first or later:
+            self._learn(first, later)
+        begin, find = self.first_ids, self.segment_ids.__getitem__
+        return [begin[s[0]] + b"".join(map(find, s[1:])) for s in split]
 
     def decode(self, encoded: list[bytes]) -> list[bytes]:
-        """The bytes of each id sequence: it is cut before every token that
-        begins with a space, and the distinct runs are decoded by one query."""
-        if len(self.run_bytes) > CACHE:
-            self.run_bytes.clear()
-        split = []
-        for e in encoded:
-            at = [*(np.flatnonzero(self.starts[np.frombuffer(e, "<u4")]) * 4).tolist(), len(e)]
-            runs = [e[a:b] for a, b in zip(at, at[1:])]
-            split.append([e[:at[0]], *runs])
-        new = list({r for x in split for r in x if r not in self.run_bytes} - {b""})
-        self.run_bytes[b""] = b""
-        for at in range(0, len(new), CHUNK):
-            part = new[at:at + CHUNK]
-            sizes = np.array([len(r) // 4 for r in part], np.int64)
-            ids = np.frombuffer(b"".join(part), "<u4").astype(np.int64)
-            lists = self._query(_DECODE, "tokens", run=np.repeat(np.arange(len(part)), sizes),
-                                pos=np.arange(len(ids), dtype=np.int64), id=ids).column("parts")
-            for r, parts in zip(part, lists.to_pylist(), strict=True):
-                self.run_bytes[r] = b"".join(parts)
-        known = self.run_bytes
-        return [b"".join([known[r] for r in x]) for x in split]
+        """The bytes of each id sequence: token positions join the vocabulary,
+        and an ordered aggregation strings the tokens' bytes together."""
+        sizes = np.array([len(e) // 4 for e in encoded], np.int64)
+        ids = np.frombuffer(b"".join(encoded), "<u4").astype(np.int64)
+        out = [b""] * len(encoded)
+        found = self._query(_DECODE, "tokens", text=np.repeat(np.arange(len(encoded)), sizes),
+                            pos=np.arange(len(ids), dtype=np.int64), id=ids)
+        for batch in found.to_batches():
+            lists = batch.column("parts")
+            tokens = lists.flatten()  # one run of bytes, in order; the lists' ends cut it into texts
+            at = np.frombuffer(tokens.buffers()[1], _offset_type(tokens))[tokens.offset:tokens.offset + len(tokens) + 1]
+            data = memoryview(tokens.buffers()[2]) if len(tokens) else b""
+            ends = np.cumsum(pa.compute.list_value_length(lists).to_numpy())
+            start = 0
+            for i, end in zip(batch.column("text").to_pylist(), ends.tolist()):
+                out[i] = bytes(data[at[start]:at[end]])
+                start = end
+        return out
+
+
+def _offset_type(values: pa.Array):
+    return np.int64 if pa.types.is_large_binary(values.type) else np.int32
 
 
 _CODECS: dict[tuple[bytes, str], Codec] = {}
