@@ -15,8 +15,8 @@ from oxbow.llm.common import join_hot, materialize
 
 def _star(edges: DataFrame, keep) -> DataFrame:
     """Link the kept neighbours of each node to the smallest node around it."""
-    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    near = materialize(keep(both))
+    ways = F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))
+    near = materialize(keep(edges.select(F.inline(ways))))
     least = materialize(near.groupBy("u").agg(F.min("v").alias("__m"), F.count(F.lit(1)).alias("__n")))
     return join_hot(near, least, ["u"], "__n").withColumn("__m", F.least("u", "__m"))
 
@@ -34,9 +34,7 @@ def components(edges: DataFrame) -> DataFrame:
         before = state
         large = _star(edges, lambda e: e).where("v > u").select(F.col("v").alias("u"), F.col("__m").alias("v"))
         small = _star(large, lambda e: e.where("v < u"))
-        edges = materialize(
-            small.select(F.col("v").alias("u"), F.col("__m").alias("v"))
-            .unionByName(small.select("u", F.col("__m").alias("v")))
-            .where("u <> v").distinct())
+        to = [F.struct(F.col(c).alias("u"), F.col("__m").alias("v")) for c in ("v", "u")]
+        edges = materialize(small.select(F.inline(F.array(*to))).where("u <> v").distinct())
     roots = edges.select(F.col("v").alias("u")).distinct().withColumn("root", F.col("u"))
     return edges.withColumnRenamed("v", "root").unionByName(roots)
