@@ -7,14 +7,13 @@ Inputs follow the declared schemas of the two CSVs:
 
 Money may be double or decimal. For decimals the typing rule is fixed so the
 product of quantity and cost keeps nine fraction digits: money DECIMAL(28,9),
-quantity DECIMAL(10,0), averages DECIMAL(27,9), each cost arm cast back to
-DECIMAL(28,9) before ``coalesce``.
+whole quantities DECIMAL(10,0), fractional ones DECIMAL(18,9), averages
+DECIMAL(27,9), each cost arm cast back to DECIMAL(28,9) before ``coalesce``.
 
 Plan shape: the options table is aggregated once, at (pair key, option code)
 grain, into sums and counts; both averages are re-aggregations of that small
-result, so the options source is scanned once. The two averaged sides are
-broadcast only behind a bounded count (``plans.joins.bounded_broadcast``);
-the base side is never shuffled for them.
+result. The two averaged sides are broadcast only behind a check of the totals'
+size (``plans.joins.is_small``); the base side is never shuffled for them.
 """
 
 from __future__ import annotations
@@ -24,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from oxbow.functions.keys import model_option_key, pair_key, zero_cost_flag
-from oxbow.plans.joins import bounded_rows, maybe_broadcast
+from oxbow.plans.joins import is_small, maybe_broadcast
 
 BASE_COLUMNS = ["Vehicle_ID", "Option_Quantities", "Options_Code", "Option_Desc",
                 "Model_Text", "Sales_Price"]
@@ -33,6 +32,7 @@ OUTPUT_COLUMNS = BASE_COLUMNS + ["Production_Cost", "Profit"]
 MONEY = T.DecimalType(28, 9)
 AVERAGE = T.DecimalType(27, 9)
 QUANTITY = T.DecimalType(10, 0)
+FRACTIONAL_QUANTITY = T.DecimalType(18, 9)
 
 # Fixed value: the share of the sales price used as the default production cost.
 DEFAULT_COST_SHARE = "0.45"
@@ -62,10 +62,12 @@ def _mean(total: Column, n: Column, decimal: bool) -> Column:
     return F.when(n > 0, total / n)
 
 
-def avg_cost_by_key(totals: DataFrame, decimal: bool = False) -> DataFrame:
-    """AG1: mean material cost per ``<model>_<code>`` key (a NULL key is its own group)."""
+def avg_cost_by_key(totals: DataFrame, decimal: bool = False, counts: str | None = None) -> DataFrame:
+    """AG1: mean material cost per ``<model>_<code>`` key (a NULL key is its own
+    group); ``counts`` names a column for the number of costs behind it."""
+    n = [F.sum("cost_n").alias(counts)] if counts else []
     return (totals.groupBy("ModelOptionKey")
-            .agg(_mean(F.sum("cost_sum"), F.sum("cost_n"), decimal).alias("Material_Cost")))
+            .agg(_mean(F.sum("cost_sum"), F.sum("cost_n"), decimal).alias("Material_Cost"), *n))
 
 
 def avg_cost_by_code(totals: DataFrame, decimal: bool = False) -> DataFrame:
@@ -84,9 +86,10 @@ def option_profit(base: DataFrame, options: DataFrame, *, per_unit: bool = False
     arm, else price - cost (NULL when the price is NULL).
     """
     decimal = _is_decimal(base, "Sales_Price") or _is_decimal(options, "Material_Cost")
-    # Both averaged sides are re-aggregations of the totals, so one bounded
-    # count of the totals bounds both of them.
-    totals, small = bounded_rows(option_cost_totals(options), broadcast_rows)
+    # Both averaged sides are re-aggregations of the totals, so one check of
+    # the totals bounds both of them.
+    totals = option_cost_totals(options)
+    small = is_small(totals, broadcast_rows)
     by_key = maybe_broadcast(avg_cost_by_key(totals, decimal), small)
     by_code = maybe_broadcast(avg_cost_by_code(totals, decimal), small)
 
@@ -100,7 +103,8 @@ def option_profit(base: DataFrame, options: DataFrame, *, per_unit: bool = False
     exact, mean_code = F.col("Material_Cost"), F.col("Average_Cost")
     if decimal:
         price = price.cast(MONEY)
-        qty = F.col("Option_Quantities").cast(QUANTITY)
+        whole = isinstance(base.schema["Option_Quantities"].dataType, T.IntegralType)
+        qty = F.col("Option_Quantities").cast(QUANTITY if whole else FRACTIONAL_QUANTITY)
         share = F.lit(DEFAULT_COST_SHARE).cast(T.DecimalType(3, 2))
         arms = [F.col("_zero").cast(MONEY),
                 (exact if per_unit else qty * exact).cast(MONEY),
@@ -174,12 +178,13 @@ def cost_lookup(base: DataFrame, options: DataFrame, *, order: str, fallback: bo
     computes no profit, so ``Profit`` is NULL.
 
     Both maps come from one aggregation of the options at (key, code) grain;
-    one bounded count of it decides whether the maps are broadcast.
+    one check of its size decides whether the maps are broadcast.
     """
     b = base.select(*BASE_COLUMNS,
                     model_option_key("Model_Text", "Options_Code", whitespace=whitespace_key)
                     .alias("_key"))
-    pairs, small = bounded_rows(last_cost_pairs(options, order), broadcast_rows)
+    pairs = last_cost_pairs(options, order)
+    small = is_small(pairs, broadcast_rows)
     j = _lookup(b, _last_of(pairs, "pair_key"), F.col("_key"), "exact", small)
     cost = F.col("exact_cost")
     hit = F.col("exact_hit").isNotNull()

@@ -31,7 +31,7 @@ def free_with_cost(base: DataFrame, options: DataFrame, broadcast_rows: int | No
     """DQ3: options sold at price 0 whose (model, option) pair does have a cost.
 
     A semi join against the distinct priced keys; the key set is broadcast
-    only behind a bounded count.
+    only behind a check of its size.
     """
     keys = (options.where(F.col("Material_Cost").isNotNull())
             .select(pair_key("Model", "Option_Code").alias("_k")).distinct())

@@ -1,7 +1,8 @@
 """How the driver's TPC-H-like tables stand in for the jobs' own inputs.
 
 * base (options sold)   = lineitem JOIN part on the part key
-* options (costs)       = the PROMO parts of size <= 15, two brands left out
+* options (costs)       = part, one option row per part; the code of small PROMO
+                          parts is the brand, any other code is sold by no line
 * test cases / groups   = orders JOIN customer JOIN nation / nation
 * sequence / queries    = events (position = event_id) / part (ranges)
 
@@ -23,7 +24,8 @@ OPTION_MAX_SIZE = 15
 OPTION_EXCLUDED_BRANDS = ("Brand#1", "Brand#5")
 NULL_GROUP_NATION = "NATION_7"      # its cases get a NULL group name
 NO_PASS_NATION_KEY = 11             # its cases never pass
-ABSENT_GROUP_NATION_KEY = 3         # left out of the groups dimension
+ABSENT_GROUP_NATION_KEY = 3         # its group has another name in the dimension
+ABSENT_GROUP_NAME = "no such group"
 
 
 def option_base(spark: SparkSession, sf_dir: str, with_nulls: bool = False) -> DataFrame:
@@ -51,27 +53,23 @@ def option_base(spark: SparkSession, sf_dir: str, with_nulls: bool = False) -> D
 
 
 def option_costs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Material costs: Model = first word of the part name, code = brand."""
+    """Material costs, one row per part: Model = first word of the part name.
+    The code is the brand for some parts and a code of its own for the others,
+    so that lines meet all four cost arms."""
     part = table(spark, sf_dir, "part")
-    return (part.where((F.col("p_type") == OPTION_TYPE) & (F.col("p_size") <= OPTION_MAX_SIZE)
-                       & ~F.col("p_brand").isin(*OPTION_EXCLUDED_BRANDS))
-            .select(first_token_sql("p_name").alias("Model"),
-                    F.col("p_brand").alias("Option_Code"),
-                    F.col("p_type").alias("Option_Desc"),
-                    F.col("p_retailprice").alias("Material_Cost"),
-                    F.col("p_partkey").alias("row_order")))
-
-
-def case_status() -> F.Column:
-    return F.when((F.col("o_orderstatus") == "F")
-                  & (F.col("c_nationkey") != NO_PASS_NATION_KEY), "OK").otherwise("X")
+    sold = ((F.col("p_type") == OPTION_TYPE) & (F.col("p_size") <= OPTION_MAX_SIZE)
+            & ~F.col("p_brand").isin(*OPTION_EXCLUDED_BRANDS))
+    code = F.when(sold, F.col("p_brand")).otherwise(F.concat_ws("/", "p_brand", "p_type"))
+    return part.select(first_token_sql("p_name").alias("Model"), code.alias("Option_Code"),
+                       F.col("p_type").alias("Option_Desc"), F.col("p_retailprice").alias("Material_Cost"),
+                       F.col("p_partkey").alias("row_order"))
 
 
 def test_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One dimension row per nation; one of them under a name that no case has."""
     nation = table(spark, sf_dir, "nation")
-    return (nation.where(F.col("n_nationkey") != ABSENT_GROUP_NATION_KEY)
-            .select(F.col("n_name").alias("name"),
-                    (F.col("n_regionkey") + 1).alias("test_value")))
+    name = F.when(F.col("n_nationkey") != ABSENT_GROUP_NATION_KEY, F.col("n_name")).otherwise(ABSENT_GROUP_NAME)
+    return nation.select(name.alias("name"), (F.col("n_regionkey") + 1).alias("test_value"))
 
 
 def group_name() -> F.Column:

@@ -32,6 +32,9 @@ DEFAULT_CONF = {
 # bounded count. Override per session with this conf key.
 BROADCAST_ROWS_CONF = "oxbow.broadcast.maxRows"
 DEFAULT_BROADCAST_ROWS = 1_000_000
+# Upper bound (estimated bytes) for the same side.
+BROADCAST_BYTES_CONF = "oxbow.broadcast.maxBytes"
+DEFAULT_BROADCAST_BYTES = 128 << 20
 
 
 def build_session(master: str | None = None, app: str = "oxbow",
@@ -59,8 +62,9 @@ def build_session(master: str | None = None, app: str = "oxbow",
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session names none (local tests) do we create one, so that
-    ``DataFrame.checkpoint()`` and written intermediate tables have a home.
+    Only for a local master without one (tests) do we create one, so that
+    ``DataFrame.checkpoint()`` and written intermediate tables have a home. On
+    a cluster a machine-local folder would be lost, so that is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
@@ -71,14 +75,28 @@ def shared_dir(spark: SparkSession) -> str:
         return d.rstrip("/")
     if current:
         return current.rstrip("/")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     d = tempfile.mkdtemp(prefix="oxbow-ckpt-")
     sc.setCheckpointDir(d)
     return d
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) of Hadoop for any address that Spark reads."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared folder for a written table."""
-    return f"{shared_dir(spark)}/oxbow-{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path under the shared folder for a written table. It is
+    deleted when the application ends."""
+    path = f"{shared_dir(spark)}/oxbow-{name}-{uuid.uuid4().hex[:12]}"
+    fs, p = hadoop_path(spark, path)
+    fs.mkdirs(p)  # only a path that exists can be marked
+    fs.deleteOnExit(p)
+    return f"{path}/data"
 
 
 def broadcast_row_bound(spark: SparkSession) -> int:
@@ -86,6 +104,11 @@ def broadcast_row_bound(spark: SparkSession) -> int:
     return int(v) if v else DEFAULT_BROADCAST_ROWS
 
 
+def broadcast_byte_bound(spark: SparkSession) -> int:
+    v = spark.conf.get(BROADCAST_BYTES_CONF, None)
+    return int(v) if v else DEFAULT_BROADCAST_BYTES
+
+
 def local_master() -> str:
     return f"local[{os.environ.get('BENCH_CPUS', '*')}]"
 
