@@ -1,22 +1,22 @@
 """Range minimum for many queries (JOB6; SC19, JN7, AG5).
 
 A plain ``pos BETWEEN p AND q`` join plans as a Cartesian / nested-loop join.
-Instead both sides meet on an equi-join over dyadic blocks:
-
-* block minima: for level k = 0..L, block j = pos >> k holds the minimum of
-  positions [j*2^k, (j+1)*2^k). One aggregation over the exploded levels.
-  Total size about 2x the positions (map-side partial aggregation collapses
-  the upper levels).
-* query pieces: [p, q] splits into at most two maximal blocks per level (the
-  canonical dyadic decomposition). At level k the covered blocks are
-  lo_k = ceil(p / 2^k) .. hi_k = floor((q+1) / 2^k) - 1; a block is a piece
-  unless its parent at level k+1 is covered too; only lo_k and hi_k can be
-  pieces.
-* pieces LEFT JOIN minima ON (level, block), then MIN per query.
-
-L = floor(log2(longest query)), measured with one aggregate, so no query
-needs more than 2(L+1) pieces. Every query gets a row (NULL when its range
-holds no position, or when p > q).
+Instead both sides meet on an equi-join over aligned blocks:
+
+* block minima: for level k = 0..L, block j holds the minimum of positions
+  [j*R^k, (j+1)*R^k) with radix R. Level 0 is the positions themselves; each
+  further level is aggregated from the one below, so level 1 shuffles each
+  position once and every later level at most 1/R of the one before.
+* query pieces: [p, q] splits into fewer than 2R aligned blocks per level. At
+  level k the covered blocks are lo_k = ceil(p / R^k) .. hi_k = floor((q+1) /
+  R^k) - 1; those whose parent at level k+1 is covered too are left out, which
+  leaves one run of blocks at either end.
+* pieces JOIN minima ON (level, block), then MIN per query together with one
+  NULL row per query, which never takes part in the join.
+
+L = floor(log_R(longest query)), measured with one aggregate. Every query gets a
+row (NULL when its range holds no position, or when p > q); ``query_id`` must be
+unique, since rows that share one are one query.
 """
 
 from __future__ import annotations
@@ -38,56 +38,61 @@ def symbol_factor(symbol: Column | str) -> Column:
                                                  F.coalesce(s, F.lit("NULL")))))
 
 
+# Blocks of a level that make one block of the next: a power of two.
+RADIX_BITS = 4
+RADIX = 1 << RADIX_BITS
+
+
 def max_level(queries: DataFrame, lo: str = "p", hi: str = "q") -> int:
-    """floor(log2(longest query length)); 0 when there is no proper range."""
-    longest = queries.select(F.max(F.col(hi) - F.col(lo) + 1).alias("m")).first()["m"]
-    if longest is None or longest < 1:
-        return 0
-    return int(longest).bit_length() - 1
+    """floor(log_RADIX(longest query length)); 0 when there is no proper range."""
+    longest = queries.select(F.max(F.col(hi) - F.col(lo) + 1).alias("m")).first()["m"] or 0
+    level = 0
+    while RADIX ** (level + 1) <= longest:
+        level += 1
+    return level
+
+
+def _down(c: Column, levels: int) -> Column:
+    """floor(c / RADIX**levels), for any sign."""
+    return F.shiftright(c, levels * RADIX_BITS)
 
 
 def block_minima(positions: DataFrame, levels: int, pos: str = "pos",
                  value: str = "value") -> DataFrame:
-    """(level, block, block_min) for levels 0..``levels``."""
-    return (positions.where(F.col(pos).isNotNull())
-            .select(F.col(pos).alias("_pos"), F.col(value).alias("_v"),
-                    F.explode(F.sequence(F.lit(0), F.lit(levels))).alias("level"))
-            .groupBy("level", F.expr("shiftright(_pos, level)").alias("block"))
-            .agg(F.min("_v").alias("block_min")))
+    """(level, block, block_min) for levels 0..``levels``; level 0 has a row for
+    every input row."""
+    below = positions.where(F.col(pos).isNotNull()).select(
+        F.col(pos).cast("long").alias("block"), F.col(value).alias("block_min"))
+    out = below.select(F.lit(0).alias("level"), "block", "block_min")
+    for level in range(1, levels + 1):
+        below = (below.groupBy(_down(F.col("block"), 1).alias("block"))
+                 .agg(F.min("block_min").alias("block_min")))
+        out = out.unionByName(below.select(F.lit(level).alias("level"), "block", "block_min"))
+    return out
 
 
 def query_pieces(queries: DataFrame, levels: int, qid: str = "query_id", lo: str = "p",
                  hi: str = "q") -> DataFrame:
-    """(query_id, level, block): the dyadic decomposition of each range.
-
-    Each query also gets one piece with a NULL block, so queries without any
-    piece survive the join and the grouping.
-    """
-    k = F.col("level")
-    p, q = F.col("_p"), F.col("_q")
-
-    def lo_at(kk: Column) -> Column:       # ceil(p / 2^k)
-        return F.expr("shiftright(_p + shiftleft(1L, {0}) - 1, {0})".format(kk))
-
-    def hi_at(kk: Column) -> Column:       # floor((q + 1) / 2^k) - 1
-        return F.expr("shiftright(_q + 1, {0}) - 1".format(kk))
-
+    """(query_id, level, block): the aligned blocks that make up each range."""
     base = queries.select(F.col(qid).alias("query_id"), F.col(lo).cast("long").alias("_p"),
-                          F.col(hi).cast("long").alias("_q"))
-    lv = base.where(p.isNotNull() & q.isNotNull() & (p <= q)).select(
-        "query_id", "_p", "_q", F.explode(F.sequence(F.lit(0), F.lit(levels))).alias("level"))
-    lv = lv.select("query_id", "level",
-                   lo_at("level").alias("_lo"), hi_at("level").alias("_hi"),
-                   lo_at("level + 1").alias("_plo"), hi_at("level + 1").alias("_phi"))
-    cand = lv.select("query_id", "level", "_lo", "_hi", "_plo", "_phi",
-                     F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias("block"))
-    j = F.col("block")
-    in_range = (j >= F.col("_lo")) & (j <= F.col("_hi"))
-    parent_covered = (k < levels) & (j >= 2 * F.col("_plo")) & (j <= 2 * F.col("_phi") + 1)
-    pieces = cand.where(in_range & ~parent_covered).select("query_id", "level", "block")
-    anchors = base.select("query_id", F.lit(None).cast("int").alias("level"),
-                          F.lit(None).cast("long").alias("block"))
-    return pieces.unionByName(anchors)
+                          F.col(hi).cast("long").alias("_q")).where("_p <= _q")
+    covered = [(_down(F.col("_p") + (RADIX ** k - 1), k), _down(F.col("_q") + 1, k) - 1)
+               for k in range(levels + 1)]
+
+    def run(level: int, a: Column, b: Column) -> Column:
+        blocks = F.when(a <= b, F.sequence(a, b)).otherwise(F.array().cast("array<bigint>"))
+        return F.transform(blocks, lambda j: F.struct(F.lit(level).alias("level"), j.alias("block")))
+
+    runs = []
+    for k, (first, last) in enumerate(covered):
+        if k == levels:
+            runs.append(run(k, first, last))
+            continue
+        up_first, up_last = covered[k + 1]
+        none = up_first > up_last
+        runs.append(run(k, first, F.when(none, last).otherwise(up_first * RADIX - 1)))
+        runs.append(run(k, F.when(none, last + 1).otherwise((up_last + 1) * RADIX), last))
+    return base.select("query_id", F.inline(F.concat(*runs)))
 
 
 def range_min(positions: DataFrame, queries: DataFrame, *, pos: str = "pos", value: str = "value",
@@ -97,6 +102,13 @@ def range_min(positions: DataFrame, queries: DataFrame, *, pos: str = "pos", val
     if levels is None:
         levels = max_level(queries, lo, hi)
     minima = block_minima(positions, levels, pos, value)
-    pieces = query_pieces(queries, levels, qid, lo, hi)
-    j = pieces.join(minima, ["level", "block"], "left")
-    return j.groupBy("query_id").agg(F.min("block_min").alias("min_value"))
+    found = query_pieces(queries, levels, qid, lo, hi).join(minima, ["level", "block"])
+    kind = positions.schema[value].dataType
+    every = queries.select(F.col(qid).alias("query_id"), F.lit(None).cast(kind).alias("block_min"))
+    return (found.select("query_id", "block_min").unionByName(every)
+            .groupBy("query_id").agg(F.min("block_min").alias("min_value")))
+
+
+def symbol_positions(sequence: DataFrame, pos: str = "pos", symbol: str = "symbol") -> DataFrame:
+    """SC19: (pos, value) of a symbol sequence; the value is the symbol's factor."""
+    return sequence.select(F.col(pos).alias("pos"), symbol_factor(symbol).alias("value"))

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from oxbow.plans.joins import bounded_broadcast
-from oxbow.plans.ordering import with_ordinal
+from oxbow.plans.ordering import with_rank
 
 REPORT_COLUMNS = ["group_name", "all_test_cases", "passed_test_cases", "test_value", "total_value"]
 
@@ -56,18 +56,6 @@ def group_pass_report(cases: DataFrame, groups: DataFrame, **kw) -> DataFrame:
     return group_pass_totals(pass_counts(cases, ["group_name"]), groups, **kw)
 
 
-def group_pass_report_two_joins(cases: DataFrame, groups: DataFrame) -> DataFrame:
-    """The literal form: two aggregates of the cases and two left joins."""
-    g = cases.groupBy("group_name").agg(F.count("id").alias("all_test_cases"))
-    o = (cases.where(F.col("status") == "OK").groupBy("group_name")
-         .agg(F.count("id").alias("passed_test_cases")))
-    c = groups.select(F.col("name"), F.col("test_value"))
-    j = (g.join(o, g["group_name"] == o["group_name"], "left")
-          .join(c, g["group_name"] == c["name"], "left"))
-    return j.select(g["group_name"], "all_test_cases", "passed_test_cases", "test_value",
-                    (F.col("test_value") * F.col("passed_test_cases")).alias("total_value"))
-
-
 def report_order():
     """ORDER BY total_value, group_name with NULLs first, ties broken by the rest."""
     return [F.col("total_value").asc_nulls_first(), F.col("group_name").asc_nulls_first(),
@@ -76,5 +64,5 @@ def report_order():
 
 
 def ordered_report(report: DataFrame) -> DataFrame:
-    """SO1: the report with its rank ``rn`` in report order (distributed numbering)."""
-    return with_ordinal(report, report_order(), "rn")
+    """SO1: the report with its rank ``rn`` in report order."""
+    return with_rank(report, report_order(), "rn")

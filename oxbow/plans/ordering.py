@@ -3,16 +3,20 @@
 ``row_number() OVER (ORDER BY ...)`` with no PARTITION BY moves every row into
 one task. ``with_ordinal`` does the same numbering at any size:
 
-1. a deterministic input id is attached (the last sort key, so even a group
-   of identical rows has distinct keys and the range partitioner can split it);
-2. ``repartitionByRange(n, keys)`` + ``sortWithinPartitions`` (an explicit
-   partition count, so adaptive execution keeps partition ids stable between
+1. a tie id is attached as the last sort key, so even a group of identical rows
+   has distinct keys and the range partitioner can split it. The id depends on
+   the order of the input rows, so the input must give the same rows in the same
+   order when a task runs again: a file scan does; anything behind a shuffle is
+   checkpointed first (``stable_input=False``);
+2. ``repartitionByRange(n, keys)`` + ``sortWithinPartitions``, with ``n`` from
+   the row count (an explicit partition count keeps partition ids stable between
    the two readers of this shuffle);
 3. ``monotonically_increasing_id`` after the sort packs (partition id, index
    within partition);
-4. the tagged rows are checkpointed (shared ``spark.checkpoint.dir``), so the
-   per-partition counts and the numbering read one materialization: a range
-   shuffle computed twice samples its bounds twice and may cut differently;
+4. the tagged rows are checkpointed (shared ``spark.checkpoint.dir``), less the
+   sort-only columns, so the per-partition counts and the numbering read one
+   materialization: a range shuffle computed twice samples its bounds twice and
+   may cut differently. Select the columns you need before the call;
 5. per-partition counts (one number per partition, as ``zipWithIndex``
    gathers them) give prefix offsets, which are broadcast -- their size is
    bounded by the partition count.
@@ -20,33 +24,40 @@ one task. ``with_ordinal`` does the same numbering at any size:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from oxbow.plans.joins import bounded_broadcast
 from oxbow.session import shared_dir
 
 _LOCAL_BITS = 33
+# Rows a partition of the sorted table is meant to hold.
+ROWS_PER_PARTITION = 1_000_000
+# A table of at most this many rows is numbered by one plain window.
+SMALL_ROWS = 10_000
 
 
-def with_ordinal(df: DataFrame, order: list[Column], name: str = "ordinal",
-                 partitions: int | None = None) -> DataFrame:
+def with_ordinal(df: DataFrame, order: list[Column], name: str = "ordinal", partitions: int | None = None,
+                 stable_input: bool = False, drop: tuple[str, ...] = ()) -> DataFrame:
     """Add ``name``: the 1-based position of each row in ``order``.
 
     ``order`` is a list of sort columns (use ``asc_nulls_first`` etc. to fix
     the NULL position). Rows tied on every sort key are numbered in an
-    arbitrary but consistent order.
+    arbitrary but consistent order. ``drop`` names columns needed only for
+    sorting. ``stable_input`` says that ``df`` reads files without a shuffle.
     """
     spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shared_dir(spark)
+    if not stable_input:
+        df = df.checkpoint(eager=True)
+    n = partitions or max(spark.sparkContext.defaultParallelism, -(-df.count() // ROWS_PER_PARTITION))
     keyed = df.withColumn("_ord_tb", F.monotonically_increasing_id())
     keys = list(order) + [F.col("_ord_tb").asc()]
     ranged = keyed.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
     tagged = (ranged.withColumn("_ord_mid", F.monotonically_increasing_id())
               .withColumn("_ord_pid", F.shiftright("_ord_mid", _LOCAL_BITS))
               .withColumn("_ord_local", F.col("_ord_mid").bitwiseAND((1 << _LOCAL_BITS) - 1))
-              .drop("_ord_mid"))
-    shared_dir(spark)
+              .drop("_ord_mid", "_ord_tb", *drop))
     tagged = tagged.checkpoint(eager=True)
     # One count per partition (at most ``n`` small rows, like zipWithIndex);
     # the prefix offsets are computed from them and broadcast back.
@@ -59,22 +70,35 @@ def with_ordinal(df: DataFrame, order: list[Column], name: str = "ordinal",
     off_df = spark.createDataFrame(offsets or [(0, 0)], "_ord_pid long, _ord_off long")
     out = tagged.join(F.broadcast(off_df), "_ord_pid")
     return (out.withColumn(name, F.col("_ord_off") + F.col("_ord_local") + 1)
-            .drop("_ord_tb", "_ord_pid", "_ord_local", "_ord_off"))
+            .drop("_ord_pid", "_ord_local", "_ord_off"))
+
+
+def with_rank(df: DataFrame, order: list[Column], name: str = "rn") -> DataFrame:
+    """``with_ordinal`` for a table that is small as a rule (a report): it is
+    checkpointed and counted, and a small one is numbered by one window."""
+    shared_dir(df.sparkSession)
+    df = df.checkpoint(eager=True)
+    if df.count() <= SMALL_ROWS:
+        return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("long"))
+    return with_ordinal(df, order, name, stable_input=True)
 
 
 def with_ordinal_within(df: DataFrame, group: str, order: list[Column], name: str = "seq",
-                        partitions: int | None = None) -> DataFrame:
+                        partitions: int | None = None, stable_input: bool = False,
+                        drop: tuple[str, ...] = ()) -> DataFrame:
     """Position of each row inside its ``group`` when groups are contiguous in
     ``order`` (``group`` ascending is the first sort key).
 
     seq = global ordinal - (first global ordinal of the group) + 1; the group
     starts are one row per group, aggregated map-side.
     """
-    ranked = with_ordinal(df, [F.col(group).asc_nulls_first()] + list(order), "_ord_g", partitions)
-    # One row per group: broadcast behind a bounded count, so the ranked rows
+    ranked = with_ordinal(df, [F.col(group).asc_nulls_first()] + list(order), "_ord_g", partitions,
+                          stable_input, drop)
+    # One row per group: broadcast behind a check of its size, so the ranked rows
     # are not shuffled by group (a hot group would land in one task). Above
     # the bound the inner join is left to the planner and AQE skew splitting.
-    starts = bounded_broadcast(ranked.groupBy(group).agg(F.min("_ord_g").alias("_ord_start")))
-    out = ranked.join(starts, ranked[group].eqNullSafe(starts[group]))
-    return (out.select(ranked["*"], (F.col("_ord_g") - F.col("_ord_start") + 1).alias(name))
-            .drop("_ord_g"))
+    starts = bounded_broadcast(ranked.groupBy(F.col(group).alias("_ord_group"))
+                               .agg(F.min("_ord_g").alias("_ord_start")))
+    out = ranked.join(starts, F.col(group).eqNullSafe(F.col("_ord_group")))
+    return (out.withColumn(name, F.col("_ord_g") - F.col("_ord_start") + 1)
+            .drop("_ord_g", "_ord_group", "_ord_start"))

@@ -1,11 +1,9 @@
-"""Parallelism for write- and Python-heavy stages.
+"""Parallelism for write-heavy stages.
 
-A scan yields one task per file split (at least one per parquet row group),
-so a small input can arrive as one partition. Before a stage whose cost is
-per row and outside codegen (file encoding, message publishing), ``spread``
-round-robins such a frame over the cluster's cores. A frame that already has
-enough partitions -- every large input -- is returned unchanged, with no
-shuffle.
+A scan yields one task per file split, so a small input can arrive as one
+partition, and a join can leave uneven ones. ``spread`` asks for partitions of
+the advisory size before a stage whose cost is per row (file encoding); the
+planner splits and merges them at run time, and nothing runs beforehand.
 """
 
 from __future__ import annotations
@@ -13,6 +11,5 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+def spread(df: DataFrame) -> DataFrame:
+    return df.hint("rebalance")
