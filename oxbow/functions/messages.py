@@ -55,6 +55,6 @@ def envelope(df: DataFrame, attribute_names: Sequence[str] = (),
 
 def decode(value: Column | str, schema: T.StructType) -> Column:
     """SC17: JSON text/bytes -> struct with ``schema`` (decimals stay decimal
-    when the schema says so)."""
+    when the schema says so). Malformed text fails the job."""
     v = F.col(value) if isinstance(value, str) else value
-    return F.from_json(v.cast("string"), schema, JSON_READ_OPTIONS)
+    return F.from_json(v.cast("string"), schema, {**JSON_READ_OPTIONS, "mode": "FAILFAST"})

@@ -45,7 +45,7 @@ class Replay:
 
     def __post_init__(self):
         if self.replay_start < self.start:
-            raise ValueError("replay_start must be equal or after the series start")
+            raise ValueError(f"replay cannot begin at {self.replay_start}, before its series at {self.start}")
         if self.rate < 0:
             raise ValueError("rate must not be negative")
         if self.batch_seconds <= 0:
@@ -119,11 +119,21 @@ def split_bad_rows(df: DataFrame, ts_col: str) -> tuple[DataFrame, DataFrame]:
 
 
 def require_timestamps(df: DataFrame, ts_col: str) -> DataFrame:
-    """FLT4, strict: the replay fails on the first row without a timestamp."""
-    c = F.col(ts_col)
-    bad = c.isNull() | (F.trim(c.cast("string")) == "")
-    msg = F.concat(F.lit(f"item doesn't have a timestamp field {ts_col}: "), F.to_json(F.struct("*")))
-    return df.withColumn(ts_col, F.when(bad, F.raise_error(msg)).otherwise(c))
+    """FLT4, strict and lazy: a query fails on the first row whose timestamp is
+    missing or cannot be parsed; the column becomes a timestamp."""
+    parsed = parse_ts(ts_col) if dict(df.dtypes)[ts_col] == "string" else F.col(ts_col)
+    msg = F.concat(F.lit(f"no valid {ts_col} in row "), F.to_json(F.struct("*")))
+    return df.withColumn(ts_col, F.when(parsed.isNull(), F.raise_error(msg)).otherwise(parsed))
+
+
+def check_timestamps(df: DataFrame, ts_col: str) -> None:
+    """FLT4, strict and eager: raise ``ValueError`` when a row has no valid
+    timestamp. Kept apart from the replay, whose time filters then still reach
+    the scan; on a typed column the test is a pushed IS NULL."""
+    _, bad = split_bad_rows(df, ts_col)
+    first = bad.first()
+    if first is not None:
+        raise ValueError(f"{first['_error']}: {first.asDict()}")
 
 
 def enrich(df: DataFrame, r: Replay, ts_col: str | None = None, publish: bool = True,
@@ -153,27 +163,31 @@ def emission_order(df: DataFrame, ts_col: str, payload: list[str] | None = None)
     return [F.col(ts_col).asc_nulls_first(), row_json(df, payload).asc_nulls_first()]
 
 
-def replay_order(df: DataFrame, r: Replay, ts_col: str | None = None) -> DataFrame:
+def replay_order(df: DataFrame, r: Replay, ts_col: str | None = None, keep: list[str] | None = None,
+                 stable_input: bool = False) -> DataFrame:
     """ST6: each row's position ``_seq`` inside its batch in emission order.
 
     Numbered with a distributed range sort (``plans.ordering``), so a batch
-    holding a large share of all rows is still spread over many tasks.
+    holding a large share of all rows is still spread over many tasks. ``keep``
+    names the columns to return (all by default); the others are only sorted by.
+    ``stable_input``: see ``plans.ordering.with_ordinal``.
     """
     ts = ts_col or r.ts_field
     payload = df.columns
     b = assign_batches(df, r, ts)
-    b = b.withColumn("_json", row_json(b, payload))
-    out = with_ordinal_within(b, "_batch_id", [F.col(ts).asc_nulls_first(),
-                                               F.col("_json").asc_nulls_first()], "_seq")
-    return out.drop("_json")
+    rows = b.select(*(b.columns if keep is None else keep), F.col(ts).alias("_sort_ts"),
+                    row_json(b, payload).alias("_json"))
+    return with_ordinal_within(rows, "_batch_id", [F.col("_sort_ts").asc_nulls_first(),
+                                                   F.col("_json").asc_nulls_first()], "_seq",
+                               stable_input=stable_input, drop=("_sort_ts", "_json"))
 
 
 def sort_json_lines(lines: DataFrame, field: str, text_col: str = "value",
-                    name: str = "_line_no") -> DataFrame:
+                    name: str = "_line_no", stable_input: bool = False) -> DataFrame:
     """SO2 + SC20 on raw JSON-lines text: order by the field's text
     (``get_json_object``), ties broken by the whole line, numbered 1..n with
     the distributed ordinal (no single-task sort)."""
     key = F.get_json_object(F.col(text_col), f"$.{field}")
     return with_ordinal(lines.withColumn("_sort_key", key),
                         [F.col("_sort_key").asc_nulls_first(), F.col(text_col).asc()],
-                        name).drop("_sort_key")
+                        name, stable_input=stable_input, drop=("_sort_key",))

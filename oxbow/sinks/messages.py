@@ -1,195 +1,45 @@
-"""Message sink (SNK4, SNK5, SNK6, ST8) as a Python data source.
+"""Message sink (SNK4, SNK5, SNK6).
 
-Rows ``(value BINARY, attributes MAP<STRING,STRING>)`` are published by the
-executor tasks that hold them, in groups of at most ``max_messages`` messages
-and ``max_bytes`` bytes; a group is acknowledged before the next one starts,
-and a task reports its counts only after every group of its partition was
-acknowledged. A retried task publishes again: delivery is at-least-once, as
-with any message service without idempotent publish.
+Messages are rows ``(value BINARY, attributes MAP<STRING,STRING>)``
+(``functions.messages.envelope``), written by Spark's own writers:
 
-Publishers (no message-service client is installed here):
-
-* ``topic``   -- a folder on shared storage standing in for a topic: one
-  JSON-lines file per task; each group is appended and flushed before the
-  next one (the flush is the acknowledgement); the file is renamed to its
-  final name when the partition is done.
-* ``console`` -- one JSON object per line on the task's standard output.
-
-Use ``format("oxbow_messages")`` with ``.mode("append")`` in batch, or in
-``writeStream``. ``register(spark)`` makes the format known to a session.
+* a folder: JSON lines ``{"data": ..., "attributes": {...}}``. A named batch has
+  a folder of its own, which a re-run replaces, so each batch is there once;
+* any format of the session, such as a message service's connector
+  (``fmt="kafka"``), with its options; delivery is then what the connector gives;
+* no target: the console.
 """
 
 from __future__ import annotations
 
-import json
-import sys
-import uuid
-from dataclasses import dataclass
-
-from pyspark.sql.datasource import (DataSource, DataSourceArrowWriter,
-                                    DataSourceStreamArrowWriter, WriterCommitMessage)
-
-FORMAT = "oxbow_messages"
-# Publish grouping limits (messages, bytes per group).
-MAX_MESSAGES = 1000
-MAX_BYTES = 5 * 1024
-SCHEMA = "value binary, attributes map<string,string>"
-
-
-@dataclass
-class Published(WriterCommitMessage):
-    partition: int
-    messages: int
-    groups: int
-
-
-def _groups(batches, max_messages: int, max_bytes: int):
-    """Group (value, attributes) pairs; a group never exceeds either limit
-    (a single message larger than ``max_bytes`` travels alone)."""
-    group, size = [], 0
-    for rb in batches:
-        values = rb.column("value").to_pylist()
-        attrs = rb.column("attributes").to_pylist()
-        for v, a in zip(values, attrs):
-            n = len(v) if v is not None else 0
-            if group and (len(group) >= max_messages or size + n > max_bytes):
-                yield group
-                group, size = [], 0
-            group.append((v, dict(a) if a else {}))
-            size += n
-    if group:
-        yield group
-
-
-def _line(value: bytes | None, attributes: dict) -> str:
-    data = value.decode("utf-8") if value is not None else None
-    return json.dumps({"data": data, "attributes": attributes}, separators=(",", ":"))
-
-
-class _TopicPublisher:
-    """One file per task: each group is written and flushed before the next
-    (the flush is the acknowledgement); the file becomes visible under its
-    final name when the task has published everything."""
-
-    def __init__(self, path: str, prefix: str):
-        import pyarrow.fs as pafs
-        self.fs, self.root = pafs.FileSystem.from_uri(path) if "://" in path else (
-            pafs.LocalFileSystem(), path)
-        self.fs.create_dir(self.root, recursive=True)
-        self.name = f"{self.root}/{prefix}.jsonl"
-        self.tmp = f"{self.root}/_tmp-{prefix}-{uuid.uuid4().hex[:8]}"
-        self.out = self.fs.open_output_stream(self.tmp)
-
-    def publish(self, group) -> None:
-        self.out.write(("\n".join(_line(v, a) for v, a in group) + "\n").encode("utf-8"))
-        self.out.flush()
-
-    def close(self) -> None:
-        self.out.close()
-        self.fs.move(self.tmp, self.name)
-
-
-class _ConsolePublisher:
-    def __init__(self, *_):
-        pass
-
-    def close(self) -> None:
-        pass
-
-    def publish(self, group) -> None:
-        for v, _a in group:
-            sys.stdout.write((v.decode("utf-8") if v is not None else "null") + "\n")
-        sys.stdout.flush()
-
-
-def _publish(options: dict, batches, tag: str) -> Published:
-    from pyspark import TaskContext
-    ctx = TaskContext.get()
-    pid = ctx.partitionId() if ctx else 0
-    attempt = ctx.attemptNumber() if ctx else 0
-    kind = options.get("publisher", "topic")
-    max_messages = int(options.get("max_messages", MAX_MESSAGES))
-    max_bytes = int(options.get("max_bytes", MAX_BYTES))
-    if kind == "topic":
-        pub = _TopicPublisher(options["path"], f"{tag}-p{pid:05d}-a{attempt}")
-    elif kind == "console":
-        pub = _ConsolePublisher()
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+LINE_SCHEMA = "data string, attributes map<string,string>"
+
+
+def publish(messages: DataFrame, target: str | None = None, *, batch: str | None = None,
+            fmt: str | None = None, **options) -> None:
+    """SNK6: a target given -> publish there; otherwise print to the console."""
+    rows = messages.select("value", "attributes")
+    if fmt:
+        headers = F.transform(F.map_entries("attributes"),
+                              lambda e: F.struct(e["key"].alias("key"), e["value"].cast("binary").alias("value")))
+        rows = rows.select("value", headers.alias("headers")) if fmt == "kafka" else rows
+        rows.write.format(fmt).mode("append").options(**options).save(*([target] if target else []))
+    elif target:
+        lines = rows.select(F.col("value").cast("string").alias("data"), "attributes")
+        writer = lines.write.option("ignoreNullFields", "false")
+        if batch:
+            writer.mode("overwrite").json(f"{target}/batch={batch}")
+        else:
+            writer.mode("append").json(target)
     else:
-        raise ValueError(f"unknown publisher {kind!r}")
-    n = g = 0
-    for group in _groups(batches, max_messages, max_bytes):
-        pub.publish(group)
-        n += len(group)
-        g += 1
-    pub.close()
-    return Published(pid, n, g)
-
-
-class _BatchWriter(DataSourceArrowWriter):
-    def __init__(self, options: dict):
-        self.options = options
-        self.tag = options.get("batch", f"job-{uuid.uuid4().hex[:12]}")
-
-    def write(self, iterator):
-        return _publish(self.options, iterator, self.tag)
-
-
-class _StreamWriter(DataSourceStreamArrowWriter):
-    def __init__(self, options: dict):
-        self.options = options
-        self.run = uuid.uuid4().hex[:8]
-
-    def write(self, iterator):
-        from pyspark import TaskContext
-        ctx = TaskContext.get()
-        epoch = ctx.getLocalProperty("streaming.sql.batchId") if ctx else None
-        return _publish(self.options, iterator, f"epoch-{epoch or self.run}")
-
-    def commit(self, messages, batchId):
-        pass
-
-    def abort(self, messages, batchId):
-        pass
-
-
-class MessageSink(DataSource):
-    @classmethod
-    def name(cls):
-        return FORMAT
-
-    def schema(self):
-        return SCHEMA
-
-    def writer(self, schema, overwrite):
-        return _BatchWriter(dict(self.options))
-
-    def streamWriter(self, schema, overwrite):
-        return _StreamWriter(dict(self.options))
-
-
-def register(spark) -> None:
-    from oxbow.session import ship_package
-    ship_package(spark)
-    spark.dataSource.register(MessageSink)
-
-
-def sink_options(topic: str | None) -> dict:
-    """SNK6: a topic given -> publish there; otherwise print to the console."""
-    if topic:
-        return {"publisher": "topic", "path": topic}
-    return {"publisher": "console"}
-
-
-def publish(messages_df, topic: str | None = None, batch: str | None = None, **options) -> None:
-    """Publish a ``(value, attributes)`` DataFrame in batch mode."""
-    register(messages_df.sparkSession)
-    opts = {**sink_options(topic), **{k: str(v) for k, v in options.items()}}
-    if batch is not None:
-        opts["batch"] = str(batch)
-    messages_df.select("value", "attributes").write.format(FORMAT).mode("append") \
-        .options(**opts).save()
+        rows.select(F.col("value").cast("string").alias("data"), "attributes") \
+            .write.format("console").option("truncate", False).mode("append").options(**options).save()
 
 
-def read_topic(spark, topic: str):
-    """The messages published to a topic folder: (data string, attributes map)."""
-    return spark.read.schema("data string, attributes map<string,string>").json(topic)
+def read_messages(spark: SparkSession, target: str) -> DataFrame:
+    """The messages in a folder: (data, attributes)."""
+    return (spark.read.schema(LINE_SCHEMA).option("mode", "FAILFAST")
+            .option("recursiveFileLookup", True).json(target))

@@ -12,10 +12,13 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A parquet table of the data directory. Column pruning and filters
-    written downstream reach this scan through Catalyst."""
+    """A parquet table of the data directory; any other name is a table of the
+    session's catalog. Column pruning and filters written downstream reach this
+    scan through Catalyst."""
     if name not in TABLES:
-        raise ValueError(f"unknown table {name!r}")
+        if not spark.catalog.tableExists(name):
+            raise ValueError(f"unknown table {name!r}")
+        return spark.table(name)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

@@ -5,39 +5,41 @@ micro-batch k the history rows with ``lo < replay time <= hi`` go out, where
 ``hi`` is the newest clock time in the batch and ``lo`` the ``hi`` of the
 batch before. With no ``lo`` yet there is no lower bound, so rows whose
 replay time has already passed (the backlog) go out at once; nothing is
-dropped. Each batch's (lo, hi) is written to the checkpoint folder before the
-batch emits; a batch run again after a failure finds its bounds and emits the
-same rows. File sinks write one folder per batch id in overwrite mode, so a
-re-run replaces rather than duplicates; the message sink is at-least-once.
+dropped. The bounds of the newest batch are kept in the checkpoint folder and
+written before the batch emits; a batch run again after a failure finds its
+bounds and emits the same rows. Sinks write one folder per batch id in overwrite
+mode, so a re-run replaces rather than duplicates.
 
 Each micro-batch reads only its slice of the history: the replay-time window
 is mapped back to a source-time window (rate > 0), which reaches the scan as
 a pushed filter; the exact replay-time test follows.
 
-``stream_replay_files`` -- bounded replay of a finite slice. Batch by batch,
-the slice is exported as JSON lines into its own folder; after each export an
-``availableNow`` run of a file stream (one checkpoint for the whole replay)
-picks up exactly the new files and emits them in order. A restart skips the
-batches already exported and the stream resumes from its checkpoint.
+``stream_replay_files`` -- bounded replay of a finite slice. The slice is
+exported once as JSON lines, partitioned by batch; then one stream counts
+through the batches, and each micro-batch reads its partition and emits it in
+order. A restart keeps the finished export and goes on at the stream's checkpoint.
+
+Both fail before they start when a row of the history has no valid timestamp.
 """
 
 from __future__ import annotations
 
 import json
 import time
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from oxbow.functions.messages import JSON_READ_OPTIONS, JSON_WRITE_OPTIONS, envelope, row_json
-from oxbow.functions.timefmt import ts_lit
-from oxbow.operators.replay import Replay, assign_batches, enrich
-from oxbow.session import ship_package
+from oxbow.functions.messages import JSON_WRITE_OPTIONS, envelope, row_json
+from oxbow.functions.timefmt import EPOCH, ts_lit
+from oxbow.operators.replay import ENRICH_COLUMNS, Replay, assign_batches, check_timestamps, enrich
+from oxbow.session import hadoop_path
 from oxbow.sinks import messages as msg_sink
 from oxbow.sources.files import read_jsonl
 
-EPOCH = "1970-01-01 00:00:00"
+_BATCH = ("_batch_id", "_batch_start", "_batch_end")
 
 
 def _epoch_micros(c) -> F.Column:
@@ -45,176 +47,172 @@ def _epoch_micros(c) -> F.Column:
     return F.timestamp_diff("MICROSECOND", ts_lit(EPOCH), c)
 
 
-class _Store:
-    """Small JSON files in a (possibly remote) folder, through pyarrow.fs."""
-
-    def __init__(self, root: str):
-        import pyarrow.fs as pafs
-        if "://" in root and not root.startswith("file:"):
-            self.fs, self.root = pafs.FileSystem.from_uri(root)
-        else:
-            self.fs, self.root = pafs.LocalFileSystem(), root.replace("file://", "").replace("file:", "")
-        self.fs.create_dir(self.root, recursive=True)
+def _us(t: datetime) -> int:
+    return (t - datetime(1970, 1, 1)) // timedelta(microseconds=1)
 
-    def get(self, name: str):
-        import pyarrow.fs as pafs
-        p = f"{self.root}/{name}"
-        if self.fs.get_file_info(p).type == pafs.FileType.NotFound:
-            return None
-        with self.fs.open_input_stream(p) as f:
-            return json.loads(f.read().decode())
 
-    def put(self, name: str, value) -> None:
-        tmp = f"{self.root}/_tmp-{name}"
-        with self.fs.open_output_stream(tmp) as f:
-            f.write(json.dumps(value).encode())
-        self.fs.move(tmp, f"{self.root}/{name}")
+class _Bounds:
+    """The bounds of the newest micro-batch: {"batch", "lo", "hi"}.
 
-    def names(self) -> list[str]:
-        import pyarrow.fs as pafs
-        sel = pafs.FileSelector(self.root, allow_not_found=True)
-        return sorted(i.base_name for i in self.fs.get_file_info(sel) if not i.base_name.startswith("_"))
+    Two files are written in turn, so one of them is whole at any time."""
 
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root
 
-def _emit(rows: DataFrame, sink: str, out: str, batch_id: int, payload: list[str],
-          attributes: list[str], topic: str | None) -> None:
+    def _read(self, name: str) -> dict | None:
+        fs, p = hadoop_path(self.spark, f"{self.root}/{name}")
+        if not fs.exists(p):
+            return None
+        stream = fs.open(p)
+        try:
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        except ValueError:
+            return None     # cut short by a failure; the other file holds the bounds before
+        finally:
+            stream.close()
+
+    def newest(self) -> dict | None:
+        found = [b for b in map(self._read, ("bounds-0", "bounds-1")) if b]
+        return max(found, key=lambda b: b["batch"], default=None)
+
+    def write(self, bounds: dict) -> None:
+        fs, p = hadoop_path(self.spark, f"{self.root}/bounds-{bounds['batch'] % 2}")
+        stream = fs.create(p, True)
+        stream.write(bytearray(json.dumps(bounds).encode()))
+        stream.close()
+
+
+def _emit(rows: DataFrame, sink: str, out: str | None, batch_id: int, payload: list[str],
+          attributes: list[str]) -> None:
     """Write one micro-batch in emission order to the chosen sink."""
-    ordered = rows.orderBy(F.col("_replay_ts").asc(), row_json(rows, payload).asc())
-    if sink in ("json", "parquet"):
-        w = ordered.select(*payload).write.mode("overwrite")
-        if sink == "json":
-            w = w.options(**JSON_WRITE_OPTIONS)
-        w.format(sink).save(f"{out}/batch_id={batch_id:08d}")
-    elif sink in ("messages", "console"):
-        env = envelope(ordered.select(*payload), attributes)
-        msg_sink.publish(env, topic if sink == "messages" else None, batch=f"epoch-{batch_id:08d}")
+    ordered = rows.orderBy(F.col("_replay_ts").asc(), row_json(rows, payload).asc()).select(*payload)
+    name = f"{batch_id:08d}"
+    if sink == "parquet":
+        ordered.write.mode("overwrite").parquet(f"{out}/batch_id={name}")
+    elif sink == "json":
+        ordered.write.mode("overwrite").options(**JSON_WRITE_OPTIONS).json(f"{out}/batch_id={name}")
+    elif sink == "messages":
+        msg_sink.publish(envelope(ordered, attributes), out, batch=name)
+    elif sink == "console":
+        msg_sink.publish(envelope(ordered, attributes), None)
     else:
         raise ValueError(f"unknown sink {sink!r}")
 
 
-def _source_window(r: Replay, lo_us: int | None, hi_us: int) -> F.Column | None:
-    """Source-time filter covering replay times in (lo, hi] (rate > 0), one
-    second wider on each side for rounding; None when it cannot narrow."""
-    if r.rate <= 0:
-        return None
-    epoch = time_from_us(0)
-    rs = (r.replay_start - epoch) / timedelta(microseconds=1)
-    hi_src = r.start + timedelta(microseconds=(hi_us - rs) / r.rate) + timedelta(seconds=1)
-    cond = F.col(r.ts_field) <= ts_lit(hi_src)
-    if lo_us is not None:
-        lo_src = r.start + timedelta(microseconds=(lo_us - rs) / r.rate) - timedelta(seconds=1)
-        cond = cond & (F.col(r.ts_field) >= ts_lit(lo_src))
-    return cond
+def source_window(r: Replay, lo_us: int | None, hi_us: int) -> tuple[datetime, datetime]:
+    """Source times (both ends included) that cover the replay times in
+    (lo, hi], one second wider on each side for rounding and never outside the
+    series. At rate 0 every source time has the same replay time."""
+    if r.rate == 0:
+        return r.start, r.end
 
-
-def time_from_us(us: int):
-    from datetime import datetime
-    return datetime(1970, 1, 1) + timedelta(microseconds=us)
+    def back(us: int, pad: int) -> datetime:
+        seconds = (us - _us(r.replay_start)) / 1e6 / r.rate + pad
+        return r.start + timedelta(seconds=min(max(seconds, 0.0), (r.end - r.start).total_seconds()))
+    return (r.start if lo_us is None else back(lo_us, -1)), back(hi_us, 1)
 
 
 def stream_replay(spark: SparkSession, history: DataFrame, r: Replay, *, checkpoint: str,
-                  out: str | None = None, sink: str = "parquet", topic: str | None = None,
+                  out: str | None = None, sink: str = "parquet",
                   attributes: list[str] | tuple[str, ...] = (), rows_per_second: int = 1,
                   trigger_seconds: float = 1.0, timeout: float | None = None,
-                  poll_seconds: float = 0.5) -> dict:
+                  poll_seconds: float = 0.2) -> dict:
     """ST3/ST4: paced replay until every row of the slice has gone out.
 
-    ``sink``: "parquet"/"json" (folder per batch under ``out``), "messages"
-    (``topic`` folder), or "console" (SNK6: no topic -> console). Returns a
-    summary with the number of micro-batches that emitted.
+    ``sink``: "parquet", "json" or "messages" (a folder per batch under ``out``),
+    or "console". Returns the number of micro-batches that emitted and the last
+    clock time. With ``timeout`` (seconds), rows that are left then raise
+    ``TimeoutError``; a later call with the same checkpoint goes on from there.
     """
-    ship_package(spark)
     ts = r.ts_field
-    payload = list(history.columns) + ["_offset", "_replay_timestamp", "_publish_timestamp"]
-    sliced = assign_batches(history, r, ts).drop("_batch_id", "_batch_start", "_batch_end")
+    check_timestamps(history, ts)
+    payload = list(history.columns) + list(ENRICH_COLUMNS)
+    sliced = assign_batches(history, r, ts).drop(*_BATCH)
     last_us = (enrich(sliced, r, ts, publish=False, keep_replay_ts=True)
                .select(F.max(_epoch_micros(F.col("_replay_ts"))).alias("m")).first()["m"])
-    bounds = _Store(f"{checkpoint}/replay-bounds")
+    bounds = _Bounds(spark, f"{checkpoint}/replay-bounds")
     done = {"emitted_batches": 0, "last_hi": None}
 
     def each(clock: DataFrame, batch_id: int) -> None:
-        b = bounds.get(f"{batch_id:08d}.json")
-        if b is None:
+        b = bounds.newest()
+        if b is None or b["batch"] != batch_id:
             hi = clock.select(F.max(F.unix_micros("timestamp")).alias("hi")).first()["hi"]
             if hi is None:
                 return                          # the rate source's first batch is empty
-            prev = [n for n in bounds.names() if n < f"{batch_id:08d}.json"]
-            lo = bounds.get(prev[-1])["hi"] if prev else None
-            b = {"lo": lo, "hi": hi}
-            bounds.put(f"{batch_id:08d}.json", b)
+            b = {"batch": batch_id, "lo": b and b["hi"], "hi": hi}
+            bounds.write(b)
         lo, hi = b["lo"], b["hi"]
-        if lo is not None and last_us is not None and lo >= last_us:
-            done["last_hi"] = hi
-            return                              # everything has gone out already
-        src = sliced
-        window = _source_window(r, lo, hi)
-        if window is not None:
-            src = src.where(window)
-        rows = enrich(src, r, ts, publish=True, keep_replay_ts=True)
-        us = _epoch_micros(F.col("_replay_ts"))
-        cond = us <= F.lit(hi)
-        if lo is not None:
-            cond = cond & (us > F.lit(lo))
-        _emit(rows.where(cond), sink, out, batch_id, payload, list(attributes), topic)
-        done["emitted_batches"] += 1
+        first = _us(r.replay_start)
+        if last_us is not None and hi >= first and (lo is None or lo < last_us):
+            a, z = source_window(r, lo, hi)
+            src = sliced.where((F.col(ts) >= ts_lit(a)) & (F.col(ts) <= ts_lit(z)))
+            rows = enrich(src, r, ts, publish=True, keep_replay_ts=True)
+            us = _epoch_micros(F.col("_replay_ts"))
+            cond = us <= F.lit(hi) if lo is None else (us <= F.lit(hi)) & (us > F.lit(lo))
+            _emit(rows.where(cond), sink, out, batch_id, payload, list(attributes))
+            done["emitted_batches"] += 1
         done["last_hi"] = hi
 
-    clock = (spark.readStream.format("rate").option("rowsPerSecond", rows_per_second).load())
+    def finished() -> bool:
+        return last_us is None or (done["last_hi"] is not None and done["last_hi"] >= last_us)
+
+    clock = spark.readStream.format("rate").option("rowsPerSecond", rows_per_second).load()
     q = (clock.writeStream.foreachBatch(each).option("checkpointLocation", f"{checkpoint}/clock")
          .trigger(processingTime=f"{trigger_seconds} seconds").start())
     started = time.time()
     try:
-        while q.isActive:
-            names = bounds.names()
-            if last_us is None or (names and bounds.get(names[-1])["hi"] >= last_us
-                                   and done["last_hi"] is not None and done["last_hi"] >= last_us):
-                break
+        while not finished():
+            if not q.isActive:
+                raise q.exception() or RuntimeError("the replay stream ended before its last row")
             if timeout is not None and time.time() - started > timeout:
-                break
-            if q.exception() is not None:
-                raise q.exception()
+                raise TimeoutError(f"rows are left to replay after {timeout} s")
             time.sleep(poll_seconds)
     finally:
         _stop_when_idle(q)
     return done
 
 
-def _stop_when_idle(q, wait_seconds: float = 30.0) -> None:
-    """Stop between micro-batches: interrupting a running batch is avoided."""
-    deadline = time.time() + wait_seconds
-    while q.isActive and q.status.get("isTriggerActive") and time.time() < deadline:
-        time.sleep(0.05)
+def _stop_when_idle(q) -> None:
+    """Stop between micro-batches, however long the running one takes."""
+    while q.isActive and q.status.get("isTriggerActive"):
+        time.sleep(0.02)
     q.stop()
 
 
 def stream_replay_files(spark: SparkSession, history: DataFrame, r: Replay, *, workdir: str,
-                        sink: str = "parquet", topic: str | None = None,
-                        attributes: list[str] | tuple[str, ...] = ()) -> str:
-    """ST7: bounded replay through a file stream, batch after batch; returns
+                        sink: str = "parquet", attributes: list[str] | tuple[str, ...] = ()) -> str:
+    """ST7: bounded replay through exported files, batch after batch; returns
     the output folder (one folder per micro-batch, ordered within)."""
-    ship_package(spark)
     ts = r.ts_field
-    src, out, ckpt = f"{workdir}/export", f"{workdir}/out", f"{workdir}/checkpoint"
-    marks = _Store(f"{workdir}/exported")
-    schema = history.schema
-    payload = list(history.columns) + ["_offset", "_replay_timestamp", "_publish_timestamp"]
-    stream = spark.readStream.schema(schema).options(**JSON_READ_OPTIONS).json(f"{src}/*")
-
-    def each(batch: DataFrame, batch_id: int) -> None:
-        rows = enrich(batch, r, ts, publish=True, keep_replay_ts=True)
-        _emit(rows, sink, out, batch_id, payload, list(attributes), topic)
-
-    for i, (b_start, b_end) in enumerate(r.batches()):
-        name = f"{i:08d}.json"
-        if marks.get(name) is None:
-            part = history.where((F.col(ts) >= ts_lit(b_start)) & (F.col(ts) < ts_lit(b_end)))
-            part.write.mode("overwrite").options(**JSON_WRITE_OPTIONS).json(f"{src}/b{i:08d}")
-            marks.put(name, {"start": str(b_start), "end": str(b_end)})
-        q = (stream.writeStream.foreachBatch(each).option("checkpointLocation", ckpt)
-             .trigger(availableNow=True).start())
-        q.awaitTermination()
-        if q.exception() is not None:
-            raise q.exception()
+    src, out = f"{workdir}/export", f"{workdir}/out"
+    fs, finished = hadoop_path(spark, f"{src}/_SUCCESS")
+    if not fs.exists(finished):
+        check_timestamps(history, ts)
+        # By time, so that a task writes few batches and a batch comes from few tasks.
+        (assign_batches(history, r, ts).drop("_batch_start", "_batch_end").repartitionByRange(F.col(ts))
+         .write.mode("overwrite").partitionBy("_batch_id").options(**JSON_WRITE_OPTIONS).json(src))
+    payload = list(history.columns) + list(ENRICH_COLUMNS)
+    exported = read_jsonl(spark, src, T.StructType([*history.schema.fields, T.StructField("_batch_id", T.LongType())]))
+    last = r.n_batches() - 1
+    seen = {"batch": -1}
+
+    def each(numbers: DataFrame, batch_id: int) -> None:
+        n = numbers.select(F.max("value")).first()[0]
+        rows = exported.where(F.col("_batch_id") == F.lit(n)).drop("_batch_id")
+        if n <= last and not rows.isEmpty():
+            _emit(enrich(rows, r, ts, publish=True, keep_replay_ts=True), sink, out, n, payload, list(attributes))
+        seen["batch"] = n       # beyond the last one after a restart
+
+    # One number per micro-batch, the same one if it is run again.
+    numbers = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 1).load()
+    q = (numbers.writeStream.foreachBatch(each).option("checkpointLocation", f"{workdir}/checkpoint").start())
+    try:
+        while seen["batch"] < last:
+            if not q.isActive:
+                raise q.exception() or RuntimeError("the replay stream ended before its last batch")
+            time.sleep(0.05)
+    finally:
+        q.stop()                # at most an empty micro-batch is running
     return out
 
 
