@@ -1,14 +1,15 @@
 """Registered queries on the driver's tables, each with its DuckDB oracle SQL.
 
 ``QUERIES[name](spark, sf_dir) -> DataFrame`` and ``ORACLE_SQL[name]`` share
-column names. Money is rounded to 4 places on both sides. Every query reads
-whole tables; none samples, caps or subsets rows.
+column names. Money is rounded to 4 places on both sides; each engine adds doubles
+in its own order, so a nudge far below a place settles ties alike. Every query reads
+whole tables; only a filter that is the query's own feature leaves rows out.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +22,7 @@ from oxbow.plans import mapping
 from oxbow.plans.joins import bounded_broadcast
 from oxbow.plans.partitioning import spread
 from oxbow.session import scratch_path
+from oxbow.sinks import messages as msg_sink
 from oxbow.sinks import tables as sinks
 from oxbow.sources import files, schema
 from oxbow.streaming import replay as streaming
@@ -40,8 +42,12 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+_NUDGE = 1e-9
+
+
 def _money(df: DataFrame, *names: str) -> DataFrame:
-    return df.select(*[F.round(c, 4).alias(c) if c in names else F.col(c) for c in df.columns])
+    return df.select(*[F.round(F.col(c).cast("double") + F.lit(_NUDGE), 4).alias(c) if c in names else F.col(c)
+                       for c in df.columns])
 
 
 # --------------------------------------------------------------------------- SQL pieces
@@ -63,29 +69,36 @@ base AS (
 
 OPTIONS_SQL = """
 options AS (
-  SELECT split_part(p_name, ' ', 1) AS Model, p_brand AS Option_Code, p_type AS Option_Desc,
-         p_retailprice AS Material_Cost, p_partkey AS row_order
-  FROM part
-  WHERE p_type = 'PROMO' AND p_size <= 15 AND p_brand NOT IN ('Brand#1', 'Brand#5'))"""
+  SELECT split_part(p_name, ' ', 1) AS Model,
+         CASE WHEN p_type = 'PROMO' AND p_size <= 15 AND p_brand NOT IN ('Brand#1', 'Brand#5')
+              THEN p_brand ELSE p_brand || '/' || p_type END AS Option_Code,
+         p_type AS Option_Desc, p_retailprice AS Material_Cost, p_partkey AS row_order
+  FROM part)"""
 
 
 def _profit_sql(base_sql: str, per_unit: bool = False) -> str:
-    q = "" if per_unit else "b.Option_Quantities * "
-    cost = (f"COALESCE(b.ZeroCost, {q}o.Material_Cost, {q}av.Average_Cost, b.Sales_Price * 0.45)")
+    """Cost arms as rows: each line meets its candidates in order of preference,
+    and the first that has a cost decides."""
+    factor = "1" if per_unit else "Option_Quantities"
     return f"""
 WITH {base_sql}, {OPTIONS_SQL},
-b AS (
-  SELECT *, split_part(Model_Text, ' ', 1) || '_' || Options_Code AS ModelOptionKey,
-         CASE WHEN Sales_Price <= 0 THEN 0 ELSE NULL END AS ZeroCost
-  FROM base),
-o AS (SELECT Model || '_' || Option_Code AS ModelOptionKey, avg(Material_Cost) AS Material_Cost
-      FROM options GROUP BY 1),
-av AS (SELECT Option_Code, avg(Material_Cost) AS Average_Cost FROM options GROUP BY Option_Code)
-SELECT b.Vehicle_ID, b.Option_Quantities, b.Options_Code, b.Option_Desc, b.Model_Text, b.Sales_Price,
-       round({cost}, 4) AS Production_Cost,
-       round(CASE WHEN b.ZeroCost = 0 THEN 0 ELSE b.Sales_Price - {cost} END, 4) AS Profit
-FROM b LEFT JOIN o ON b.ModelOptionKey = o.ModelOptionKey
-       LEFT JOIN av ON b.Options_Code = av.Option_Code"""
+line AS (SELECT row_number() OVER () AS line_no, split_part(Model_Text, ' ', 1) || '_' || Options_Code AS pair, *
+         FROM base),
+mean_cost AS (
+  SELECT Model || '_' || Option_Code AS pair, Option_Code AS code, grouping(Option_Code) AS by_pair,
+         avg(Material_Cost) AS cost
+  FROM options GROUP BY GROUPING SETS ((Model || '_' || Option_Code), (Option_Code))),
+candidate AS (
+  SELECT line_no, 1 AS choice, 0.0 AS cost FROM line WHERE Sales_Price <= 0
+  UNION ALL SELECT line_no, 2, {factor} * cost FROM line JOIN mean_cost m ON m.by_pair = 1 AND m.pair = line.pair
+  UNION ALL SELECT line_no, 3, {factor} * cost FROM line JOIN mean_cost m ON m.by_pair = 0 AND m.code = Options_Code
+  UNION ALL SELECT line_no, 4, Sales_Price * 0.45 FROM line),
+chosen AS (SELECT line_no, arg_min(cost, choice) AS cost, min(choice) AS choice
+           FROM candidate WHERE cost IS NOT NULL GROUP BY line_no)
+SELECT Vehicle_ID, Option_Quantities, Options_Code, Option_Desc, Model_Text, Sales_Price,
+       round(cost + {_NUDGE}, 4) AS Production_Cost,
+       round(CASE choice WHEN 1 THEN 0 ELSE Sales_Price - cost END + {_NUDGE}, 4) AS Profit
+FROM line LEFT JOIN chosen USING (line_no)"""
 
 
 # --------------------------------------------------------------------------- costing (JOB1)
@@ -146,20 +159,17 @@ def q_model_option_key_ws(spark, sf):
 
 @register("avg_cost_by_key", f"""
 WITH {OPTIONS_SQL}
-SELECT Model || '_' || Option_Code AS ModelOptionKey, round(avg(Material_Cost), 4) AS Material_Cost,
+SELECT Model || '_' || Option_Code AS ModelOptionKey, round(avg(Material_Cost) + {_NUDGE}, 4) AS Material_Cost,
        count(*) AS n_options
 FROM options GROUP BY 1""")
 def q_avg_cost_by_key(spark, sf):
     totals = costing.option_cost_totals(mapping.option_costs(spark, sf))
-    out = (totals.groupBy("ModelOptionKey")
-           .agg(F.round(F.sum("cost_sum") / F.sum("cost_n"), 4).alias("Material_Cost"),
-                F.sum("cost_n").alias("n_options")))
-    return out
+    return _money(costing.avg_cost_by_key(totals, counts="n_options"), "Material_Cost")
 
 
 @register("avg_cost_by_code", f"""
 WITH {OPTIONS_SQL}
-SELECT Option_Code, round(avg(Material_Cost), 4) AS Average_Cost
+SELECT Option_Code, round(avg(Material_Cost) + {_NUDGE}, 4) AS Average_Cost
 FROM options GROUP BY Option_Code""")
 def q_avg_cost_by_code(spark, sf):
     totals = costing.option_cost_totals(mapping.option_costs(spark, sf))
@@ -236,17 +246,19 @@ cases AS (
               THEN 'OK' ELSE 'X' END AS status
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
                 JOIN nation n ON c.c_nationkey = n.n_nationkey),
-tgroups AS (SELECT n_name AS name, n_regionkey + 1 AS test_value FROM nation
-            WHERE n_nationkey <> {mapping.ABSENT_GROUP_NATION_KEY})"""
+tgroups AS (SELECT CASE n_nationkey WHEN {mapping.ABSENT_GROUP_NATION_KEY} THEN '{mapping.ABSENT_GROUP_NAME}'
+                   ELSE n_name END AS name, n_regionkey + 1 AS test_value FROM nation)"""
 
+# One pass over the cases: the passed ones are counted by filter, and a group
+# without any (or without a name) has no count.
 _REPORT_SQL = """
 x AS (
-  SELECT g.group_name, g.all_test_cases, o.passed_test_cases, c.test_value,
-         test_value * passed_test_cases AS total_value
-  FROM (SELECT count(id) all_test_cases, group_name FROM cases GROUP BY group_name) AS g
-  LEFT JOIN (SELECT group_name, count(id) passed_test_cases FROM cases
-             WHERE status = 'OK' GROUP BY group_name) AS o ON g.group_name = o.group_name
-  LEFT JOIN (SELECT name, test_value FROM tgroups) c ON g.group_name = c.name)"""
+  SELECT n.*, d.test_value, d.test_value * n.passed_test_cases AS total_value
+  FROM (SELECT group_name, count(id) AS all_test_cases,
+               CASE WHEN bool_or(status = 'OK') AND group_name IS NOT NULL
+                    THEN count(id) FILTER (status = 'OK') END AS passed_test_cases
+        FROM cases GROUP BY group_name) n
+  LEFT JOIN tgroups d ON d.name = n.group_name)"""
 
 
 def _group_report(spark, sf):
@@ -315,6 +327,23 @@ def q_range_min_long(spark, sf):
     return ranges.range_min(ev, qs)
 
 
+# Each event is a letter of a sequence: its user id picks one of the four.
+@register("range_min_symbols", """
+WITH qs AS (SELECT p_partkey AS query_id, p_partkey * 4 AS p, p_partkey * 4 + p_size * 3 AS q FROM part),
+seq AS (SELECT event_id AS pos, 1 + user_id % 4 AS factor FROM events)
+SELECT qs.query_id, CAST(min(seq.factor) AS INTEGER) AS min_value
+FROM qs LEFT JOIN seq ON seq.pos BETWEEN qs.p AND qs.q
+GROUP BY qs.query_id""")
+def q_range_min_symbols(spark, sf):
+    part = table(spark, sf, "part")
+    qs = part.select(F.col("p_partkey").alias("query_id"), (F.col("p_partkey") * 4).alias("p"),
+                     (F.col("p_partkey") * 4 + F.col("p_size") * 3).alias("q"))
+    letters = F.array(*map(F.lit, ranges.FACTORS))
+    seq = table(spark, sf, "events").select(
+        F.col("event_id").alias("pos"), F.element_at(letters, (F.col("user_id") % 4 + 1).cast("int")).alias("symbol"))
+    return ranges.range_min(ranges.symbol_positions(seq), qs)
+
+
 # --------------------------------------------------------------------------- replay, batch side (JOB4)
 
 # Fixed parameters of the replay over the events table (all of January 2024).
@@ -395,8 +424,8 @@ WITH x AS (
 SELECT event_id, _batch_id, row_number() OVER (PARTITION BY _batch_id ORDER BY ts, event_id) AS _seq
 FROM x""")
 def q_replay_order(spark, sf):
-    out = replay.replay_order(_events(spark, sf), EVENTS_REPLAY)
-    return out.select("event_id", "_batch_id", "_seq")
+    return replay.replay_order(_events(spark, sf), EVENTS_REPLAY, keep=["event_id", "_batch_id"],
+                               stable_input=True).select("event_id", "_batch_id", "_seq")
 
 
 def _events_ts_text(spark, sf):
@@ -496,16 +525,9 @@ def _write_base_csv(spark, sf) -> str:
     return path
 
 
-def _write_options_csv(spark, sf, all_parts: bool = False) -> str:
+def _write_options_csv(spark, sf) -> str:
     """Material-cost CSV; Option_Desc holds a quoted comma."""
-    if all_parts:
-        part = table(spark, sf, "part")
-        src = part.select(F.split("p_name", " ").getItem(0).alias("Model"),
-                          F.col("p_brand").alias("Option_Code"),
-                          F.col("p_type").alias("Option_Desc"),
-                          F.col("p_retailprice").alias("Material_Cost"))
-    else:
-        src = mapping.option_costs(spark, sf).drop("row_order")
+    src = mapping.option_costs(spark, sf)
     out = src.select(F.col("Model"), F.col("Option_Code").alias("Option Code"),
                      F.concat("Option_Desc", F.lit(", "), "Option_Code").alias("Option_Desc"),
                      "Material_Cost")
@@ -527,13 +549,13 @@ def q_csv_load(spark, sf):
     return files.read_csv(spark, _write_base_csv(spark, sf), schema.BASE_CSV_FIELDS)
 
 
-@register("csv_load_lines", """
-SELECT split_part(p_name, ' ', 1) AS Model, p_brand AS Option_Code,
-       p_type || ', ' || p_brand AS Option_Desc,
-       CAST(p_retailprice AS DECIMAL(28,9)) AS Material_Cost
-FROM part""")
+@register("csv_load_lines", f"""
+WITH {OPTIONS_SQL}
+SELECT Model, Option_Code, Option_Desc || ', ' || Option_Code AS Option_Desc,
+       CAST(Material_Cost AS DECIMAL(28,9)) AS Material_Cost
+FROM options""")
 def q_csv_load_lines(spark, sf):
-    return files.read_csv_lines(spark, _write_options_csv(spark, sf, all_parts=True),
+    return files.read_csv_lines(spark, _write_options_csv(spark, sf),
                                 schema.OPTIONS_CSV_FIELDS)
 
 
@@ -560,6 +582,25 @@ def q_jsonl_decimal(spark, sf):
     return files.read_jsonl(spark, path, _EVENTS_FIELDS)
 
 
+# Some of the lines are broken: an unfinished object, text for a number, and a
+# number of more digits than its column holds.
+@register("jsonl_bad_rows", """
+SELECT event_id, event_type FROM events WHERE event_type IN ('error', 'signup', 'purchase')""")
+def q_jsonl_bad_rows(spark, sf):
+    n = F.concat(F.lit('{"event_id":'), F.col("event_id").cast("string"), F.lit(',"event_type":"'), "event_type")
+    line = F.concat(n, F.when(F.col("event_type") == "error", F.lit('","value":1'))
+                    .when(F.col("event_type") == "signup", F.lit('","value":"text"}'))
+                    .when(F.col("event_type") == "purchase", F.lit('","value":12345678901234567890123456789012}'))
+                    .otherwise(F.lit('","value":1.5}')))
+    path = scratch_path(spark, "bad-jsonl")
+    spread(_events(spark, sf)).select(line.alias("value")).write.text(path)
+    bad = files.read_jsonl(spark, path, [f for f in _EVENTS_FIELDS if f["name"] in ("event_id", "event_type", "value")],
+                           mode="PERMISSIVE").where(F.col(files.CORRUPT).isNotNull())
+    text = F.col(files.CORRUPT)
+    return bad.select(F.regexp_extract(text, '"event_id":(\\d+)', 1).cast("long").alias("event_id"),
+                      F.regexp_extract(text, '"event_type":"(\\w+)"', 1).alias("event_type"))
+
+
 _EXPORT_SQL = """
 SELECT event_type, count(*) AS n_events, round(sum(value), 4) AS total_value,
        min(ts) AS first_ts, max(ts) AS last_ts
@@ -569,8 +610,11 @@ FROM {t} GROUP BY event_type"""
 @register("sql_export", _EXPORT_SQL.format(t="events"))
 def q_sql_export(spark, sf):
     _events(spark, sf).createOrReplaceTempView("oxbow_events")
-    path, st = sinks.sql_export(spark, _EXPORT_SQL.format(t="oxbow_events"),
-                                scratch_path(spark, "sql-export"))
+    try:
+        path, st = sinks.sql_export(spark, _EXPORT_SQL.format(t="oxbow_events"),
+                                    scratch_path(spark, "sql-export"))
+    finally:
+        spark.catalog.dropTempView("oxbow_events")
     return files.read_jsonl(spark, path, st)
 
 
@@ -600,11 +644,10 @@ def q_profit_view(spark, sf):
     options = files.read_csv(spark, _write_options_csv(spark, sf), schema.OPTIONS_CSV_FIELDS)
     profit = costing.option_profit(base, options)
     view = sinks.create_or_replace_view(spark, "vw_option_profit", profit)
-    return view.select(
-        "Vehicle_ID", F.col("Option_Quantities").cast("double").alias("Option_Quantities"),
-        "Options_Code", "Option_Desc", "Model_Text", F.col("Sales_Price").cast("double").alias("Sales_Price"),
-        F.round("Production_Cost", 4).cast("double").alias("Production_Cost"),
-        F.round("Profit", 4).cast("double").alias("Profit"))
+    return _money(view.select(
+        "Vehicle_ID", F.col("Option_Quantities").cast("double").alias("Option_Quantities"), "Options_Code",
+        "Option_Desc", "Model_Text", F.col("Sales_Price").cast("double").alias("Sales_Price"), "Production_Cost",
+        "Profit"), "Production_Cost", "Profit")
 
 
 # --------------------------------------------------------------------------- replay as streams (JOB4)
@@ -629,11 +672,46 @@ def q_stream_replay(spark, sf):
     ev = _events(spark, sf)
     work = scratch_path(spark, "replay-stream")
     streaming.stream_replay(spark, ev, EVENTS_REPLAY, checkpoint=f"{work}/checkpoint",
-                            out=f"{work}/out", sink="parquet", timeout=600, trigger_seconds=0.5)
+                            out=f"{work}/out", sink="parquet", trigger_seconds=0.5)
     got = spark.read.option("recursiveFileLookup", True).parquet(f"{work}/out")
     return got.select("event_id", "ts", "_offset", "_replay_timestamp")
 
 
+@register("stream_replay_messages", f"""
+WITH r AS ({_replay_sql(EVENTS_REPLAY)})
+SELECT e.event_id, e.ts, e.user_id, e.event_type, e.value, e.props, r._offset, r._replay_timestamp,
+       e.event_type AS attr_event_type, true AS published_after_replay_time
+FROM events e JOIN r ON e.event_id = r.event_id""")
+def q_stream_replay_messages(spark, sf):
+    ev = _events(spark, sf)
+    work = scratch_path(spark, "replay-messages")
+    streaming.stream_replay(spark, ev, EVENTS_REPLAY, checkpoint=f"{work}/checkpoint", out=f"{work}/out",
+                            sink="messages", attributes=["event_type"], trigger_seconds=0.5)
+    fields = ev.schema.add("_offset", "double").add("_replay_timestamp", "string").add("_publish_timestamp", "string")
+    got = msg_sink.read_messages(spark, f"{work}/out").select(
+        messages.decode("data", fields).alias("m"), F.col("attributes")["event_type"].alias("attr_event_type"))
+    late = F.col("_publish_timestamp") >= F.col("_replay_timestamp")
+    return got.select("m.*", "attr_event_type").withColumn("published_after_replay_time", late) \
+        .drop("_publish_timestamp")
+
+
+# Paced: the last day of the series is still ahead when the replay begins, at a
+# rate that plays it in two seconds; no row may go out before its replay time.
+@register("stream_replay_paced", """
+SELECT event_id, ts, true AS published_after_replay_time FROM events
+WHERE ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-02-01'""")
+def q_stream_replay_paced(spark, sf):
+    ev = _events(spark, sf)
+    work = scratch_path(spark, "replay-paced")
+    rate = 2.0 / 86400
+    r = replay.Replay(start=EVENTS_REPLAY.start, end=EVENTS_REPLAY.end, rate=rate, ts_field="ts",
+                      replay_start=datetime.now(timezone.utc).replace(tzinfo=None) - timedelta(seconds=30 * 86400 * rate))
+    streaming.stream_replay(spark, ev, r, checkpoint=f"{work}/checkpoint", out=f"{work}/out", trigger_seconds=0.5)
+    got = spark.read.option("recursiveFileLookup", True).parquet(f"{work}/out")
+    return got.select("event_id", "ts", (F.col("_publish_timestamp") >= F.col("_replay_timestamp"))
+                      .alias("published_after_replay_time"))
+
+
 # Text order of the exported timestamp equals time order here (fixed-width
 # text, no ties), so the oracle numbers rows by ts.
 @register("jsonl_sort", """
@@ -641,7 +719,7 @@ SELECT event_id, row_number() OVER (ORDER BY ts) AS _line_no FROM events""")
 def q_jsonl_sort(spark, sf):
     path = sinks.export_jsonl(_events(spark, sf), scratch_path(spark, "events-lines"))
     lines = spark.read.text(path)
-    ordered = replay.sort_json_lines(lines, "ts")
+    ordered = replay.sort_json_lines(lines, "ts", stable_input=True)
     return ordered.select(F.get_json_object("value", "$.event_id").cast("long").alias("event_id"),
                           "_line_no")
 
@@ -653,12 +731,11 @@ SELECT e.event_id, e.ts, CASE WHEN e.event_type <> 'error' THEN e.user_id END AS
        CASE WHEN e.event_type <> 'error' THEN 2 ELSE 1 END AS n_attributes
 FROM events e JOIN r ON e.event_id = r.event_id""")
 def q_message_publish(spark, sf):
-    from oxbow.sinks import messages as msg_sink
     src = _events_attr_source(spark, sf)
     enriched = replay.enrich(replay.assign_batches(src, EVENTS_REPLAY), EVENTS_REPLAY,
                              publish=False).drop("_batch_id", "_batch_start", "_batch_end")
-    topic = scratch_path(spark, "topic")
-    msg_sink.publish(spread(messages.envelope(enriched, ["event_type", "user_id"])), topic=topic)
-    back = msg_sink.read_topic(spark, topic)
+    target = scratch_path(spark, "messages")
+    msg_sink.publish(messages.envelope(spread(enriched), ["event_type", "user_id"]), target)
+    back = msg_sink.read_messages(spark, target)
     return back.select(messages.decode("data", enriched.schema).alias("m"),
                        F.size("attributes").alias("n_attributes")).select("m.*", "n_attributes")

@@ -12,34 +12,26 @@ from oxbow.session import build_session  # noqa: E402
 SF_SMALL = "/root/testdata/sf0.001"
 SF_CHECK = "/root/testdata/sf0.01"
 
-# The sample inputs of the option-profit job (CRLF line ends,
-# one header row whose names differ from the declared schema). Only the first
-# word of the model text is read by any rule; the words after it are neutral
-# placeholders.
-BASE_CSV = (
-    "Vehicle ID,Option_Quantities,Option_Code,Option_Desc,Model_Text,Sales_Price\r\n"
-    "1,1,XYZ,XYZ,L405 Saloon,300\r\n"
-    "2,1,XYZ,XYZ,L505 Estate,450\r\n"
-    "3,1,XYZ,XYZ,L538 Coupe Sport,230\r\n"
-    "4,3,ABC,ABC,L405 Saloon,100\r\n"
-    "5,1,ABC,ABC,L505 Estate,0\r\n"
-    "6,2,ABC,ABC,L505 Estate,0\r\n"
-    "7,1,ABC,ABC,L538 Coupe Sport,0\r\n"
-    "8,-1,POC,POC,L405 Saloon,-230\r\n"
-    "9,-1,POC,POC,L505 Estate,-450\r\n"
-    "10,-1,POC,POC,L538 Coupe Sport,-100\r\n"
-    "11,-1,KOLKDF,KOLKDF,,-210\r\n"
-    "12,1,KOLKDF,KOLKDF,L505 Estate,1000\r\n"
-    "13,4,,,L538 Coupe Sport,50\r\n"
-)
-OPTIONS_CSV = (
-    "Model,Option_Code,Option_Desc,Material_Cost\r\n"
-    "L405,XYZ,PACK,120\r\nL505,XYZ,Satin,100\r\nL231,POC,PACK,40\r\nL405,XYZ,Satin,30\r\n"
-    "L505,POC,PACK,120\r\nL231,POC,Satin,130\r\nM324,XYZ,PACK,140\r\nL405,POC,Satin,230\r\n"
-    "L505,POC,PACK,540\r\nL405,XYZ,Satin,90\r\nL405,KOLKDF,PACK,110\r\nL100,XYZ,Satin,1000\r\n"
-    "L200,KOLKDF,PACK,300\r\nL405,POC,Satin,230\r\nL405,KOLKDF,PACK,270\r\nL100,KOLKDF,Satin,700\r\n"
-    "L200,KOLKDF,PACK,610\r\n"
-)
+# A made-up sample of the option-profit job's two files: CRLF line ends, and one
+# header row whose names differ from the declared schema.
+BASE_CSV = "\r\n".join([
+    "Vehicle ID,Quantity,Code,Description,Model,Price",
+    "1,1,ROOF,Roof,K10 long wheelbase,500",
+    "2,3,ROOF,Roof,K10 short,900",
+    "3,2,ROOF,Roof,M7 city,400",
+    "4,1,WHEEL,Wheel,K20 sport,80",
+    "5,1,ROOF,Roof,K10 basic,0",
+    "6,-1,ROOF,Roof,M7 city,-75",
+    "7,1,,,K10 basic,10",
+    "8,1,PAINT,Paint,,120",
+    "9,2,PAINT,Paint,K20 basic,333",
+    "10,1,BELT,Belt,K10 basic,200", ""])
+OPTIONS_CSV = "\r\n".join([
+    "Model name,Code,Description,Cost",
+    "K10,ROOF,steel,150", "K10,ROOF,glass,250", "K20,ROOF,steel,350",
+    "K20,PAINT,matt,90", "K20,PAINT,gloss,91", "M9,PAINT,matt,92",
+    "M9,SEAT,plain,10", "M9,SEAT,heated,10", "Z1,SEAT,,35",
+    "M9,BELT,red,100", "Z1,BELT,red,100", "Z1,BELT,blue,101", ""])
 
 
 @pytest.fixture(scope="session")

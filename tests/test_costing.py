@@ -1,3 +1,4 @@
+import os
 from decimal import Decimal
 
 import pytest
@@ -12,21 +13,18 @@ from tests.conftest import SF_CHECK, plan_text
 
 D = Decimal
 
-# Expected rows for the sample inputs: (vehicle, key, arm, cost, profit).
+# Expected rows for the sample inputs: (vehicle, arm, cost, profit).
 GOLDEN = [
-    (1, "L405_XYZ", "exact", D("80"), D("220")),
-    (2, "L505_XYZ", "exact", D("100"), D("350")),
-    (3, "L538_XYZ", "avg", D("246.666666667"), D("-16.666666667")),
-    (4, "L405_ABC", "default", D("45"), D("55")),
-    (5, "L505_ABC", "zero", D("0"), D("0")),
-    (6, "L505_ABC", "zero", D("0"), D("0")),
-    (7, "L538_ABC", "zero", D("0"), D("0")),
-    (8, "L405_POC", "zero", D("0"), D("0")),
-    (9, "L505_POC", "zero", D("0"), D("0")),
-    (10, "L538_POC", "zero", D("0"), D("0")),
-    (11, None, "zero", D("0"), D("0")),
-    (12, "L505_KOLKDF", "avg", D("398"), D("602")),
-    (13, None, "default", D("22.5"), D("27.5")),
+    (1, "exact", D("200"), D("300")),
+    (2, "exact", D("600"), D("300")),
+    (3, "avg", D("500"), D("-100")),
+    (4, "default", D("36"), D("44")),
+    (5, "zero", D("0"), D("0")),
+    (6, "zero", D("0"), D("0")),
+    (7, "default", D("4.5"), D("5.5")),
+    (8, "avg", D("91"), D("29")),
+    (9, "exact", D("181"), D("152")),
+    (10, "avg", D("100.333333333"), D("99.666666667")),
 ]
 
 
@@ -38,11 +36,11 @@ def load(spark, paths):
 
 def test_sample_loads_by_position(spark, sample_csvs):
     base, options = load(spark, sample_csvs)
-    assert base.count() == 13 and options.count() == 17
+    assert base.count() == 10 and options.count() == 12
     assert base.columns == [f["name"] for f in schema.BASE_CSV_FIELDS]
     assert dict(base.dtypes)["Sales_Price"] == "decimal(28,9)"
-    row11 = base.where("Vehicle_ID = 11").first()
-    assert row11.Model_Text is None and row11.Sales_Price == D("-210")
+    row8 = base.where("Vehicle_ID = 8").first()
+    assert row8.Model_Text is None and row8.Sales_Price == D("120")
 
 
 def test_golden_profit_rows(spark, sample_csvs):
@@ -50,8 +48,8 @@ def test_golden_profit_rows(spark, sample_csvs):
     out = costing.option_profit(base, options, with_arm=True)
     assert dict(out.dtypes)["Production_Cost"] == "decimal(28,9)"
     got = {r.Vehicle_ID: r for r in out.collect()}
-    assert len(got) == 13
-    for vid, _key, arm, cost, profit in GOLDEN:
+    assert len(got) == len(GOLDEN)
+    for vid, arm, cost, profit in GOLDEN:
         r = got[vid]
         assert r.cost_arm == arm, vid
         assert r.Production_Cost == cost, vid
@@ -60,15 +58,53 @@ def test_golden_profit_rows(spark, sample_csvs):
 
 def test_quantity_and_null_price(spark, sample_csvs):
     base, options = load(spark, sample_csvs)
-    extra = spark.createDataFrame(
-        [(14, 3, "XYZ", "XYZ", "L405 Saloon", D("300")),
-         (15, 1, "XYZ", "XYZ", "L405 Saloon", None)], base.schema)
+    extra = spark.createDataFrame([(15, 1, "ROOF", "Roof", "K10 basic", None)], base.schema)
     out = {r.Vehicle_ID: r for r in costing.option_profit(base.unionByName(extra), options).collect()}
-    assert out[14].Production_Cost == D("240") and out[14].Profit == D("60")
-    assert out[15].Production_Cost == D("80") and out[15].Profit is None
-    unit = {r.Vehicle_ID: r for r in
-            costing.option_profit(base.unionByName(extra), options, per_unit=True).collect()}
-    assert unit[14].Production_Cost == D("80")
+    assert out[15].Production_Cost == D("200") and out[15].Profit is None
+    unit = {r.Vehicle_ID: r for r in costing.option_profit(base, options, per_unit=True).collect()}
+    assert unit[2].Production_Cost == D("200") and unit[3].Production_Cost == D("250")
+
+
+@pytest.mark.parametrize("kind", ["decimal(28,9)", "double"])
+def test_fractional_quantity_is_not_rounded(spark, sample_csvs, kind):
+    base, options = load(spark, sample_csvs)
+    half = base.where("Vehicle_ID = 1").withColumn("Option_Quantities", F.lit("1.5").cast(kind))
+    row = costing.option_profit(half, options).first()
+    assert row.Production_Cost == D("300") and row.Profit == D("200")
+
+
+def test_new_costs_are_seen_and_nothing_stays_cached(spark, workdir, sample_csvs):
+    base, _ = load(spark, sample_csvs)
+    path = os.path.join(workdir, "options")
+
+    def costs(cost):
+        spark.createDataFrame([("K10", "ROOF", "x", D(cost))], "Model string, Option_Code string, "
+                              "Option_Desc string, Material_Cost decimal(28,9)") \
+            .write.mode("overwrite").parquet(path)
+        options = spark.read.parquet(path).withColumn("row_order", F.lit(1))
+        one = costing.option_profit(base, options).where("Vehicle_ID = 1").first()
+        two = costing.cost_lookup(base, options, order="row_order").where("Vehicle_ID = 1").first()
+        quality.free_with_cost(base, options).collect()
+        return one.Production_Cost, two.Production_Cost
+    assert costs("10") == (D("10"), D("10"))
+    assert costs("99") == (D("99"), D("99"))
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
+
+
+def test_wide_sides_are_not_broadcast(spark, sample_csvs):
+    from oxbow.plans.joins import is_small
+    _, options = load(spark, sample_csvs)
+    assert is_small(options) and not is_small(options, 11)
+    spark.conf.set("oxbow.broadcast.maxBytes", "200")
+    try:
+        assert not is_small(options)
+    finally:
+        spark.conf.unset("oxbow.broadcast.maxBytes")
+
+
+def test_every_part_is_an_option_row(spark):
+    part = spark.read.parquet(f"{SF_CHECK}/part.parquet")
+    assert mapping.option_costs(spark, SF_CHECK).count() == part.count()
 
 
 def test_arm_counts_on_driver_tables(spark):
@@ -102,7 +138,7 @@ def test_bounded_broadcast_falls_back(spark, sample_csvs):
 def test_multi_cost_pairs(spark, sample_csvs):
     _, options = load(spark, sample_csvs)
     got = {r.ModelOptionKey: r.n_costs for r in quality.multi_cost_pairs(options).collect()}
-    assert got == {"L200_KOLKDF": 2, "L231_POC": 2, "L405_KOLKDF": 2, "L405_XYZ": 3, "L505_POC": 2}
+    assert got == {"K10_ROOF": 2, "K20_PAINT": 2, "Z1_BELT": 2}
 
 
 def test_lookup_last_and_strict(spark, sample_csvs):
@@ -110,9 +146,9 @@ def test_lookup_last_and_strict(spark, sample_csvs):
     opts = options.withColumn("row_order", F.monotonically_increasing_id())
     out = {r.Vehicle_ID: r.Production_Cost
            for r in costing.cost_lookup(base, opts, order="row_order", fallback=True).collect()}
-    assert out[1] == D("90")          # last of 120, 30, 90 in file order
-    assert out[3] == D("1000")        # code XYZ, last row
-    assert out[4] is None             # ABC unknown
+    assert out[1] == D("250")         # last of 150, 250 in file order
+    assert out[3] == D("350")         # code ROOF, last row
+    assert out[4] is None             # no such code
     with pytest.raises(Exception):
         costing.cost_lookup(base, opts, order="row_order", strict=True).collect()
 

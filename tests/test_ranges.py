@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -9,7 +11,7 @@ from tests.conftest import plan_text
 
 def test_sequence_example(spark):
     seq = spark.createDataFrame(list(enumerate("CAGCCTA")), "pos long, symbol string")
-    seq = seq.withColumn("value", ranges.symbol_factor("symbol"))
+    seq = ranges.symbol_positions(seq)
     qs = spark.createDataFrame([(0, 2, 4), (1, 5, 5), (2, 0, 6)], "query_id int, p long, q long")
     got = {r.query_id: r.min_value for r in ranges.range_min(seq, qs).collect()}
     assert [got[i] for i in range(3)] == [2, 4, 1]
@@ -36,6 +38,38 @@ def test_matches_brute_force(spark, positions, spans):
         assert got[i] == (min(inside) if inside else None), (i, p, q)
 
 
+def test_long_ranges_and_negative_positions(spark):
+    rng = random.Random(1)
+    values = {p: rng.randint(-1000, 1000) for p in rng.sample(range(-3000, 70000), 9000)}
+    pos = spark.createDataFrame(list(values.items()), "pos long, value long")
+    spans = [(i, a, a + rng.choice([0, 1, 15, 16, 17, 255, 4096, 60000])) for i, a in
+             enumerate(rng.sample(range(-4000, 71000), 60))]
+    got = {r.query_id: r.min_value for r in
+           ranges.range_min(pos, spark.createDataFrame(spans, "query_id long, p long, q long")).collect()}
+    for i, p, q in spans:
+        assert got[i] == min((v for k, v in values.items() if p <= k <= q), default=None)
+
+
+def test_scattered_positions_are_shuffled_about_twice(spark):
+    n, levels = 200_000, 4
+    pos = spark.range(n).select((F.col("id") * 7919 % n).alias("pos"), F.col("id").alias("value")).repartition(16)
+    rows = ranges.block_minima(pos, levels)
+    one = rows.where("level = 1").count()
+    shuffled = n                       # level 1 aggregates the scattered positions
+    for level in range(2, levels + 1):
+        shuffled += rows.where(F.col("level") == level - 1).count()
+    assert one <= n / 15 and shuffled + rows.count() <= 2.3 * n
+
+
+def test_no_null_keys_in_the_join(spark):
+    qs = spark.createDataFrame([(1, 5, 2), (2, None, 3), (3, 0, 40)], "query_id long, p long, q long")
+    pieces = ranges.query_pieces(qs, ranges.max_level(qs))
+    assert pieces.where("level IS NULL OR block IS NULL").count() == 0
+    pos = spark.range(20).select(F.col("id").alias("pos"), F.col("id").alias("value"))
+    got = {r.query_id: r.min_value for r in ranges.range_min(pos, qs).collect()}
+    assert got == {1: None, 2: None, 3: 0}
+
+
 def test_plan_has_no_cartesian(spark):
     pos = spark.range(1000).select(F.col("id").alias("pos"), (F.col("id") % 7).alias("value"))
     qs = spark.range(50).select(F.col("id").alias("query_id"), (F.col("id") * 3).alias("p"),

@@ -35,8 +35,14 @@ def test_empty_timestamp_is_bad(spark):
                                "timestamp string, x double")
     good, bad = replay.split_bad_rows(df, "timestamp")
     assert good.count() == 1 and bad.count() == 2
-    with pytest.raises(Exception):
-        replay.require_timestamps(df, "timestamp").collect()
+    for bad_text in ("", None, "yesterday"):
+        one = spark.createDataFrame([(bad_text, 1.0)], "timestamp string, x double")
+        with pytest.raises(Exception):
+            replay.require_timestamps(one, "timestamp").collect()
+        with pytest.raises(ValueError):
+            replay.check_timestamps(one, "timestamp")
+    replay.check_timestamps(good.select("timestamp"), "timestamp")
+    assert replay.require_timestamps(good.select("timestamp"), "timestamp").first()[0] == datetime(2019, 10, 23, 0, 0, 5)
 
 
 def test_argument_checks():
@@ -108,9 +114,44 @@ def test_sort_json_lines_field_then_line(spark):
     assert got == ['{"x":5}', '{"t":"a","x":10}', '{"t":"a","x":9}', '{"t":"b","x":1}', '{"t":"b","x":2}']
 
 
-def test_spread_only_when_needed(spark):
+def test_spread_runs_nothing(spark):
     from oxbow.plans.partitioning import spread
-    one = spark.range(100).coalesce(1)
-    assert spread(one, 4).rdd.getNumPartitions() == 4
-    many = spark.range(100).repartition(6)
-    assert spread(many, 4) is many
+    sc = spark.sparkContext
+    sc.setJobGroup("spread", "")
+    try:
+        spread(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+        assert not sc.statusTracker().getJobIdsForGroup("spread")
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_rank_of_a_small_and_a_large_table(spark, monkeypatch):
+    from oxbow.plans import ordering
+    df = spark.range(500).select((F.col("id") * 13 % 500).alias("k"))
+    want = [(i, i + 1) for i in range(500)]
+    assert sorted(map(tuple, ordering.with_rank(df, [F.col("k").asc()]).collect())) == want
+    monkeypatch.setattr(ordering, "SMALL_ROWS", 10)
+    assert sorted(map(tuple, ordering.with_rank(df, [F.col("k").asc()]).collect())) == want
+
+
+def test_partitions_follow_the_row_count(spark, monkeypatch):
+    from oxbow.plans import ordering
+    monkeypatch.setattr(ordering, "ROWS_PER_PARTITION", 100)
+    df = spark.range(5000).select((F.col("id") * 13 % 5000).alias("k"))
+    out = ordering.with_ordinal(df, [F.col("k").asc()], "o")
+    assert sorted(map(tuple, out.collect())) == [(i, i + 1) for i in range(5000)]
+    assert out.rdd.getNumPartitions() >= 40
+
+
+def test_source_window_stays_in_the_series():
+    from oxbow.streaming.replay import _us, source_window
+    start, end = datetime(2024, 1, 1), datetime(2024, 2, 1)
+    for rate in (0, 0.0001, 1.0, 1e9):
+        r = replay.Replay(start=start, end=end, replay_start=datetime(2024, 6, 1), rate=rate)
+        for lo, hi in ((None, _us(datetime(2030, 1, 1))), (_us(datetime(2024, 6, 1)), _us(datetime(2024, 6, 2))),
+                       (0, _us(datetime(2024, 6, 1)))):
+            a, z = source_window(r, lo, hi)
+            assert start <= a <= z <= end
+    r = replay.Replay(start=start, end=end, replay_start=datetime(2024, 6, 1), rate=1.0)
+    assert source_window(r, _us(datetime(2024, 6, 2)), _us(datetime(2024, 6, 3))) == (
+        datetime(2024, 1, 1, 23, 59, 59), datetime(2024, 1, 3, 0, 0, 1))

@@ -33,8 +33,15 @@ def test_report_rows_and_order(spark):
                           st.sampled_from(["a", "b", "c", None]),
                           st.sampled_from(["OK", "X", None])), max_size=20),
        st.lists(st.tuples(st.sampled_from(["a", "b", "d", None]), st.integers(0, 3)), max_size=4))
-def test_one_pass_equals_two_joins(spark, cases, groups):
+def test_report_matches_plain_python(spark, cases, groups):
     c, g = frames(spark, cases, groups)
-    one = sorted(map(tuple, reports.group_pass_report(c, g).collect()), key=repr)
-    two = sorted(map(tuple, reports.group_pass_report_two_joins(c, g).collect()), key=repr)
-    assert one == two
+    want = []
+    for name in {x[1] for x in cases}:
+        mine = [x for x in cases if x[1] == name]
+        ok = [x for x in mine if x[2] == "OK"]
+        every = sum(x[0] is not None for x in mine)
+        passed = sum(x[0] is not None for x in ok) if ok and name is not None else None
+        values = [v for n, v in groups if n == name and name is not None] or [None]
+        want += [(name, every, passed, v, None if v is None or passed is None else v * passed) for v in values]
+    got = sorted(map(tuple, reports.group_pass_report(c, g).collect()), key=repr)
+    assert got == sorted(want, key=repr)

@@ -1,9 +1,12 @@
+import json
 import os
 from datetime import datetime, timedelta, timezone
 
+import pytest
 from pyspark.sql import functions as F
 
 from oxbow.operators import replay
+from oxbow.sinks import messages
 from oxbow.streaming import replay as streaming
 
 
@@ -17,14 +20,18 @@ def test_file_stream_replay_in_order(spark, workdir):
     h, start = history(spark, n=60, step_ms=1000)
     r = replay.Replay(start=start, end=start + timedelta(seconds=60), replay_start=start,
                       rate=0.5, batch_seconds=15, ts_field="ts")
-    out = streaming.stream_replay_files(spark, h, r, workdir=workdir)
+    out = streaming.stream_replay_files(spark, h, r, workdir=f"file:{workdir}")
+    assert out.startswith("file:")
+    out = out.removeprefix("file:")
     batches = sorted(os.listdir(out))
     assert len([b for b in batches if b.startswith("batch_id=")]) == 4
     got = spark.read.parquet(f"{out}/*").collect()
     assert sorted(x.id for x in got) == list(range(60))
     # A second run finds every batch exported and the stream up to date.
-    streaming.stream_replay_files(spark, h, r, workdir=workdir)
+    streaming.stream_replay_files(spark, h, r, workdir=f"file:{workdir}")
     assert spark.read.parquet(f"{out}/*").count() == 60
+    seconds = [[x.ts for x in spark.read.parquet(f"{out}/{b}").collect()] for b in batches if b.startswith("batch")]
+    assert all(max(a) < min(b) for a, b in zip(seconds, seconds[1:]))
 
 
 def test_paced_replay_emits_everything_once(spark, workdir):
@@ -48,8 +55,64 @@ def test_restart_keeps_bounds(spark, workdir):
     r = replay.Replay(start=start, end=start + timedelta(seconds=8),
                       replay_start=start + (now - start) + timedelta(seconds=1), rate=1.0, ts_field="ts")
     ck, out = os.path.join(workdir, "ck"), os.path.join(workdir, "out")
-    first = streaming.stream_replay(spark, h, r, checkpoint=ck, out=out, timeout=3)
-    assert first["last_hi"] is None or first["emitted_batches"] >= 1
+    with pytest.raises(TimeoutError):
+        streaming.stream_replay(spark, h, r, checkpoint=ck, out=out, timeout=3)
     streaming.stream_replay(spark, h, r, checkpoint=ck, out=out, timeout=60)
     ids = [x.id for x in spark.read.parquet(f"{out}/*").collect()]
     assert sorted(ids) == list(range(16))
+
+
+def test_timeout_raises_and_writes_nothing_by_halves(spark, workdir):
+    h, start = history(spark, n=10)
+    far = replay.Replay(start=start, end=start + timedelta(seconds=5), replay_start=datetime(2900, 1, 1), ts_field="ts")
+    with pytest.raises(TimeoutError):
+        streaming.stream_replay(spark, h, far, checkpoint=f"{workdir}/ck", out=f"{workdir}/out", timeout=0.1)
+    assert not os.path.exists(f"{workdir}/out")
+
+
+@pytest.mark.parametrize("rate", [0, 0.0001, 1.0])
+@pytest.mark.parametrize("sink", ["messages", "json"])
+def test_backlog_at_any_rate(spark, workdir, rate, sink):
+    h, start = history(spark, n=12)
+    r = replay.Replay(start=start, end=start + timedelta(seconds=60), replay_start=start, rate=rate, ts_field="ts")
+    out = f"file:{workdir}/out"
+    done = streaming.stream_replay(spark, h, r, checkpoint=f"file:{workdir}/ck", out=out, sink=sink,
+                                   attributes=["id"], trigger_seconds=0.2)
+    assert done["emitted_batches"] == 1
+    if sink == "messages":
+        got = messages.read_messages(spark, out).collect()
+        assert sorted(int(r.attributes["id"]) for r in got) == list(range(12))
+        assert all(json.loads(r.data)["_replay_timestamp"].endswith(" UTC") for r in got)
+    else:
+        payload = h.schema.add("_offset", "double").add("_replay_timestamp", "string").add("_publish_timestamp", "string")
+        assert streaming.read_replay_output(spark, out, payload, "json").count() == 12
+
+
+def test_console_sink(spark, workdir):
+    h, start = history(spark, n=3)
+    r = replay.Replay(start=start, end=start + timedelta(seconds=60), replay_start=start, rate=0, ts_field="ts")
+    done = streaming.stream_replay(spark, h, r, checkpoint=f"{workdir}/ck", sink="console", trigger_seconds=0.2)
+    assert done["emitted_batches"] == 1
+
+
+def test_missing_timestamp_stops_the_replay(spark, workdir):
+    h, start = history(spark, n=3)
+    bad = h.unionByName(h.limit(1).withColumn("ts", F.lit(None).cast("timestamp_ntz")))
+    r = replay.Replay(start=start, end=start + timedelta(seconds=60), replay_start=start, ts_field="ts")
+    with pytest.raises(ValueError):
+        streaming.stream_replay(spark, bad, r, checkpoint=f"{workdir}/ck", out=f"{workdir}/out")
+    with pytest.raises(ValueError):
+        streaming.stream_replay_files(spark, bad, r, workdir=workdir)
+
+
+def test_bounds_record_survives_a_cut(spark, workdir):
+    b = streaming._Bounds(spark, f"file:{workdir}/b")
+    assert b.newest() is None
+    for k in range(5):
+        b.write({"batch": k, "lo": k, "hi": k + 1})
+        assert b.newest()["batch"] == k
+    assert sorted(f for f in os.listdir(f"{workdir}/b") if not f.startswith(".")) == ["bounds-0", "bounds-1"]
+    with open(f"{workdir}/b/bounds-0", "w") as f:
+        f.write('{"batch": 6, "lo"')
+    os.path.exists(f"{workdir}/b/.bounds-0.crc") and os.remove(f"{workdir}/b/.bounds-0.crc")
+    assert b.newest()["batch"] == 3
