@@ -34,8 +34,10 @@ from oxbow.llm.common import (ROW_KEY, ascii_words, join_hot, keep_rows, map_tex
 from oxbow.llm.components import components
 from oxbow.session import ship_package
 
-#: Points that shape the tree, about, and points a shard is meant to hold at most.
-SAMPLE, SHARD = 16_384, 32_768
+#: Points a shard is meant to hold at most.
+SHARD = 32_768
+#: Points that shape the tree: about PER_SHARD for each shard, within these bounds.
+PER_SHARD, LEAST_SAMPLE, MOST_SAMPLE = 64, 16_384, 1_000_000
 #: Points compared by brute force at the bottom of the in-memory tree.
 _BASE = 1024
 
@@ -109,7 +111,7 @@ def build(sample: np.ndarray, scale: float, radius: int, shard: int) -> tuple[No
 
     def grow(node: Node, sets: list[np.ndarray]) -> Node:
         n = sum(map(len, sets))
-        if n * scale > shard and n >= 64 and min(map(len, sets)):
+        if n * scale > shard and n >= PER_SHARD and min(map(len, sets)):
             every = np.concatenate(sets)
             tried = [(v, _distance(every, v)) for v in rng.choice(every, 8)]
             node.vantage, d = max(tried, key=lambda t: t[1].std())
@@ -228,7 +230,7 @@ def near_links(points: DataFrame, radius: int = 3, shard: int = SHARD) -> DataFr
     spark = points.sparkSession
     ship_package(spark)
     total = points.count()
-    every = max(1, total // SAMPLE)
+    every = max(1, total // min(MOST_SAMPLE, max(LEAST_SAMPLE, PER_SHARD * total // shard)))
     sample = points.where(F.pmod(F.xxhash64("fp"), F.lit(every)) == 0).select("fp").toArrow()
     sampled = np.sort(sample.column(0).to_numpy().view(np.uint64)) if sample.num_rows else np.empty(0, np.uint64)
     tree, leaves = build(sampled, total / max(1, len(sampled)), radius, shard)
