@@ -106,17 +106,21 @@ def with_row_key(docs: DataFrame) -> DataFrame:
 def keep_rows(docs: DataFrame, stay: DataFrame, copies: Column | int = 1) -> DataFrame:
     """The rows of ``docs`` in ``stay`` (doc_id, ROW_KEY), columns unchanged.
 
-    One shuffle of the rows by that key. A key names one row; where rows repeat
-    both doc_id and text, one of them is kept. With ``copies``, a column of
-    ``stay``, each row comes out as often as the copies of its key add up to.
+    One shuffle of the rows by that key, which the join and the window behind it
+    share (so the key is split into columns that are never null). A key names one
+    row; where rows repeat both doc_id and text, one of them is kept. With
+    ``copies``, a column of ``stay``, each row comes out as often as the copies
+    of its key add up to.
     """
-    chosen = (stay.groupBy(F.col("doc_id").alias("__id"), F.col(ROW_KEY).alias("__key"))
+    kind = docs.schema["doc_id"].dataType
+    keys = ["__id", "__none", ROW_KEY]
+    key = {"__id": F.coalesce(F.col("doc_id"), F.lit(0).cast(kind)), "__none": F.col("doc_id").isNull()}
+    chosen = (stay.withColumns(key).groupBy(*keys)
               .agg(F.sum(F.lit(copies) if isinstance(copies, int) else copies).alias("__copies")))
-    keyed = with_row_key(docs)
-    found = keyed.join(chosen, keyed["doc_id"].eqNullSafe(chosen["__id"])
-                       & (keyed[ROW_KEY] == chosen["__key"]))
-    first = Window.partitionBy("doc_id", ROW_KEY).orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
-    one = found.withColumn("__rn", F.row_number().over(first)).where("__rn = 1")
+    found = with_row_key(docs).withColumns(key).join(chosen, keys)
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    one = (found.withColumn("__rn", F.row_number().over(Window.partitionBy(*keys).orderBy(F.xxhash64(*own))))
+           .where("__rn = 1"))
     if not isinstance(copies, int):
         one = one.withColumn("__i", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))))
-    return one.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return one.select(*own)
