@@ -1,42 +1,49 @@
 """Counterfactual-regularised toxicity classifier (operator 3).
 
-A logistic model over the set of words in a text. Each labelled text that names
-an identity group is also seen with its identity terms swapped within their
-group of terms, and the squared change of the score (log-odds) is penalised, so
-a neutral mention of a group cannot carry a weight that its swap does not.
+A logistic model over the words of a text and their beginnings. Each labelled
+text that names an identity group is also seen with its identity terms swapped
+within their group of terms, and the squared change of the score (log-odds) is
+penalised, so a neutral mention of a group cannot carry a weight that its swap
+does not.
 
 * Labelled rows: at most ``MAX_LABELLED``, the smallest by hash of doc_id, never
   a held-out one. Their ids are broadcast (a fixed bound), so no text is shuffled.
-* Words: those whose toxic share differs from the average beyond chance, by a
-  Chernoff bound over all distinct words; at most ``MAX_WORDS``, plus the
-  identity terms.
-* Scoring is one pass over the texts, each row on its own.
+* Features: a word, or a beginning of ``PREFIXES`` letters, that occurs at least
+  once, twice or three times. Kept are those whose toxic share differs from the
+  average beyond chance, by a Chernoff bound over all distinct features; at most
+  ``MAX_FEATURES``, plus the identity terms that the texts name.
+* Scoring is one pass over the whole texts, each row on its own.
 
 Defined cases: null and empty texts score as a text without known words; a
 doc_id labelled twice is toxic if one label says so; null labels are ignored;
-without both labels the score is the share of toxic rows (0.5 without labels);
-repeated rows score alike; extra columns are ignored by ``scores`` and kept by
-``drop_toxic``; an empty table gives an empty result.
+with one kind of label all score alike, and 0.5 without labels; repeated rows
+score alike; extra columns are ignored by ``scores`` and kept by ``drop_toxic``;
+an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from oxbow.llm.common import map_texts, materialize
+from oxbow.session import ship_package
 
 #: Bound on the labelled rows that the model is fitted on.
 MAX_LABELLED = 40_000
-#: Bound on the words of the model, besides the identity terms.
-MAX_WORDS = 4096
+#: Bound on the features of the model, besides the identity terms.
+MAX_FEATURES = 4096
+#: Letters of the beginnings, and how often a feature's word has to occur.
+PREFIXES, TIMES = (3, 4, 5, 6, 7, 8), (1, 2, 3)
 #: Weight of the counterfactual penalty, and of the weights' squares.
-COUNTERFACTUAL, L2 = 1.0, 1e-4
+COUNTERFACTUAL, L2 = 1.0, 1e-5
 THRESHOLD = 0.7
 
 #: Identity terms; terms of one group are swapped in a cycle.
@@ -55,13 +62,30 @@ SWAP = {t: g[(i + 1) % len(g)] for g in IDENTITY_GROUPS for i, t in enumerate(g)
 _word = re.compile(r"[^\W\d_]+").findall
 
 
-def words(text: str | None) -> set[str]:
-    return set(_word((text or "").lower()))
+def words(text: str | None) -> Counter:
+    return Counter(_word((text or "").lower()))
 
 
-def swapped(found: set[str]) -> set[str]:
+def swapped(found: Counter) -> Counter:
     """The words of the text with every identity term swapped."""
-    return {SWAP.get(w, w) for w in found}
+    out: Counter = Counter()
+    for w, n in found.items():
+        out[SWAP.get(w, w)] += n
+    return out
+
+
+def stems(word: str) -> list[str]:
+    """The word and its beginnings, which are marked by a caret."""
+    return [word, *["^" + word[:k] for k in PREFIXES if len(word) > k]]
+
+
+def features(found: Counter) -> list[tuple[str, int]]:
+    """(stem, times) of a text: each stem as often as TIMES says it occurs."""
+    n: Counter = Counter()
+    for w, k in found.items():
+        for s in stems(w):
+            n[s] += k
+    return [(s, t) for s, k in n.items() for t in TIMES if k >= t]
 
 
 def held_out(doc_id: Column) -> Column:
@@ -71,92 +95,154 @@ def held_out(doc_id: Column) -> Column:
 @dataclass
 class Model:
     bias: float = 0.0
-    weights: dict[str, float] = field(default_factory=dict)
-
-    def score(self, text: str | None) -> float:
-        z = self.bias + math.fsum(self.weights[w] for w in words(text) & self.weights.keys())
-        return 1 / (1 + math.exp(-z)) if z >= 0 else math.exp(z) / (1 + math.exp(z))
-
-
-def fit(y: np.ndarray, rows: list[list[int]], swaps: list[list[int]], size: int,
-        steps: int = 400) -> tuple[float, np.ndarray]:
-    """Bias and weights by full-batch Adam steps. ``rows`` holds the
-    word numbers of each text, ``swaps`` those of its counterfactual."""
+    #: stem -> weight for each entry of TIMES
+    weights: dict[str, list[float]] = field(default_factory=dict)
+
+    def scorer(self):
+        """A function from texts to scores; words are looked up once per worker
+        as long as the cache (a bound on memory only) holds them."""
+        known: dict[str, tuple[str, ...]] = {}
+
+        def score(text: str | None) -> float:
+            if len(known) > 300_000:
+                known.clear()
+            n: Counter = Counter()
+            for w, k in words(text).items():
+                hits = known.get(w)
+                if hits is None:
+                    hits = known[w] = tuple(s for s in stems(w) if s in self.weights)
+                for s in hits:
+                    n[s] += k
+            z = self.bias + math.fsum(v for s, k in n.items() for v, t in zip(self.weights[s], TIMES) if k >= t)
+            return 1 / (1 + math.exp(-z)) if z >= 0 else math.exp(z) / (1 + math.exp(z))
+        return score
+
+
+def _merge(cells: tuple, swaps: tuple, n: int, size: int) -> tuple:
+    """Features that no labelled text or swapped text tells apart become one
+    column. Returns the cells with new column numbers and the columns' numbers."""
+    draw = np.random.default_rng(0).integers(0, 1 << 63, n, np.uint64)
+    marks = np.zeros((size, 2), np.uint64)
+    for k, (r, c) in enumerate((cells, swaps)):
+        np.add.at(marks[:, k], c, draw[r])
+    _, first, column = np.unique(marks, axis=0, return_index=True, return_inverse=True)
+    column = column.ravel()
+
+    def of(r, c):
+        kept = c == first[column[c]]
+        return r[kept], column[c[kept]]
+    return of(*cells), of(*swaps), column
+
+
+def fit(y: np.ndarray, cells: tuple, swaps: tuple, size: int, steps: int = 600) -> tuple[float, np.ndarray]:
+    """Bias and weights by full-batch Adam steps. ``cells`` holds the (row,
+    feature) numbers of the texts, ``swaps`` those of their counterfactuals."""
     n = len(y)
-
-    def matrix(lists):
-        lengths = [len(x) for x in lists]
-        return (np.repeat(np.arange(n), lengths), np.array([i for x in lists for i in x], np.int64))
-
-    (r, c), (rs, cs) = matrix(rows), matrix(swaps)
+    (r, c), (rs, cs), column = _merge(cells, swaps, n, size)
+    share = np.bincount(column, minlength=1).astype(float)  # features behind a column
+    width = len(share)
     dot = lambda r, c, w: np.bincount(r, w[c], n)
-    back = lambda r, c, v: np.bincount(c, v[r], size)
-    w, b = np.zeros(size), math.log(y.mean() / (1 - y.mean()))
-    m, v, mb, vb = np.zeros(size), np.zeros(size), 0.0, 0.0
+    back = lambda r, c, v: np.bincount(c, v[r], width)
+    w, b = np.zeros(width), math.log(y.mean() / (1 - y.mean()))
+    m, v, mb, vb = np.zeros(width), np.zeros(width), 0.0, 0.0
     for t in range(1, steps + 1):
         z = dot(r, c, w)
         p = 1 / (1 + np.exp(-np.clip(z + b, -60, 60)))
         change = z - dot(rs, cs, w)
-        g = (back(r, c, p - y) + 2 * COUNTERFACTUAL * (back(r, c, change) - back(rs, cs, change))) / n + L2 * w
+        g = (back(r, c, p - y) + 2 * COUNTERFACTUAL * (back(r, c, change) - back(rs, cs, change))) / n + L2 * w / share
         gb = float((p - y).mean())
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         mb, vb = 0.9 * mb + 0.1 * gb, 0.999 * vb + 0.001 * gb * gb
         a, k = 1 - 0.9 ** t, 1 - 0.999 ** t
-        step = 0.1 * min(1.0, 3 * (1 - t / (steps + 1)))  # constant, then down to zero
+        step = 0.2 * min(1.0, 3 * (1 - t / (steps + 1)))  # constant, then down to zero
         w = w - step * (m / a) / (np.sqrt(v / k) + 1e-8)
         b -= step * (mb / a) / (math.sqrt(vb / k) + 1e-8)
-    return b, w
+    return b, (w / share)[column]
 
 
-def labelled(docs: DataFrame, labels: DataFrame, bound: int = MAX_LABELLED) -> DataFrame:
-    """doc_id, text, toxic of the rows to learn from, at most ``bound`` ids."""
+def labelled(labels: DataFrame, bound: int = MAX_LABELLED) -> DataFrame:
+    """doc_id and __toxic of the rows to learn from, at most ``bound``."""
     ids = (labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
            .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("__toxic")))
     # Thin to about twice the bound first, so that the sort sees few rows.
     every = max(1, ids.count() // (2 * bound))
     order = F.xxhash64("doc_id")
-    sample = (ids.where(F.pmod(order, F.lit(every)) == 0).orderBy(order, "doc_id").limit(bound))
-    return docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    return materialize(ids.where(F.pmod(order, F.lit(every)) == 0).orderBy(order, "doc_id").limit(bound))
+
+
+def _counts(batches):
+    """(stem, times, texts, toxic texts), added up within a task."""
+    seen: dict = {}
+
+    def out():
+        keys = list(seen)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()),
+             pa.array([seen[k][0] for k in keys], pa.int64()), pa.array([seen[k][1] for k in keys], pa.int64())],
+            names=["stem", "times", "n", "t"])
+    for b in batches:
+        for toxic, text in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+            for f in features(words(text)):
+                x = seen.setdefault(f, [0, 0])
+                x[0] += 1
+                x[1] += toxic
+        if len(seen) > 500_000:
+            yield out()
+            seen = {}
+    yield out()
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
-    def features():
-        return lambda texts: [[sorted(words(t)) for t in texts]]
-
-    rows = materialize(map_texts(labelled(docs, labels), ["doc_id", "__toxic"], features, "words array<string>"))
+    ship_package(docs.sparkSession)
+    sample = labelled(labels)
+    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("doc_id", "__toxic", "text")
     n, toxic = rows.agg(F.count(F.lit(1)), F.sum("__toxic")).first()
     if not toxic or toxic == n:
         return Model() if not n else Model(bias=50.0 if toxic else -50.0)
-    counts = materialize(rows.select("__toxic", F.explode("words").alias("word"))
-                         .groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.sum("__toxic").alias("t")))
+    counts = materialize(rows.mapInArrow(_counts, "stem string, times int, n long, t long")
+                         .groupBy("stem", "times").agg(F.sum("n").alias("n"), F.sum("t").alias("t")))
     q = toxic / n
     part = lambda x, of: F.when(x > 0, x * F.log(x / of)).otherwise(0.0)
     share = F.col("t") / F.col("n")
     evidence = F.col("n") * (part(share, F.lit(q)) + part(1 - share, F.lit(1 - q)))
     enough = math.log(max(1, counts.count())) + 3
-    chosen = [x.word for x in counts.withColumn("e", evidence).where(F.col("e") > enough)
-              .orderBy(F.desc("e"), "word").limit(MAX_WORDS).collect()]
-    index = {w: i for i, w in enumerate(dict.fromkeys([*chosen, *SWAP]))}
+    chosen = (counts.withColumn("e", evidence).where(F.col("e") > enough)
+              .orderBy(F.desc("e"), "stem", "times").limit(MAX_FEATURES).collect())
+    named = counts.where(F.col("stem").isin(*SWAP) & (F.col("times") == 1)).collect()
+    pairs = {t for x in named for t in (x.stem, SWAP[x.stem])}
+    index = {f: i for i, f in enumerate(dict.fromkeys([*((x.stem, x.times) for x in chosen),
+                                                       *((t, 1) for t in sorted(pairs))]))}
 
     def numbers(batches):
-        import pyarrow as pa
         for b in batches:
-            found = [set(x) for x in b.column(2).to_pylist()]
-            both = [[sorted(index[w] for w in x if w in index) for x in f]
-                    for f in (found, [swapped(x) for x in found])]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *[pa.array(x, pa.list_(pa.int32())) for x in both]],
-                                             names=["doc_id", "y", "own", "swap"])
-
-    # At most MAX_LABELLED ids, each with the few chosen words of its text.
-    data = (rows.mapInArrow(numbers, "doc_id long, y int, own array<int>, swap array<int>")
-            .orderBy("doc_id", "own").collect())
-    bias, w = fit(np.array([x.y for x in data], float), [x.own for x in data], [x.swap for x in data], len(index))
-    return Model(bias, {t: float(w[i]) for t, i in index.items() if w[i]})
+            found = [words(t) for t in b.column(2).to_pylist()]
+            both = [[sorted(index[f] for f in features(x) if f in index) for x in side]
+                    for side in (found, [swapped(x) for x in found])]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), *[pa.array(x, pa.list_(pa.int32())) for x in both]],
+                names=["doc_id", "y", "own", "swap"])
+
+    # At most MAX_LABELLED ids, each with the numbers of its chosen features.
+    id_type = rows.schema["doc_id"].dataType.simpleString()
+    data = (rows.mapInArrow(numbers, f"doc_id {id_type}, y int, own array<int>, swap array<int>")
+            .orderBy("doc_id", "own").toArrow())
+
+    def cells(name: str) -> tuple:
+        lists = data.column(name).combine_chunks()
+        sizes = lists.value_lengths().to_numpy()
+        return np.repeat(np.arange(len(sizes)), sizes), lists.flatten().to_numpy()
+
+    bias, w = fit(data.column("y").to_numpy().astype(float), cells("own"), cells("swap"), len(index))
+    weights: dict[str, list[float]] = {}
+    for (stem, times), i in index.items():
+        weights.setdefault(stem, [0.0] * len(TIMES))[TIMES.index(times)] = float(w[i])
+    return Model(bias, weights)
 
 
 def scored(docs: DataFrame, model: Model, keep: list[str], name: str = "score") -> DataFrame:
     def make():
-        return lambda texts: [[model.score(t) for t in texts]]
+        score = model.scorer()
+        return lambda texts: [[score(t) for t in texts]]
     return map_texts(docs, keep, make, f"{name} double")
 
 

@@ -311,15 +311,41 @@ def test_counterfactual_penalty_shrinks_identity_weights(monkeypatch):
     rng = np.random.default_rng(0)
     y = (rng.random(600) < 0.3).astype(float)
     own = [[0] if t and rng.random() < 0.7 else [1] if rng.random() < 0.2 else [] for t in y]
-    swap = [[1 - i for i in x] for x in own]
+    rows = np.array([i for i, x in enumerate(own) for _ in x])
+    cols = np.array([c for x in own for c in x])
     gap = []
     for weight in (0.0, 1.0):
         monkeypatch.setattr(toxicity, "COUNTERFACTUAL", weight)
-        _, w = toxicity.fit(y, own, swap, 2)
+        _, w = toxicity.fit(y, (rows, cols), (rows, 1 - cols), 2)
         gap.append(abs(w[0] - w[1]))
     assert gap[1] < 0.2 * gap[0]
 
 
+def test_features_that_go_together_share_a_weight():
+    y = np.array([1.0] * 20 + [0.0] * 60)
+    rows = np.repeat(np.arange(20), 2)
+    cols = np.tile([0, 1], 20)
+    cells = (rows, cols)
+    _, w = toxicity.fit(y, cells, cells, 3)
+    assert w[0] == w[1] > 1 and abs(w[2]) < 1e-6
+
+
+def test_word_beginnings_and_repeats_count(spark):
+    rng = random.Random(8)
+    docs, labels = [], []
+    for i in range(1500):
+        bad = rng.random() < 0.2
+        seeds = rng.sample(range(100_000), 2)
+        # No toxic word occurs twice in the corpus: only its beginning does.
+        text = prose(i, 25) + "".join(f" grimvo{prose(s, 1)}{chr(97 + s % 26)}" for s in (seeds if bad else seeds[:1] if i % 9 == 0 else []))
+        docs.append((i, text))
+        labels.append((i, int(bad)))
+    got = toxicity.scores(spark.createDataFrame(docs, "doc_id long, text string"),
+                          spark.createDataFrame(labels, "doc_id long, toxic int")).where("held_out").collect()
+    truth = dict(labels)
+    assert sum(r.predicted != truth[r.doc_id] for r in got) <= 0.02 * len(got)
+
+
 # ---- helpers, queries and the pipeline ------------------------------------
 
 def test_join_hot_equals_a_plain_join(spark):
