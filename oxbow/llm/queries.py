@@ -83,7 +83,8 @@ def _sql_html_text(html: str) -> str:
     """The text extraction of ``warc.html_text`` as DuckDB SQL."""
     for pattern, to in warc.HTML_RULES:
         html = f"regexp_replace({html}, {_sql_text(pattern)}, E{_sql_text(to).replace(chr(10), chr(92) + 'n')}, 'g')"
-    for entity, char in warc.ENTITIES:
+    html = f"trim({html}, E' \\n')"
+    for entity, char in (*warc.RARE_ENTITIES, *warc.ENTITIES):
         html = f"replace({html}, {_sql_text(entity)}, {_sql_text(char)})"
     return html
 

@@ -23,21 +23,18 @@ from pyspark.sql import functions as F
 
 #: Line end, end of a header block, end of a record.
 CRLF, BLANK = "\r\n", "\r\n\r\n"
-#: Text extraction, in order (pattern, replacement).
+#: Text extraction, in order (pattern, replacement): what is not
+#: text goes, tags within a line go, all other tags end a line.
 HTML_RULES = (
-    (r"(?s)<!--.*?-->", ""),
-    (r"(?is)<script\b.*?</script\s*>", ""),
-    (r"(?is)<style\b.*?</style\s*>", ""),
-    (r"(?i)</?(address|article|blockquote|br|dd|div|dl|dt|footer|h[1-6]|head|header|hr|li|main"
-     r"|nav|ol|p|pre|section|table|td|th|title|tr|ul)\b[^>]*>", "\n"),
-    (r"<[^>]*>", ""),
-    (r"[ \t\r\x0B\f]+", " "),
+    (r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>", ""),
+    (r"(?i)</?(a|abbr|b|cite|code|em|font|i|mark|q|s|small|span|strong|sub|sup|u)\b[^>]*>", ""),
+    (r"<[^>]*>", "\n"),
+    (r"[ \t\r\x0B\f]{2,}|[\t\r\x0B\f]", " "),
     (r" ?\n[ \n]*", "\n"),
-    (r"^[ \n]+|[ \n]+$", ""),
 )
-#: Entities decoded after the tags are gone, the ampersand last.
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-            ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"))
+#: Entities, decoded after the tags are gone, the rare ones first.
+RARE_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "))
+ENTITIES = (("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"))
 
 
 def digest(block: Column) -> Column:
@@ -52,12 +49,23 @@ def record_id(*seed: Column) -> Column:
                     F.lit("-"), part(17, 4), F.lit("-"), part(21, 12), F.lit(">"))
 
 
+def decode_entities(text: Column) -> Column:
+    """Each entity once, the ampersand's own last. Most are rare, so one look
+    for any of them saves a pass for each."""
+    rare = F.rlike(text, F.lit("&(?:" + "|".join(e[1:-1] for e, _ in RARE_ENTITIES) + ");"))
+    full = text
+    for entity, char in RARE_ENTITIES:
+        full = F.replace(full, F.lit(entity), F.lit(char))
+    text = F.when(rare, full).otherwise(text)
+    for entity, char in ENTITIES:
+        text = F.replace(text, F.lit(entity), F.lit(char))
+    return text
+
+
 def html_text(html: Column) -> Column:
     for pattern, to in HTML_RULES:
         html = F.regexp_replace(html, pattern, to)
-    for entity, char in ENTITIES:
-        html = F.replace(html, F.lit(entity), F.lit(char))
-    return html
+    return decode_entities(F.btrim(html, F.lit(" \n")))
 
 
 def title(html: Column) -> Column:
@@ -116,6 +124,7 @@ def derive(records: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         of("WARC-Date").alias("__date"), of("WARC-Payload-Digest").alias("__said"),
         http.alias("__http"), payload.alias("__payload"))
     s = s.withColumn("__text", html_text(F.col("__payload"))).withColumn("__source", digest(F.col("__payload")))
+    s = s.withColumn("__text_digest", digest(F.col("__text")))
     conversion = record_id(F.lit("conversion"), F.coalesce("__id", F.lit("")))
     metadata = record_id(F.lit("metadata"), F.coalesce("__id", F.lit("")))
     sent = F.array_join(F.transform(F.slice(F.split("__http", CRLF), 2, 1_000_000),
@@ -123,20 +132,23 @@ def derive(records: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     fields = F.concat(
         _lines(("title", F.nullif(title(F.col("__payload")), F.lit(""))),
                ("http-status", F.nullif(F.regexp_extract("__http", r"^\S+ (\d+)", 1), F.lit(""))),
-               ("source-payload-digest", F.col("__source")), ("text-digest", digest(F.col("__text"))),
+               ("source-payload-digest", F.col("__source")), ("text-digest", F.col("__text_digest")),
                ("text-length", F.octet_length("__text").cast("string")),
                ("digest-match", (F.col("__said") == F.col("__source")).cast("string"))),
         F.lit(CRLF), sent)
+    s = s.withColumn("__fields", fields)
     made = F.explode(F.array(
         F.struct(F.lit("conversion").alias("warc_type"), conversion.alias("record_id"),
                  F.lit(None).cast("string").alias("concurrent_to"),
-                 F.lit("text/plain; charset=utf-8").alias("__mime"), F.col("__text").alias("block")),
+                 F.lit("text/plain; charset=utf-8").alias("__mime"), F.col("__text_digest").alias("digest"),
+                 F.col("__text").alias("block")),
         F.struct(F.lit("metadata").alias("warc_type"), metadata.alias("record_id"),
                  conversion.alias("concurrent_to"),
-                 F.lit("application/warc-fields").alias("__mime"), fields.alias("block"))))
+                 F.lit("application/warc-fields").alias("__mime"), digest(F.col("__fields")).alias("digest"),
+                 F.col("__fields").alias("block"))))
     rows = s.select(*keep, "__id", "__uri", "__date", "__source", made.alias("__m")).select(
         *keep, "__m.warc_type", "__m.record_id", F.col("__id").alias("refers_to"), F.col("__uri").alias("target_uri"),
-        "__m.concurrent_to", F.col("__source").alias("source_digest"), digest(F.col("__m.block")).alias("block_digest"),
+        "__m.concurrent_to", F.col("__source").alias("source_digest"), F.col("__m.digest").alias("block_digest"),
         "__m.block", "__m.__mime", "__date")
     head = _lines(("WARC-Type", F.col("warc_type")), ("WARC-Record-ID", F.col("record_id")),
                   ("WARC-Target-URI", F.col("target_uri")), ("WARC-Date", F.col("__date")),
