@@ -27,6 +27,7 @@ import math
 import re
 from collections import Counter
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -62,30 +63,44 @@ SWAP = {t: g[(i + 1) % len(g)] for g in IDENTITY_GROUPS for i, t in enumerate(g)
 _word = re.compile(r"[^\W\d_]+").findall
 
 
-def words(text: str | None) -> Counter:
-    return Counter(_word((text or "").lower()))
+def words(text: str | None) -> list[str]:
+    return _word((text or "").lower())
 
 
-def swapped(found: Counter) -> Counter:
+def swapped(found: list[str]) -> list[str]:
     """The words of the text with every identity term swapped."""
-    out: Counter = Counter()
-    for w, n in found.items():
-        out[SWAP.get(w, w)] += n
-    return out
+    return [SWAP.get(w, w) for w in found]
 
 
-def stems(word: str) -> list[str]:
+def stems(word: str) -> tuple[str, ...]:
     """The word and its beginnings, which are marked by a caret."""
-    return [word, *["^" + word[:k] for k in PREFIXES if len(word) > k]]
+    return (word, *["^" + word[:k] for k in PREFIXES if len(word) > k])
 
 
-def features(found: Counter) -> list[tuple[str, int]]:
-    """(stem, times) of a text: each stem as often as TIMES says it occurs."""
-    n: Counter = Counter()
-    for w, k in found.items():
-        for s in stems(w):
-            n[s] += k
-    return [(s, t) for s, k in n.items() for t in TIMES if k >= t]
+class StemCounter:
+    """Counts the stems of texts, all of them or the ``wanted`` ones."""
+
+    def __init__(self, wanted=None):
+        self.wanted = wanted
+        # A wanted stem begins with a word's first letters, or is shorter than that.
+        self.starts = None if wanted is None else {s.removeprefix("^")[:PREFIXES[0]] for s in wanted}
+        self.known: dict[str, tuple[str, ...]] = {}  # bounds memory, not results
+
+    def stems(self, word: str) -> tuple[str, ...]:
+        out = self.known.get(word)
+        if out is None:
+            if len(self.known) > 300_000:
+                self.known.clear()
+            out = stems(word)
+            if self.wanted is not None:
+                out = tuple(s for s in out if s in self.wanted)
+            self.known[word] = out
+        return out
+
+    def count(self, found: list[str]) -> Counter:
+        if self.starts is not None:
+            found = [w for w in found if w[:PREFIXES[0]] in self.starts]
+        return Counter(chain.from_iterable(map(self.stems, found)))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -99,20 +114,11 @@ class Model:
     weights: dict[str, list[float]] = field(default_factory=dict)
 
     def scorer(self):
-        """A function from texts to scores; words are looked up once per worker
-        as long as the cache (a bound on memory only) holds them."""
-        known: dict[str, tuple[str, ...]] = {}
+        """A function from texts to scores."""
+        counter = StemCounter(self.weights)
 
         def score(text: str | None) -> float:
-            if len(known) > 300_000:
-                known.clear()
-            n: Counter = Counter()
-            for w, k in words(text).items():
-                hits = known.get(w)
-                if hits is None:
-                    hits = known[w] = tuple(s for s in stems(w) if s in self.weights)
-                for s in hits:
-                    n[s] += k
+            n = counter.count(words(text))
             z = self.bias + math.fsum(v for s, k in n.items() for v, t in zip(self.weights[s], TIMES) if k >= t)
             return 1 / (1 + math.exp(-z)) if z >= 0 else math.exp(z) / (1 + math.exp(z))
         return score
@@ -172,24 +178,29 @@ def labelled(labels: DataFrame, bound: int = MAX_LABELLED) -> DataFrame:
 
 def _counts(batches):
     """(stem, times, texts, toxic texts), added up within a task."""
-    seen: dict = {}
+    counter = StemCounter()
+    every, toxic = [[Counter() for _ in TIMES] for _ in range(2)]
 
     def out():
-        keys = list(seen)
-        return pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()),
-             pa.array([seen[k][0] for k in keys], pa.int64()), pa.array([seen[k][1] for k in keys], pa.int64())],
-            names=["stem", "times", "n", "t"])
+        for times, n, t in zip(TIMES, every, toxic):
+            keys = list(n)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys, pa.string()), pa.array([times] * len(keys), pa.int32()),
+                 pa.array(n.values(), pa.int64()), pa.array([t[k] for k in keys], pa.int64())],
+                names=["stem", "times", "n", "t"])
+            n.clear()
+            t.clear()
     for b in batches:
-        for toxic, text in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
-            for f in features(words(text)):
-                x = seen.setdefault(f, [0, 0])
-                x[0] += 1
-                x[1] += toxic
-        if len(seen) > 500_000:
-            yield out()
-            seen = {}
-    yield out()
+        for bad, text in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+            found = counter.count(words(text))
+            for i, times in enumerate(TIMES):
+                often = found if times == 1 else [s for s, k in found.items() if k >= times]
+                every[i].update(often.keys() if times == 1 else often)
+                if bad:
+                    toxic[i].update(often.keys() if times == 1 else often)
+        if len(every[0]) > 500_000:
+            yield from out()
+    yield from out()
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
@@ -214,18 +225,25 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
                                                        *((t, 1) for t in sorted(pairs))]))}
 
     def numbers(batches):
+        counter = StemCounter({stem for stem, _ in index})
+
+        def of(found):
+            return sorted(index[s, t] for s, k in counter.count(found).items()
+                          for t in TIMES if k >= t and (s, t) in index)
         for b in batches:
-            found = [words(t) for t in b.column(2).to_pylist()]
-            both = [[sorted(index[f] for f in features(x) if f in index) for x in side]
-                    for side in (found, [swapped(x) for x in found])]
+            found = [words(t) for t in b.column(3).to_pylist()]
+            own = [of(x) for x in found]
+            swap = [x if SWAP.keys().isdisjoint(f) else of(swapped(f)) for x, f in zip(own, found)]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), *[pa.array(x, pa.list_(pa.int32())) for x in both]],
-                names=["doc_id", "y", "own", "swap"])
+                [b.column(0), b.column(1), b.column(2), *[pa.array(x, pa.list_(pa.int32())) for x in (own, swap)]],
+                names=["doc_id", "y", "h", "own", "swap"])
 
-    # At most MAX_LABELLED ids, each with the numbers of its chosen features.
+    # At most MAX_LABELLED ids, each with the numbers of its chosen features;
+    # sorted here, so that the sums of the fit do not depend on the partitions.
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    data = (rows.mapInArrow(numbers, f"doc_id {id_type}, y int, own array<int>, swap array<int>")
-            .orderBy("doc_id", "own").toArrow())
+    data = (rows.select("doc_id", "__toxic", F.xxhash64("text"), "text")
+            .mapInArrow(numbers, f"doc_id {id_type}, y int, h long, own array<int>, swap array<int>")
+            .toArrow().sort_by([("doc_id", "ascending"), ("h", "ascending")]))
 
     def cells(name: str) -> tuple:
         lists = data.column(name).combine_chunks()
