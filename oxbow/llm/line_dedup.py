@@ -11,12 +11,17 @@ sides into the longest repeated run, and every run but the first is deleted.
 So a line is deleted if and only if it lies in a run of at least ``window``
 lines that occurs earlier, in another document or in the same one.
 
+With ``words``, shorter runs count too if their lines hold that many words, and
+a document of fewer lines than the window is one run, which a document of just
+the same lines repeats. What then stays are runs of fewer lines and fewer words
+within a document that has more.
+
 Nothing is paired: a passage in a third of all documents is one row of first
 occurrences, and is joined hot-safe.
 
 Defined cases: lines are compared without outer white space; blank lines are
-kept and skipped when matching; null text counts as empty; texts of fewer lines
-than the window keep all; a null doc_id is last in order; rows that repeat both
+kept and skipped when matching; null text counts as empty; without ``words``,
+texts of fewer lines than the window keep all; a null doc_id is last in order; rows that repeat both
 doc_id and text count as one document and get the same result; extra columns
 are ignored; an empty table gives an empty result.
 """
@@ -30,6 +35,8 @@ from oxbow.llm.common import ROW_KEY, join_hot, materialize, with_row_key
 
 #: Lines of the shortest run that is deleted.
 WINDOW = 3
+#: Words of the shortest run that is deleted whatever its lines, where words count.
+WORDS = 50
 _SPACE = " \t\r\x0b\x0c"
 
 
@@ -45,27 +52,46 @@ def _blank(line: Column) -> Column:
     return _trimmed(line) == ""
 
 
-def windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def _words(line: Column) -> Column:
+    """Number of words of a line that is trimmed and not blank."""
+    return F.size(F.split(line, r"[ \t\r\x0B\f]+"))
+
+
+def windows(docs: DataFrame, window: int = WINDOW, words: int | None = None) -> DataFrame:
     """doc_id, ROW_KEY, ``a`` and ``b`` (places of a window's first and last line
-    in the text), ``print`` (its smallest line hash) and ``same`` (digest of its
-    content)."""
+    in the text), ``print`` (its smallest line hash, with its length) and ``same``
+    (digest of its content). With ``words``, also the shorter windows of so many
+    words and the documents of fewer lines than the window."""
     placed = F.transform(_lines(F.col("text")), lambda x, i: F.struct(_trimmed(x).alias("x"), i.alias("i")))
+    size = F.size("__lines")
     rows = (with_row_key(docs.select("doc_id", "text"))
             .select("doc_id", ROW_KEY, F.filter(placed, lambda l: l["x"] != "").alias("__lines"))
-            .where(F.size("__lines") >= window)
+            .where(size >= (window if words is None else 1))
             .withColumn("__hashes", F.transform("__lines", lambda l: F.xxhash64(l["x"]))))
-    starts = F.sequence(F.lit(1), F.size("__lines") - (window - 1))
-    content = lambda s: F.transform(F.slice("__lines", s, window), lambda l: l["x"])
-    made = F.transform(starts, lambda s: F.struct(
-        F.element_at("__lines", s)["i"].alias("a"), F.element_at("__lines", s + (window - 1))["i"].alias("b"),
-        F.array_min(F.slice("__hashes", s, window)).alias("print"),
-        F.unhex(F.sha2(F.array_join(content(s), "\n"), 256)).alias("same")))
-    return rows.select("doc_id", ROW_KEY, F.inline(made))
-
 
-def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    def made(starts: Column, n: Column | int, mark: str = "") -> Column:
+        content = lambda s: F.transform(F.slice("__lines", s, n), lambda l: l["x"])
+        return F.transform(starts, lambda s: F.struct(
+            F.element_at("__lines", s)["i"].alias("a"), F.element_at("__lines", s + (n - 1))["i"].alias("b"),
+            F.xxhash64(F.lit(n), F.array_min(F.slice("__hashes", s, n))).alias("print"),
+            F.unhex(F.sha2(F.concat(F.lit(mark), F.array_join(content(s), "\n")), 256)).alias("same")))
+
+    none = F.array().cast("array<int>")
+    starts = lambda n: F.when(size >= n, F.sequence(F.lit(1), size - (n - 1))).otherwise(none)
+    every = [made(starts(window), window)]
+    if words is not None:
+        rows = rows.withColumn("__words", F.transform("__lines", lambda l: _words(l["x"])))
+        held = lambda n: lambda s: sum((F.element_at("__words", s + i) for i in range(1, n)),
+                                       F.element_at("__words", s)) >= words
+        every += [made(F.filter(starts(n), held(n)), n) for n in range(1, window)]
+        # No content begins with a line end, so whole documents match each other only.
+        every.append(made(F.when(size < window, F.array(F.lit(1))).otherwise(none), size, "\n"))
+    return rows.select("doc_id", ROW_KEY, F.inline(F.concat(*every)))
+
+
+def repeated_windows(docs: DataFrame, window: int = WINDOW, words: int | None = None) -> DataFrame:
     """doc_id, ROW_KEY, ``a`` and ``b`` of the windows that occur earlier."""
-    every = materialize(windows(docs, window))
+    every = materialize(windows(docs, window, words))
     prints = materialize(every.groupBy("print").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1"))
     candidates = materialize(join_hot(every, prints, ["print"], "__n").drop("__n", "print"))
     place = F.struct(F.col("doc_id").isNull().alias("__null"), "doc_id", ROW_KEY, "a")
@@ -86,10 +112,10 @@ def _runs(windows: Column) -> Column:
     return F.aggregate(F.array_sort(windows), F.array().cast("array<struct<a:int,b:int>>"), extend)
 
 
-def dedup_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def dedup_lines(docs: DataFrame, window: int = WINDOW, words: int | None = None) -> DataFrame:
     """doc_id, n_lines (not blank), n_removed and ``text`` without the later
     repeated runs, one row per document."""
-    found = (repeated_windows(docs, window).groupBy(F.col("doc_id").alias("__id"), F.col(ROW_KEY).alias("__key"))
+    found = (repeated_windows(docs, window, words).groupBy(F.col("doc_id").alias("__id"), F.col(ROW_KEY).alias("__key"))
              .agg(_runs(F.collect_list(F.struct("a", "b"))).alias("__runs")))
     rows = with_row_key(docs.select("doc_id", "text"))
     joined = rows.join(found, rows["doc_id"].eqNullSafe(found["__id"]) & (rows[ROW_KEY] == found["__key"]), "left")

@@ -45,6 +45,11 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256"))
 
 
+def op6_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.dedup_lines(documents(spark, sf_dir), words=line_dedup.WORDS)
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir))
 
@@ -69,6 +74,7 @@ QUERIES = {
     "op4_mixing": op4_mixing,
     "op5_warc_derivatives": op5_warc_derivatives,
     "op6_line_dedup": op6_line_dedup,
+    "op6_passage_dedup": op6_passage_dedup,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_license_scan": op8_license_scan,
     "op9_byte_bpe": op9_byte_bpe,
@@ -173,6 +179,34 @@ ORACLE_SQL = {
                sha256(coalesce(string_agg(l.line, chr(10) ORDER BY l.i) FILTER (WHERE gone.i IS NULL), ''))
                  AS text_sha256
         FROM l LEFT JOIN k USING (doc_id, i) LEFT JOIN gone USING (doc_id, i) GROUP BY l.doc_id""",
+    "op6_passage_dedup": r"""
+        WITH l AS (
+          SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                 generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i
+          FROM documents),
+        k AS (
+          SELECT doc_id, i, trim(line, E' \t\r\x0b\x0c') AS x,
+                 len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n,
+                 row_number() OVER (PARTITION BY doc_id ORDER BY i) AS j
+          FROM l WHERE trim(line, E' \t\r\x0b\x0c') <> ''),
+        w AS (
+          SELECT doc_id, j, x AS a, lead(x) OVER o AS b, lead(x, 2) OVER o AS c, n, n + lead(n) OVER o AS n2
+          FROM k WINDOW o AS (PARTITION BY doc_id ORDER BY j)),
+        u AS (
+          SELECT doc_id, j, j + 2 AS e, '3' AS kind, concat(a, chr(10), b, chr(10), c) AS x FROM w WHERE c IS NOT NULL
+          UNION ALL SELECT doc_id, j, j + 1, '2', concat(a, chr(10), b) FROM w WHERE n2 >= 50
+          UNION ALL SELECT doc_id, j, j, '1', a FROM w WHERE n >= 50
+          UNION ALL SELECT doc_id, 1, max(j), 'whole', string_agg(x, chr(10) ORDER BY j)
+          FROM k GROUP BY doc_id HAVING count(*) < 3),
+        r AS (
+          SELECT doc_id, j, e, row_number() OVER (PARTITION BY kind, x ORDER BY doc_id, j) > 1 AS later FROM u),
+        gone AS (
+          SELECT DISTINCT k.doc_id, k.i FROM k JOIN r ON r.doc_id = k.doc_id AND r.later
+           AND k.j BETWEEN r.j AND r.e)
+        SELECT l.doc_id, count(*) FILTER (WHERE k.x IS NOT NULL) AS n_lines, count(gone.i) AS n_removed,
+               sha256(coalesce(string_agg(l.line, chr(10) ORDER BY l.i) FILTER (WHERE gone.i IS NULL), ''))
+                 AS text_sha256
+        FROM l LEFT JOIN k USING (doc_id, i) LEFT JOIN gone USING (doc_id, i) GROUP BY l.doc_id""",
     "op8_license_scan": _LICENSE_SQL,
     "op7_exact_dedup": r"""
         WITH t AS (
