@@ -1,14 +1,16 @@
 """License scans by sentence rules (operator 8), column expressions only.
 
-A text is cut into sentences, each is normalised and looked up among the known
-license sentences; what is left is a sequence of sentence identifiers. Ordered
-rules over identifiers name the licenses: a rule matches where its identifiers
-follow each other in the sequence (sentences that are not known are skipped).
+A text is normalised to its words, with marks for line ends and stops. One
+pattern finds the known license sentences: they begin and end at a mark, and may
+be wrapped over lines, with comment marks before each, but hold no stop and no
+empty line. What is left is a sequence of sentence identifiers. Ordered rules
+over identifiers name the licenses: a rule matches where its identifiers follow
+each other in the sequence (sentences that are not known are skipped).
 
 The tables are fixed and small, so they are literals: no join, no shuffle.
 
 Defined cases: a null or empty text has no sentences; a sentence matches as a
-whole or not at all; a license stated twice is reported once; repeated rows
+whole or not at all, and the longest one at a place counts; a license stated twice is reported once; repeated rows
 give repeated results; extra columns are ignored; an empty table gives an empty
 result.
 """
@@ -68,30 +70,56 @@ RULES = (
     ("BSD-3-Clause", ("bsdTerms", "bsdSource", "bsdBinary", "bsdNames", "bsdAsIs")),
     ("BSD-2-Clause", ("bsdTerms", "bsdSource", "bsdBinary", "bsdAsIs")),
 )
+_PROGRAM = ("you can redistribute it and or modify it under the terms of the gnu general public license "
+            "as published by the free software foundation either version {} of the license or at your "
+            "option any later version")
+#: Sentences of the standard texts that go on behind those above.
+FULL_SENTENCES = {
+    "permission is hereby granted free of charge to any person obtaining a copy of this software "
+    "and associated documentation files the software to deal in the software without restriction "
+    "including without limitation the rights to use copy modify merge publish distribute sublicense "
+    "and or sell copies of the software and to permit persons to whom the software is furnished to do "
+    "so subject to the following conditions": "mitGrant",
+    "the software is provided as is without warranty of any kind express or implied including but not "
+    "limited to the warranties of merchantability fitness for a particular purpose and "
+    "noninfringement": "asIs",
+    "this software is provided by the copyright holders and contributors as is and any express or "
+    "implied warranties including but not limited to the implied warranties of merchantability and "
+    "fitness for a particular purpose are disclaimed": "bsdAsIs",
+    _PROGRAM.format(3): "gplTerms3",
+    _PROGRAM.format(2): "gplTerms2",
+}
+#: Rules over them, behind those above.
+FULL_RULES = (
+    ("GPL-3.0-or-later", ("freeSoftware", "gplTerms3")),
+    ("GPL-2.0-or-later", ("freeSoftware", "gplTerms2")),
+)
 #: Fixed value: every known sentence holds one of these.
 HINT = "(?i)licen|permission|permitted|redistribut|software|copyright"
 
 
-def sentences(text: Column) -> Column:
-    """Sentences of the text: they end at a line end or behind . ! ? ; or :"""
-    return F.split(F.regexp_replace(F.coalesce(text, F.lit("")), r"([.!?;:])[ \t\r]+", "$1\n"), "\n")
-
-
-def normalized(sentence: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(sentence), "[^a-z0-9]+", " "))
+def marked(text: Column) -> Column:
+    """The words of the text in lower case, with N for a line end and S for a stop
+    (one of . ! ? ; : before white space); it begins and ends with N."""
+    stops = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[.!?;:](?:[ \t\r]+|(?=\n))", " S ")
+    words = F.regexp_replace(F.replace(stops, F.lit("\n"), F.lit(" N ")), "[^a-z0-9SN]+", " ")
+    return F.concat(F.lit("N "), F.trim(words), F.lit(" N"))
 
 
 def sentence_ids(text: Column) -> Column:
     """Identifiers of the known sentences, in text order."""
-    known = F.create_map(*[F.lit(x) for kv in SENTENCES.items() for x in kv])
-    likely = F.filter(sentences(text), lambda x: F.rlike(x, F.lit(HINT)))
-    return F.filter(F.transform(likely, lambda x: F.element_at(known, normalized(x))), lambda x: x.isNotNull())
+    every = SENTENCES | FULL_SENTENCES
+    known = F.create_map(*[F.lit(x) for kv in every.items() for x in kv])
+    either = "|".join(k.replace(" ", "(?: N | )") for k in sorted(every, key=len, reverse=True))
+    found = F.regexp_extract_all(marked(text), F.lit(f"[SN] ({either})(?= [SN])"), 1)
+    ids = F.transform(found, lambda x: F.element_at(known, F.replace(x, F.lit(" N "), F.lit(" "))))
+    return F.when(F.rlike(text, F.lit(HINT)), ids).otherwise(F.array().cast("array<string>"))
 
 
 def licenses(ids: Column) -> Column:
     """Names of the licenses whose rule matches the sequence, in rule order."""
     line = F.concat(F.lit("|"), F.array_join(ids, "|"), F.lit("|"))
-    hit = [F.when(F.instr(line, "|" + "|".join(rule) + "|") > 0, F.lit(name)) for name, rule in RULES]
+    hit = [F.when(F.instr(line, "|" + "|".join(rule) + "|") > 0, F.lit(name)) for name, rule in RULES + FULL_RULES]
     return F.array_distinct(F.filter(F.array(*hit), lambda x: x.isNotNull()))
 
 

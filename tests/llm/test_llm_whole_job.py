@@ -2,7 +2,7 @@
 
 import random
 
-from oxbow.llm import line_dedup
+from oxbow.llm import licenses, line_dedup
 from tests.llm.conftest import WORD, prose
 
 
@@ -37,3 +37,83 @@ def test_repeats_of_few_lines_and_many_words(spark):
     assert sorted(((r.doc_id, r.text) for r in got), key=repr) == sorted(((d[0], want[d]) for d in rows), key=repr)
     left = {r.doc_id: r for r in got}
     assert left[202].text == left[204].text.strip() == left[207].text == "" and left[205].n_removed == 0
+
+
+MIT = """MIT License
+
+Copyright (c) 2020 A. Person
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+NAMES = """3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+"""
+BSD3 = f"""BSD 3-Clause License
+
+Copyright (c) 2020, A. Person
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+{NAMES}THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE
+FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER
+CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY,
+OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE
+OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.
+"""
+GPL3 = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.
+"""
+GPL2 = GPL3.replace("software: you", "software; you").replace("Foundation, either version 3",
+                                                              "Foundation; either version 2")
+
+
+def test_wrapped_standard_licenses(spark):
+    texts = {"MIT": MIT, "BSD-3-Clause": BSD3, "BSD-2-Clause": BSD3.replace(NAMES, ""), "GPL-3.0-or-later": GPL3,
+             "GPL-2.0-or-later": GPL2}
+    rows = [(mark + name, "\n".join(mark + x for x in text.split("\n")))
+            for name, text in texts.items() for mark in ("", " * ", "# ", "// ")]
+    rows += [(f"\r{name}", text.replace("\n", "\r\n")) for name, text in texts.items()]
+    got = {r.doc_id: r.licenses for r in licenses.scan(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    assert got == {i: i.strip(" *#/\r") for i, _ in rows}
+    parts = [(1, MIT.replace("without restriction", "with\n\nrestriction")), (2, "Released under\nthe MIT License"),
+             (3, "not released under\nthe MIT License"), (4, "released under\n\nthe MIT License")]
+    got = {r.doc_id: r.licenses for r in licenses.scan(spark.createDataFrame(parts, "doc_id long, text string")).collect()}
+    assert got == {1: "", 2: "MIT", 3: "", 4: ""}
