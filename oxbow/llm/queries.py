@@ -85,12 +85,24 @@ def _sql_text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
 
+#: The text extraction of the oracle, apart from the operator's own.
+_SQL_HTML_RULES = (
+    (r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>", ""),
+    (r"(?i)</?(a|abbr|b|cite|code|em|font|i|mark|q|s|small|span|strong|sub|sup|u)\b[^>]*>", ""),
+    (r"<[^>]*>", "\n"),
+    (r"[ \t\r\x0B\f]{2,}|[\t\r\x0B\f]", " "),
+    (r" ?\n[ \n]*", "\n"),
+)
+_SQL_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "),
+                 ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"))
+
+
 def _sql_html_text(html: str) -> str:
-    """The text extraction of ``warc.html_text`` as DuckDB SQL."""
-    for pattern, to in warc.HTML_RULES:
+    """A text extraction as DuckDB SQL."""
+    for pattern, to in _SQL_HTML_RULES:
         html = f"regexp_replace({html}, {_sql_text(pattern)}, E{_sql_text(to).replace(chr(10), chr(92) + 'n')}, 'g')"
     html = f"trim({html}, E' \\n')"
-    for entity, char in (*warc.RARE_ENTITIES, *warc.ENTITIES):
+    for entity, char in _SQL_ENTITIES:
         html = f"replace({html}, {_sql_text(entity)}, {_sql_text(char)})"
     return html
 

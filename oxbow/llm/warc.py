@@ -18,23 +18,36 @@ kept by ``derive`` only if named; an empty table gives no records.
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Line end, end of a header block, end of a record.
 CRLF, BLANK = "\r\n", "\r\n\r\n"
+#: Fixed value: tags that end a line; all others stand within one.
+BLOCK_TAGS = (
+    "p li a(?:ddress|rticle|side) b(?:lockquote|ody|r) c(?:aption|enter) d(?:d|etails|ialog|ir|iv|l|t) "
+    "f(?:ieldset|igcaption|igure|ooter|orm|rame|rameset) h(?:[1-6]|ead|eader|group|r|tml) l(?:egend|isting) "
+    "m(?:ain|enu) n(?:av|oframes|oscript) o(?:l|ptgroup|ption) plaintext pre s(?:earch|ection|ummary) "
+    "t(?:able|body|d|foot|h|head|itle|r) ul xmp").replace(" ", "|")
 #: Text extraction, in order (pattern, replacement): what is not
-#: text goes, tags within a line go, all other tags end a line.
+#: text goes, block tags end a line, all other tags go.
 HTML_RULES = (
     (r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>", ""),
-    (r"(?i)</?(a|abbr|b|cite|code|em|font|i|mark|q|s|small|span|strong|sub|sup|u)\b[^>]*>", ""),
-    (r"<[^>]*>", "\n"),
+    (rf"(?i)</?(?:{BLOCK_TAGS})(?![\w-])[^>]*>", "\n"),
+    (r"<[^>]*>", ""),
     (r"[ \t\r\x0B\f]{2,}|[\t\r\x0B\f]", " "),
     (r" ?\n[ \n]*", "\n"),
 )
-#: Entities, decoded after the tags are gone, the rare ones first.
-RARE_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&nbsp;", " "))
+#: The most frequent entities, decoded alone where a text has no others; the ampersand last.
 ENTITIES = (("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"))
+#: The named entities of HTML 4 and &apos;; a no-break space becomes a space.
+NAMED = {n: chr(c) for n, c in name2codepoint.items()} | {"apos": "'", "nbsp": " "}
+#: Numbers that stand for another character, as HTML has it.
+NUMBERS = {0: 0xFFFD, 0xA0: 0x20} | {c: ord(bytes([c]).decode("cp1252", "replace")) for c in range(0x80, 0xA0)
+                                    if c not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)}
+_REFERENCE = r"(?:#[0-9]+|#[xX][0-9A-Fa-f]+|[A-Za-z][A-Za-z0-9]*);"
 
 
 def digest(block: Column) -> Column:
@@ -49,17 +62,38 @@ def record_id(*seed: Column) -> Column:
                     F.lit("-"), part(17, 4), F.lit("-"), part(21, 12), F.lit(">"))
 
 
+def _numbered(reference: Column) -> Column:
+    """Character of a numeric reference (#233 or #xE9); those of none give U+FFFD."""
+    hexadecimal = F.substring(reference, 2, 1).isin("x", "X")
+    digits = F.regexp_replace(reference, "^#[xX]?0*", "")
+    base = lambda n: F.conv(digits, n, 10).cast("int")
+    number = (F.when(F.length(digits) > 7, F.lit(0xFFFD)).when(digits == "", F.lit(0))
+              .when(hexadecimal, base(16)).otherwise(base(10)))
+    other = F.create_map(*[F.lit(x) for kv in NUMBERS.items() for x in kv])
+    number = F.when((number > 0x10FFFF) | number.between(0xD800, 0xDFFF), F.lit(0xFFFD)).otherwise(
+        F.coalesce(F.element_at(other, number), number))
+    return F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+
+
 def decode_entities(text: Column) -> Column:
-    """Each entity once, the ampersand's own last. Most are rare, so one look
-    for any of them saves a pass for each."""
-    rare = F.rlike(text, F.lit("&(?:" + "|".join(e[1:-1] for e, _ in RARE_ENTITIES) + ");"))
-    full = text
-    for entity, char in RARE_ENTITIES:
-        full = F.replace(full, F.lit(entity), F.lit(char))
-    text = F.when(rare, full).otherwise(text)
+    """Each reference once, named ones and numbers; unknown names stay. Most
+    texts have the frequent ones only, so one look for others saves the rest."""
+    frequent = text
     for entity, char in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return text
+        frequent = F.replace(frequent, F.lit(entity), F.lit(char))
+    named = F.create_map(*[F.lit(x) for kv in NAMED.items() for x in kv])
+
+    def decoded(piece: Column) -> Column:
+        reference = F.regexp_extract(piece, f"^({_REFERENCE[:-1]});", 1)
+        char = (F.when(reference == "", F.lit(None)).when(F.startswith(reference, F.lit("#")), _numbered(reference))
+                .otherwise(F.element_at(named, reference)))
+        return F.coalesce(F.concat(char, F.substr(piece, F.length(reference) + 2)), F.concat(F.lit("&"), piece))
+
+    pieces = F.split(text, "&")
+    every = F.concat(F.element_at(pieces, 1),
+                     F.array_join(F.transform(F.slice(pieces, 2, F.size(pieces)), decoded), ""))
+    known = "|".join(e[1:-1] for e, _ in ENTITIES)
+    return F.when(F.rlike(text, F.lit(f"&(?!(?:{known});){_REFERENCE}")), every).otherwise(frequent)
 
 
 def html_text(html: Column) -> Column:

@@ -2,7 +2,9 @@
 
 import random
 
-from oxbow.llm import licenses, line_dedup
+from pyspark.sql import functions as F
+
+from oxbow.llm import licenses, line_dedup, warc
 from tests.llm.conftest import WORD, prose
 
 
@@ -117,3 +119,22 @@ def test_wrapped_standard_licenses(spark):
              (3, "not released under\nthe MIT License"), (4, "released under\n\nthe MIT License")]
     got = {r.doc_id: r.licenses for r in licenses.scan(spark.createDataFrame(parts, "doc_id long, text string")).collect()}
     assert got == {1: "", 2: "MIT", 3: "", 4: ""}
+
+
+def test_inline_tags_and_references(spark):
+    inline = ("a abbr acronym b bdi bdo big button cite code data del dfn em font i img input ins kbd label map mark "
+              "meter my-tag object output p-x picture progress q ruby s samp small span strong sub sup svg time tt u "
+              "var wbr").split()
+    block = ("address article aside blockquote body br dd details div dl dt fieldset figcaption figure footer form h1 "
+             "h6 head header hr html li main nav ol option p pre section summary table tbody td th title tr ul").split()
+    rows = [(t, f"on<{t} x='1'>e</{t.upper()}> word") for t in inline + block]
+    rows += [("named", "&mdash;&eacute;&hellip;&Omega;&lt;p&gt;&nbsp;&apos;&copy;"),
+             ("number", "&#8217;&#x27;&#X1F600;&#0233;&#150;&#0;&#xD800;&#99999999999999999999;&#160;.&#39;&#x110000;"),
+             ("once", "&amp;lt; &amp;#38; &#38;amp; &unknown; & &; &#; &#x; &amp &eacute R&D; a&b"), ("none", "plain")]
+    got = {r.k: r.t for r in spark.createDataFrame(rows, "k string, html string")
+           .select("k", warc.html_text(F.col("html")).alias("t")).collect()}
+    assert {t: got[t] for t in inline} == {t: "one word" for t in inline}
+    assert {t: got[t] for t in block} == {t: "on\ne\nword" for t in block}
+    assert got["named"] == "—é…Ω<p> '©"
+    assert got["number"] == "’'\U0001f600é–\ufffd\ufffd\ufffd .'\ufffd"
+    assert got["once"] == "&lt; &#38; &amp; &unknown; & &; &#; &#x; &amp &eacute R&D; a&b" and got["none"] == "plain"
