@@ -3,8 +3,9 @@
 A document is its sequence of lines that are not blank. Every window of
 ``window`` lines is represented by its smallest line hash (the first such line),
 so equal runs of at least ``window`` lines always select the same lines: these
-are the fingerprints. Only windows whose fingerprint occurs at another place are
-followed up. Each is matched, by its whole content, to its first occurrence in
+are the fingerprints. A fingerprint that neighbouring windows share is one place;
+only windows whose fingerprint occurs at two places or more are followed up. Each
+is matched, by a digest of its whole content, to its first occurrence in
 (doc_id, line) order. Matched windows that overlap extend each other to both
 sides into the longest repeated run, and every run but the first is deleted.
 
@@ -59,7 +60,8 @@ def _words(line: Column) -> Column:
 
 def windows(docs: DataFrame, window: int = WINDOW, words: int | None = None) -> DataFrame:
     """doc_id, ROW_KEY, ``a`` and ``b`` (places of a window's first and last line
-    in the text), ``print`` (its smallest line hash, with its length) and ``same``
+    in the text), ``print`` (its smallest line hash, with its length), ``fresh``
+    (whether the window before it has another line as its smallest) and ``same``
     (digest of its content). With ``words``, also the shorter windows of so many
     words and the documents of fewer lines than the window."""
     placed = F.transform(_lines(F.col("text")), lambda x, i: F.struct(_trimmed(x).alias("x"), i.alias("i")))
@@ -69,11 +71,15 @@ def windows(docs: DataFrame, window: int = WINDOW, words: int | None = None) ->
             .where(size >= (window if words is None else 1))
             .withColumn("__hashes", F.transform("__lines", lambda l: F.xxhash64(l["x"]))))
 
-    def made(starts: Column, n: Column | int, mark: str = "") -> Column:
+    def made(starts: Column, n: Column | int, mark: str = "", held=lambda s: F.lit(True)) -> Column:
         content = lambda s: F.transform(F.slice("__lines", s, n), lambda l: l["x"])
+        # The first smallest line of a window never moves back, so a fresh one is a place not yet seen.
+        least = lambda s: s - 1 + F.array_position(
+            F.slice("__hashes", s, n), F.array_min(F.slice("__hashes", s, n)))
         return F.transform(starts, lambda s: F.struct(
             F.element_at("__lines", s)["i"].alias("a"), F.element_at("__lines", s + (n - 1))["i"].alias("b"),
             F.xxhash64(F.lit(n), F.array_min(F.slice("__hashes", s, n))).alias("print"),
+            F.when(s == 1, True).otherwise(~held(s - 1) | (least(s) != least(s - 1))).alias("fresh"),
             F.unhex(F.sha2(F.concat(F.lit(mark), F.array_join(content(s), "\n")), 256)).alias("same")))
 
     none = F.array().cast("array<int>")
@@ -83,17 +89,24 @@ def windows(docs: DataFrame, window: int = WINDOW, words: int | None = None) ->
         rows = rows.withColumn("__words", F.transform("__lines", lambda l: _words(l["x"])))
         held = lambda n: lambda s: sum((F.element_at("__words", s + i) for i in range(1, n)),
                                        F.element_at("__words", s)) >= words
-        every += [made(F.filter(starts(n), held(n)), n) for n in range(1, window)]
+        every += [made(F.filter(starts(n), held(n)), n, held=held(n)) for n in range(1, window)]
         # No content begins with a line end, so whole documents match each other only.
         every.append(made(F.when(size < window, F.array(F.lit(1))).otherwise(none), size, "\n"))
     return rows.select("doc_id", ROW_KEY, F.inline(F.concat(*every)))
 
 
+def followed(every: DataFrame) -> DataFrame:
+    """The windows whose fingerprint occurs at two places or more."""
+    prints = materialize(every.groupBy("print").agg(F.count(F.lit(1)).alias("__n"),
+                                                    F.count_if("fresh").alias("__places"))
+                         .where("__places > 1").drop("__places"))
+    return join_hot(every, prints, ["print"], "__n").drop("__n", "print", "fresh")
+
+
 def repeated_windows(docs: DataFrame, window: int = WINDOW, words: int | None = None) -> DataFrame:
     """doc_id, ROW_KEY, ``a`` and ``b`` of the windows that occur earlier."""
     every = materialize(windows(docs, window, words))
-    prints = materialize(every.groupBy("print").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1"))
-    candidates = materialize(join_hot(every, prints, ["print"], "__n").drop("__n", "print"))
+    candidates = materialize(followed(every))
     place = F.struct(F.col("doc_id").isNull().alias("__null"), "doc_id", ROW_KEY, "a")
     first = materialize(candidates.groupBy("same").agg(F.min(place).alias("__first"),
                                                        F.count(F.lit(1)).alias("__n")).where("__n > 1"))

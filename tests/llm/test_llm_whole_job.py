@@ -138,3 +138,14 @@ def test_inline_tags_and_references(spark):
     assert got["named"] == "—é…Ω<p> '©"
     assert got["number"] == "’'\U0001f600é–\ufffd\ufffd\ufffd .'\ufffd"
     assert got["once"] == "&lt; &#38; &amp; &unknown; & &; &#; &#x; &amp &eacute R&D; a&b" and got["none"] == "plain"
+
+
+def test_neighbouring_windows_are_one_place(spark):
+    rows = [(i, "\n".join(prose(50 * i + k, 4) for k in range(40))) for i in range(5)]
+    rows += [(9, "\n".join(prose(k, 4) for k in range(10, 15))), (10, "\n".join(["same"] * 5))]
+    every = line_dedup.windows(spark.createDataFrame(rows, "doc_id long, text string")).localCheckpoint()
+    left = line_dedup.followed(every).collect()
+    # All windows of 9 and 10 and those of 0 that are equal or share a smallest line with one; no others.
+    assert {r.doc_id for r in left} == {0, 9, 10} and len([r for r in left if r.doc_id]) == 6
+    assert 3 <= len([r for r in left if not r.doc_id]) <= 7
+    assert every.count() == 5 * 38 + 6
