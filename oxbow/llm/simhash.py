@@ -231,8 +231,10 @@ def near_links(points: DataFrame, radius: int = 3, shard: int = SHARD) -> DataFr
     ship_package(spark)
     total = points.count()
     every = max(1, total // min(MOST_SAMPLE, max(LEAST_SAMPLE, PER_SHARD * total // shard)))
-    sample = points.where(F.pmod(F.xxhash64("fp"), F.lit(every)) == 0).select("fp").toArrow()
-    sampled = np.sort(sample.column(0).to_numpy().view(np.uint64)) if sample.num_rows else np.empty(0, np.uint64)
+    sampled = np.empty(0, np.uint64)
+    if total > shard:  # else one shard takes all, and no tree is needed
+        sample = points.where(F.pmod(F.xxhash64("fp"), F.lit(every)) == 0).select("fp").toArrow()
+        sampled = np.sort(sample.column(0).to_numpy().view(np.uint64)) if sample.num_rows else sampled
     tree, leaves = build(sampled, total / max(1, len(sampled)), radius, shard)
     cross = [x.cross for x in leaves]
 

@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from oxbow.llm import licenses, line_dedup, warc
+from oxbow.llm import licenses, line_dedup, simhash, warc
 from tests.llm.conftest import WORD, prose
 
 
@@ -149,3 +149,13 @@ def test_neighbouring_windows_are_one_place(spark):
     assert {r.doc_id for r in left} == {0, 9, 10} and len([r for r in left if r.doc_id]) == 6
     assert 3 <= len([r for r in left if not r.doc_id]) <= 7
     assert every.count() == 5 * 38 + 6
+
+
+def test_no_sample_for_one_shard(spark, monkeypatch):
+    points = spark.createDataFrame([(x,) for x in (1, 3, 7, 1 << 60)], "fp long")
+    taken, arrow = [], type(points).toArrow
+    monkeypatch.setattr(type(points), "toArrow", lambda df: taken.append(df) or arrow(df))
+    edges = simhash.near_links(points, 3).collect()
+    assert not taken and {x for e in edges for x in (e.u, e.v)} >= {1, 3, 7}
+    simhash.near_links(points, 3, shard=2).collect()
+    assert taken
