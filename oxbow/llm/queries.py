@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oxbow.llm import (bpe, exact_dedup, licenses, line_dedup, mixing, quality_rules, simhash,
-                       token_counts, toxicity, warc)
+from oxbow.llm import (bpe, collocations, conversations, exact_dedup, licenses, line_dedup, mixing, quality_rules,
+                       simhash, token_counts, topk, toxicity, warc)
 from oxbow.llm.common import documents, table
 
 
@@ -67,6 +67,19 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.apply_policy(quality_rules.ledger(documents(spark, sf_dir)), "standard.1")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return conversations.report(conversations.damage(turns), turns, stable_input=True)
+
+
+def op12_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir), longest=3, least=10, top=2000)
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
@@ -79,6 +92,9 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_quality_rules": op10_quality_rules,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_exact_topk": op12_exact_topk,
+    "op13_phrase_collocations": op13_phrase_collocations,
 }
 
 def _sql_text(value: str) -> str:
@@ -167,6 +183,80 @@ _LICENSE_SQL = f"""
            coalesce(array_to_string(f.ids, ','), '') AS sentence_ids, coalesce(m.licenses, '') AS licenses
     FROM documents d LEFT JOIN f ON f.doc_id = d.doc_id LEFT JOIN m ON m.doc_id = d.doc_id"""
 
+#: A state is the best {cost, edits, repaired lines} from here on, as a struct, so the
+#: least struct is the cheapest, then the ASCII-least.
+_REPAIR_SQL = r"""
+    WITH RECURSIVE src AS (
+      SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+             coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations),
+    crc AS (
+      SELECT *, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(key, ''), lambda c: ord(c)::BIGINT)),
+                      lambda h, c: list_reduce(list_concat([xor(h, c)], [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                        lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)),
+                    4294967295) % 20 AS kind
+      FROM src),
+    dam AS (
+      SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+             CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+             unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+      FROM crc),
+    num AS (
+      SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+             rtrim(text, E' \t\n\x0b\x0c\r') AS bare FROM dam),
+    bad AS (
+      SELECT *, left(role, 1) AS c,
+             CASE WHEN bare = '' THEN 1
+                  WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 2
+                  WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault,
+             lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM num),
+    stats AS (
+      SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+             count(*) FILTER (WHERE fault = 1) AS blank, count(*) FILTER (WHERE fault = 2) AS duplicate,
+             count(*) FILTER (WHERE fault = 3) AS truncated,
+             count(*) FILTER (WHERE before IS NOT NULL AND before || c NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n
+      FROM bad GROUP BY conv_id),
+    dp AS (
+      SELECT conv_id, n + 1 AS i,
+             {'c': 0::BIGINT, 'e': '', 'l': []::VARCHAR[]} AS o,
+             {'c': 10::BIGINT, 'e': 'II', 'l': ['user:', 'assistant:']} AS s,
+             {'c': 5::BIGINT, 'e': 'I', 'l': ['assistant:']} AS u,
+             {'c': 0::BIGINT, 'e': '', 'l': []::VARCHAR[]} AS a FROM stats
+      UNION ALL
+      SELECT conv_id, i,
+             list_min([o, {'c': u.c + 5, 'e': 'I' || u.e, 'l': list_concat(['user:'], u.l)},
+                          {'c': a.c + 10, 'e': 'II' || a.e, 'l': list_concat(['user:', 'assistant:'], a.l)}]),
+             list_min([s, {'c': u.c + 5, 'e': 'I' || u.e, 'l': list_concat(['user:'], u.l)},
+                          {'c': a.c + 10, 'e': 'II' || a.e, 'l': list_concat(['user:', 'assistant:'], a.l)}]),
+             list_min([u, {'c': a.c + 5, 'e': 'I' || a.e, 'l': list_concat(['assistant:'], a.l)}]),
+             list_min([a, {'c': u.c + 5, 'e': 'I' || u.e, 'l': list_concat(['user:'], u.l)}])
+      FROM (
+        SELECT conv_id, i,
+               list_min(list_filter([del_o, ku, ru, CASE WHEN c = 's' THEN ks END], lambda x: x IS NOT NULL)) AS o,
+               list_min(list_filter([del_s, ku, ru], lambda x: x IS NOT NULL)) AS s,
+               list_min(list_filter([del_u, ka, ra], lambda x: x IS NOT NULL)) AS u,
+               list_min(list_filter([del_a, ku, ru], lambda x: x IS NOT NULL)) AS a
+        FROM (
+          SELECT d.conv_id, b.i, b.c,
+                 {'c': d.o.c + 2, 'e': 'D' || d.o.e, 'l': d.o.l} AS del_o, {'c': d.s.c + 2, 'e': 'D' || d.s.e, 'l': d.s.l} AS del_s,
+                 {'c': d.u.c + 2, 'e': 'D' || d.u.e, 'l': d.u.l} AS del_u, {'c': d.a.c + 2, 'e': 'D' || d.a.e, 'l': d.a.l} AS del_a,
+                 CASE WHEN fault IN (0, 3) AND b.c = 'u' THEN
+                   {'c': d.u.c + 5 * (fault = 3)::INT, 'e': 'K' || d.u.e, 'l': list_concat([b.role || ':' || b.text], d.u.l)} END AS ku,
+                 CASE WHEN fault IN (0, 3) AND b.c = 'a' THEN
+                   {'c': d.a.c + 5 * (fault = 3)::INT, 'e': 'K' || d.a.e, 'l': list_concat([b.role || ':' || b.text], d.a.l)} END AS ka,
+                 CASE WHEN fault IN (0, 3) THEN
+                   {'c': d.s.c + 5 * (fault = 3)::INT, 'e': 'K' || d.s.e, 'l': list_concat([b.role || ':' || b.text], d.s.l)} END AS ks,
+                 CASE WHEN fault IN (0, 3) THEN
+                   {'c': d.u.c + 1 + 5 * (fault = 3)::INT, 'e': 'R' || d.u.e, 'l': list_concat(['user:' || b.text], d.u.l)} END AS ru,
+                 CASE WHEN fault IN (0, 3) THEN
+                   {'c': d.a.c + 1 + 5 * (fault = 3)::INT, 'e': 'R' || d.a.e, 'l': list_concat(['assistant:' || b.text], d.a.l)} END AS ra
+          FROM dp d JOIN bad b ON b.conv_id IS NOT DISTINCT FROM d.conv_id AND b.i = d.i - 1)))
+    SELECT k.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+           coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(dp.o.c, 0) AS cost,
+           coalesce(dp.o.e, '') AS audit, sha256(coalesce(array_to_string(dp.o.l, chr(10)), '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) k
+    LEFT JOIN stats ON stats.conv_id IS NOT DISTINCT FROM k.conv_id
+    LEFT JOIN dp ON dp.conv_id IS NOT DISTINCT FROM k.conv_id AND dp.i = 1"""
+
 ORACLE_SQL = {
     "op5_warc_derivatives": _WARC_SQL,
     "op6_line_dedup": r"""
@@ -268,4 +358,53 @@ ORACLE_SQL = {
                  + 32 * (10 * n_exclaims > 3 * n_words)::INT AS fail_bits
           FROM m)
         SELECT *, fail_bits & 3 <> 0 AS base_failed, fail_bits = 0 AS kept FROM f""",
+    "op11_conversation_repair": _REPAIR_SQL,
+    "op12_exact_topk": r"""
+        WITH v AS (
+          SELECT row_number() OVER () AS i, vec_id,
+                 list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS e
+          FROM embeddings
+          WHERE len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(64 * x::DOUBLE))) = len(embedding)),
+        s AS (
+          SELECT q.i, q.vec_id AS query_id, d.vec_id, list_inner_product(q.e, d.e)::BIGINT AS score
+          FROM v q JOIN v d ON d.i <> q.i WHERE q.vec_id % 20 = 0),
+        r AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, vec_id NULLS LAST)::INT AS rank FROM s)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""",
+    "op13_phrase_collocations": r"""
+        WITH p AS (
+          SELECT row_number() OVER () AS p, lang, piece FROM (
+            SELECT coalesce(lang, 'und') AS lang,
+                   unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                          'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+        l AS (SELECT p, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+        w AS (SELECT p, lang, unnest(w) AS a, generate_subscripts(w, 1) AS i FROM l),
+        g AS (
+          SELECT lang, a, lead(a) OVER o AS b, lead(a, 2) OVER o AS c FROM w WINDOW o AS (PARTITION BY p ORDER BY i)),
+        f AS (
+          SELECT lang, phrase, k, count(*) AS f FROM (
+            SELECT lang, a AS phrase, 1 AS k FROM g
+            UNION ALL SELECT lang, a || ' ' || b, 2 FROM g WHERE b IS NOT NULL
+            UNION ALL SELECT lang, a || ' ' || b || ' ' || c, 3 FROM g WHERE c IS NOT NULL)
+          GROUP BY ALL),
+        n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+        cand AS (SELECT *, string_split(phrase, ' ') AS s FROM f WHERE k > 1 AND f >= 10),
+        cut AS (
+          SELECT lang, phrase, k, f, i, array_to_string(s[1:i], ' ') AS x, array_to_string(s[i+1:], ' ') AS y
+          FROM (SELECT *, unnest(range(1, k)) AS i FROM cand)),
+        sc AS (
+          SELECT c.lang, c.phrase, c.f, c.i, x.f AS l, y.f AS r,
+                 (1000000::HUGEINT * c.f * c.f) // (x.f::HUGEINT * y.f) AS score
+          FROM cut c JOIN f x ON x.lang = c.lang AND x.phrase = c.x JOIN f y ON y.lang = c.lang AND y.phrase = c.y),
+        low AS (SELECT * FROM sc QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, i) = 1),
+        inside AS (
+          SELECT lang, phrase, max(f) AS f FROM (
+            SELECT lang, f, s[1] || ' ' || s[2] AS phrase FROM cand WHERE k = 3
+            UNION ALL SELECT lang, f, s[2] || ' ' || s[3] FROM cand WHERE k = 3) GROUP BY ALL),
+        kept AS (
+          SELECT low.* FROM low LEFT JOIN inside ON inside.lang = low.lang AND inside.phrase = low.phrase
+          WHERE inside.f IS NULL OR 100 * inside.f < 50 * low.f)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, f DESC, phrase) AS rank, phrase, f AS a,
+               l, r, n, score::BIGINT AS score
+        FROM kept JOIN n USING (lang)
+        QUALIFY rank <= 2000""",
 }
