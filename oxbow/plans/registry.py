@@ -25,6 +25,7 @@ from oxbow.session import scratch_path
 from oxbow.sinks import messages as msg_sink
 from oxbow.sinks import tables as sinks
 from oxbow.sources import files, schema
+from oxbow.sources.split_csv import read_csv_split
 from oxbow.streaming import replay as streaming
 from oxbow.sources.tables import table, time_slice
 
@@ -549,6 +550,19 @@ def q_csv_load(spark, sf):
     return files.read_csv(spark, _write_base_csv(spark, sf), schema.BASE_CSV_FIELDS)
 
 
+# Inner quotes are doubled; a description holds line ends and quotes.
+@register("csv_load_split", _BASE_CSV_SQL.replace("p.p_type || chr(10) || p.p_brand",
+                                                  "'\"' || p.p_type || '\",' || chr(10) || chr(10) || p.p_brand"))
+def q_csv_load_split(spark, sf):
+    b = mapping.option_base(spark, sf)
+    desc = F.concat(F.lit('"'), "Option_Desc", F.lit('",\n\n'), "Options_Code")
+    out = b.select(F.col("Vehicle_ID").alias("Vehicle ID"), F.col("Option_Quantities").cast("long").alias("Quantity"),
+                   F.col("Options_Code").alias("Code"), desc.alias("Description"), "Model_Text", "Sales_Price")
+    path = scratch_path(spark, "split-csv")
+    spread(out).write.option("header", True).option("escape", '"').csv(path)
+    return read_csv_split(spark, path, schema.BASE_CSV_FIELDS)
+
+
 @register("csv_load_lines", f"""
 WITH {OPTIONS_SQL}
 SELECT Model, Option_Code, Option_Desc || ', ' || Option_Code AS Option_Desc,
