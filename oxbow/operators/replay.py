@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from oxbow.functions.messages import row_json
 from oxbow.functions.timefmt import (elapsed_micros, format_ts, now_text, offset_seconds,
                                      parse_ts, replay_time, ts_lit)
-from oxbow.plans.ordering import with_ordinal, with_ordinal_within
+from oxbow.plans.ordering import text_key, with_ordinal_by_text, with_ordinal_within
 from oxbow.sources.tables import time_slice
 
 ENRICH_COLUMNS = ("_offset", "_replay_timestamp", "_publish_timestamp")
@@ -177,8 +177,7 @@ def replay_order(df: DataFrame, r: Replay, ts_col: str | None = None, keep: list
     b = assign_batches(df, r, ts)
     rows = b.select(*(b.columns if keep is None else keep), F.col(ts).alias("_sort_ts"),
                     row_json(b, payload).alias("_json"))
-    return with_ordinal_within(rows, "_batch_id", [F.col("_sort_ts").asc_nulls_first(),
-                                                   F.col("_json").asc_nulls_first()], "_seq",
+    return with_ordinal_within(rows, "_batch_id", ["_sort_ts"], "_seq", text="_json",
                                stable_input=stable_input, drop=("_sort_ts", "_json"))
 
 
@@ -186,8 +185,11 @@ def sort_json_lines(lines: DataFrame, field: str, text_col: str = "value",
                     name: str = "_line_no", stable_input: bool = False) -> DataFrame:
     """SO2 + SC20 on raw JSON-lines text: order by the field's text
     (``get_json_object``), ties broken by the whole line, numbered 1..n with
-    the distributed ordinal (no single-task sort)."""
+    the distributed ordinal (no single-task sort). Field and line may be long:
+    only a prefix of them takes part in range partitioning."""
     key = F.get_json_object(F.col(text_col), f"$.{field}")
-    return with_ordinal(lines.withColumn("_sort_key", key),
-                        [F.col("_sort_key").asc_nulls_first(), F.col(text_col).asc()],
-                        name, stable_input=stable_input, drop=("_sort_key",))
+    line = F.coalesce(F.col(text_col), F.lit(""))
+    sortable = (lines.withColumn("_sort_key", text_key(F.coalesce(key, F.lit("")), line))
+                .withColumn("_sort_has", key.isNotNull()))
+    return with_ordinal_by_text(sortable, ["_sort_has"], "_sort_key", name, stable_input=stable_input,
+                                drop=("_sort_key", "_sort_has"))

@@ -24,7 +24,7 @@ from oxbow.plans.partitioning import spread
 from oxbow.session import scratch_path
 from oxbow.sinks import messages as msg_sink
 from oxbow.sinks import tables as sinks
-from oxbow.sources import files, schema
+from oxbow.sources import files, schema, zones
 from oxbow.sources.split_csv import read_csv_split
 from oxbow.streaming import replay as streaming
 from oxbow.sources.tables import table, time_slice
@@ -390,6 +390,14 @@ def q_time_slice(spark, sf):
     return time_slice(_events(spark, sf), "ts", *SLICE)
 
 
+@register("time_slice_zoned", f"""
+SELECT * FROM events WHERE ts >= TIMESTAMP '{SLICE[0]}' AND ts < TIMESTAMP '{SLICE[1]}'""")
+def q_time_slice_zoned(spark, sf):
+    path = scratch_path(spark, "zoned-events")
+    zones.write_zoned(_events(spark, sf), path, "ts")
+    return zones.read_slice(spark, path, "ts", *SLICE)
+
+
 @register("time_batches", f"""
 WITH b AS (
   SELECT (epoch_us(ts) - epoch_us({_ts_sql(EVENTS_REPLAY.start)})) // {_us(EVENTS_REPLAY)} AS batch_id, ts

@@ -35,6 +35,7 @@ from pyspark.sql import types as T
 from oxbow.functions.messages import JSON_WRITE_OPTIONS, envelope, row_json
 from oxbow.functions.timefmt import EPOCH, ts_lit
 from oxbow.operators.replay import ENRICH_COLUMNS, Replay, assign_batches, check_timestamps, enrich
+from oxbow.plans.ordering import PREFIX
 from oxbow.session import hadoop_path
 from oxbow.sinks import messages as msg_sink
 from oxbow.sources.files import read_jsonl
@@ -84,8 +85,11 @@ class _Bounds:
 
 def _emit(rows: DataFrame, sink: str, out: str | None, batch_id: int, payload: list[str],
           attributes: list[str]) -> None:
-    """Write one micro-batch in emission order to the chosen sink."""
-    ordered = rows.orderBy(F.col("_replay_ts").asc(), row_json(rows, payload).asc()).select(*payload)
+    """Write one micro-batch in emission order to the chosen sink: partitions are
+    ranges of the time and a prefix of the text, and whole texts are compared within."""
+    text = rows.withColumn("_json", row_json(rows, payload))
+    ordered = (text.repartitionByRange("_replay_ts", F.substring("_json", 1, PREFIX))
+               .sortWithinPartitions("_replay_ts", "_json").select(*payload))
     name = f"{batch_id:08d}"
     if sink == "parquet":
         ordered.write.mode("overwrite").parquet(f"{out}/batch_id={name}")
