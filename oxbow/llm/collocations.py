@@ -52,7 +52,7 @@ BITS_EACH = 64
 #: Bits of one row of ``bitmap_construct_agg``.
 _ROW_BITS = 8 * 4096
 #: Bytes of text hashed at a time.
-CHUNK = 4 << 20
+CHUNK = 1 << 20
 #: Parts of a language that are ranked on their own before the last ranking.
 _RANK_PARTS = 64
 _SPACE, _BREAK = 0x20, 0x0A
