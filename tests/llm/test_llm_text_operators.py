@@ -13,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from oxbow.llm import bpe, licenses, quality_rules, token_counts, warc
-from tests.llm.conftest import WORD, odd_rows, tuples
+from tests.llm.conftest import WORD, odd_rows, prose, tuples
 
 RANKS = bpe.read_ranks(P.path("byte_bpe_multi_50k.tiktoken"))
 VOCABULARY = {base64.b64decode(a): int(b) for a, b in map(bytes.split, RANKS.splitlines())}
@@ -72,18 +72,76 @@ def test_bpe_special_texts(text):
     assert CODEC.decode([ids]) == [text.encode()]
 
 
-def test_bpe_recursion_and_heap_agree():
+def one_by_one(piece: bytes, ranks: dict) -> list[int]:
+    parts = [piece[i:i + 1] for i in range(len(piece))]
+    while True:
+        pairs = [(ranks[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in ranks]
+        if not pairs:
+            return [ranks[p] for p in parts]
+        i = min(pairs)[1]
+        parts[i:i + 2] = [parts[i] + parts[i + 1]]
+
+
+def test_bpe_pieces_of_any_length():
     rng = random.Random(5)
     pieces = [bytes(rng.choice(b"etaoins ") for _ in range(rng.randint(1, 60))) for _ in range(200)]
+    pieces += [bytes(rng.choice(alphabet) for _ in range(rng.randint(100, 900)))
+               for alphabet in (b"etaoinshrdlu", b"a", b"ab", b" \n", bytes(range(256)), "漢字中文的".encode()) for _ in range(8)]
     got = [np.frombuffer(x, "<u4").tolist() for x in CODEC.encode_pieces(pieces)]
-    assert got == [[VOCABULARY[p]] if p in VOCABULARY else bpe.contract(p, VOCABULARY) for p in pieces]
+    assert got == [[VOCABULARY[p]] if p in VOCABULARY else one_by_one(p, VOCABULARY) for p in pieces]
+
+
+@settings(max_examples=120, deadline=None)
+@given(st.lists(st.binary(min_size=2, max_size=6).map(lambda b: bytes(x % 3 + 97 for x in b)), max_size=40, unique=True),
+       st.lists(st.binary(min_size=1, max_size=400).map(lambda b: bytes(x % 3 + 97 for x in b)), min_size=1, max_size=5),
+       st.randoms(use_true_random=False))
+def test_bpe_rounds_keep_the_order_of_any_vocabulary(tokens, pieces, rng):
+    """Ranks in any order, products below their parts among them."""
+    rng.shuffle(tokens)
+    ranks = {bytes([i]): i for i in range(256)} | {t: 256 + i for i, t in enumerate(tokens)}
+    data = b"".join(base64.b64encode(t) + b" %d\n" % r for t, r in ranks.items())
+    own = bpe.Codec(data, P.PATTERN)
+    old, (bpe.SHORT, bpe.MIDDLE) = (bpe.SHORT, bpe.MIDDLE), rng.choice([(0, 0), (0, 1000), (5, 20), (24, 512)])
+    try:
+        got = [np.frombuffer(x, "<u4").tolist() for x in own.encode_pieces(pieces)]
+    finally:
+        bpe.SHORT, bpe.MIDDLE = old
+    assert got == [[ranks[p]] if p in ranks else one_by_one(p, ranks) for p in pieces]
+
+
+def tokens_of(text):
+    return np.array(REFERENCE.encode_ordinary(text), "<u4").tobytes()
+
+
+def test_bpe_many_long_pieces_and_long_texts():
+    """Memory stays bounded: many pieces of 300 bytes, Han text, a text of 12 M characters."""
+    rng = random.Random(6)
+    pieces = ["".join(rng.choices("etaoinshrdlucm", k=300)) for _ in range(500)]
+    han = [chr(rng.randint(0x4E00, 0x9000)) for _ in range(3000)]
+    # distinct texts, so that nothing comes from a cache
+    texts = [" ".join(pieces), "\n".join("".join(rng.choices(han, k=110)) for _ in range(2000)),
+             "".join(rng.choices(han, k=3000)), "x" * 50_000]
+    for text in texts:
+        ids = CODEC.encode([text])[0]
+        assert ids == tokens_of(text)
+        assert CODEC.decode([ids]) == [text.encode()]
+    words = [prose(s, 1) for s in range(5000)]
+    long = " ".join(rng.choices(words, k=2_200_000))
+    assert len(long) > 10_000_000
+    ids = CODEC.encode([None, long, "a b"])
+    assert ids[1] == tokens_of(long) and ids[0] == b"" and ids[2] == tokens_of("a b")
+    assert CODEC.decode(ids) == [b"", long.encode(), b"a b"]
+    assert CODEC.cached < bpe.CACHE_BYTES + (64 << 20)
+    assert not any(len(s) > bpe.CACHED for c in (CODEC.first_ids, CODEC.segment_ids, CODEC.piece_ids) for s in c)
+
 
 
 def test_bpe_small_cache_changes_nothing(monkeypatch):
     texts = [t for _, t, *_ in odd_rows()]
     want = CODEC.encode(texts)
-    monkeypatch.setattr(bpe, "CACHE", 3)
-    monkeypatch.setattr(bpe, "CHUNK", 7)
+    monkeypatch.setattr(bpe, "CACHE_BYTES", 3)
+    monkeypatch.setattr(bpe, "ROWS", 7)
+    monkeypatch.setattr(bpe, "TOKENS", 5)
     small = bpe.Codec(RANKS, P.PATTERN)
     got = [small.encode([t])[0] for t in texts]
     assert got == want and [small.decode([x])[0] for x in got] == [(t or "").encode() for t in texts]
