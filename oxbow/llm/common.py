@@ -3,6 +3,7 @@
 * ``map_texts``   -- Arrow-batched per-text work on executors (no shuffle)
 * ``join_hot``    -- many-to-one join whose heavy keys cannot pile up in a task
 * ``materialize`` -- cut lineage with a reliable checkpoint
+* ``identified`` / ``without`` / ``repeated`` -- keep, drop or repeat whole rows by identity
 """
 
 from __future__ import annotations
@@ -10,11 +11,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from oxbow.plans.joins import bounded_broadcast
 from oxbow.session import shared_dir, ship_package
 from oxbow.sources.tables import table
 
@@ -50,7 +52,7 @@ def map_texts(df: DataFrame, keep: list[str], make: Callable[[], Callable[[list]
     """
     ship_package(df.sparkSession)
     kept = [F.col(f"`{c}`") for c in keep]
-    slim = df.select(*kept) if text in keep else df.select(*kept, F.col(text).alias("__text"))
+    slim = df.select(*kept) if text in keep else df.select(*kept, F.col(text).alias(fresh("text", keep)))
     at = keep.index(text) if text in keep else len(keep)
     added = StructType.fromDDL(out)
     schema = StructType(slim.schema.fields[:len(keep)] + added.fields)
@@ -103,24 +105,32 @@ def with_row_key(docs: DataFrame) -> DataFrame:
     return docs.withColumn(ROW_KEY, F.xxhash64("text"))
 
 
-def keep_rows(docs: DataFrame, stay: DataFrame, copies: Column | int = 1) -> DataFrame:
-    """The rows of ``docs`` in ``stay`` (doc_id, ROW_KEY), columns unchanged.
+def fresh(name: str, taken: list[str]) -> str:
+    """``name``, made longer until no column of ``taken`` has it (case ignored)."""
+    used = {c.lower() for c in taken}
+    while name.lower() in used:
+        name += "_"
+    return name
 
-    One shuffle of the rows by that key, which the join and the window behind it
-    share (so the key is split into columns that are never null). A key names one
-    row; where rows repeat both doc_id and text, one of them is kept. With
-    ``copies``, a column of ``stay``, each row comes out as often as the copies
-    of its key add up to.
-    """
-    kind = docs.schema["doc_id"].dataType
-    keys = ["__id", "__none", ROW_KEY]
-    key = {"__id": F.coalesce(F.col("doc_id"), F.lit(0).cast(kind)), "__none": F.col("doc_id").isNull()}
-    chosen = (stay.withColumns(key).groupBy(*keys)
-              .agg(F.sum(F.lit(copies) if isinstance(copies, int) else copies).alias("__copies")))
-    found = with_row_key(docs).withColumns(key).join(chosen, keys)
-    own = [F.col(f"`{c}`") for c in docs.columns]
-    one = (found.withColumn("__rn", F.row_number().over(Window.partitionBy(*keys).orderBy(F.xxhash64(*own))))
-           .where("__rn = 1"))
-    if not isinstance(copies, int):
-        one = one.withColumn("__i", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int"))))
-    return one.select(*own)
+
+def identified(docs: DataFrame) -> DataFrame:
+    """``uid`` and ``row``: each row of ``docs`` as one struct, so that no column
+    name matters, with an id of its own. The ids are those of a checkpoint, so they
+    stay what they are when tasks run again."""
+    return materialize(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+                       .withColumn("uid", F.monotonically_increasing_id()))
+
+
+def without(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of ``identified`` that are not in ``gone`` (uid), as they were. Few
+    ids are broadcast after a count; beyond the bound the rows are shuffled once."""
+    return rows.join(bounded_broadcast(materialize(gone.select("uid"))), "uid", "left_anti").select("row.*")
+
+
+def repeated(rows: DataFrame, copies: DataFrame) -> DataFrame:
+    """Each row of ``identified`` as often as ``copies`` (uid, copies) says: rows
+    that are not in it once. Joined as in ``without``."""
+    other = bounded_broadcast(materialize(copies.select("uid", "copies").where("copies <> 1")))
+    times = F.coalesce(F.col("copies"), F.lit(1)).cast("int")
+    joined = rows.join(other, "uid", "left").select("row", times.alias("copies")).where("copies > 0")
+    return joined.select("row", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).select("row.*")

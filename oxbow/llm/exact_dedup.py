@@ -1,7 +1,7 @@
 """Exact dedup by deterministic block naming (operator 7), built-in functions only.
 
 Each text, less its white space, is cut into blocks of ``BLOCK`` code points.
-The distinct blocks are sorted and numbered; then adjacent pairs of numbers are
+The distinct blocks are sorted (by hash, then content) and numbered; then adjacent pairs of numbers are
 sorted and numbered again, level by level, until one number is left for the
 whole text. Equal numbers mean equal blocks at every level, so the last number
 (with the block count) identifies the text without any collision.
@@ -11,9 +11,10 @@ occurs once differs from every other text. The hash never decides that two
 texts are equal.
 
 Defined cases: null text counts as empty, and all empty texts are one group; a
-null doc_id sorts last; of rows equal in text, length and doc_id one stays, and
-which one does not show in the output columns; extra columns are ignored; an
-empty table gives an empty result.
+null doc_id sorts last; texts of any length are read whole, in blocks; of rows that
+tie in text, length and doc_id (repeated rows too) one stays, and which one does not
+show in the output columns; extra columns, whatever their names, are ignored by
+``exact_groups`` and kept by ``drop_copies``; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from oxbow.llm.common import ROW_KEY, anti_hot, join_hot, keep_rows, materialize, with_row_key
+from oxbow.llm.common import anti_hot, identified, join_hot, materialize, without
 from oxbow.session import broadcast_row_bound
 
 #: Code points in a block.
@@ -58,9 +59,12 @@ def _without(keys: DataFrame, rows: DataFrame, on: list[str]) -> DataFrame:
 
 def _named(rows: DataFrame, keys: list[str]) -> DataFrame:
     """``rows`` with ``keys`` replaced by an integer ``__name``: the place of the
-    key among the sorted distinct keys. Equal names mean equal keys."""
-    distinct = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    names = materialize(distinct.sort(*keys).withColumn("__name", F.monotonically_increasing_id()))
+    key among the distinct keys, sorted by their hash, then by themselves. Equal
+    names mean equal keys. The range partitioner samples hashes, not texts; the
+    keys are compared within the partitions."""
+    distinct = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).withColumn("__h", F.xxhash64(*keys))
+    ordered = distinct.repartitionByRange("__h").sortWithinPartitions("__h", *keys).drop("__h")
+    names = materialize(ordered.withColumn("__name", F.monotonically_increasing_id()))
     return join_hot(rows, names, keys, "__n").drop(*keys, "__n")
 
 
@@ -133,6 +137,6 @@ def exact_groups(docs: DataFrame, block: int = BLOCK, carry: tuple[str, ...] = (
 
 def drop_copies(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with the columns of ``docs``."""
-    keyed = with_row_key(docs.select("doc_id", "text"))
-    stay = exact_groups(keyed, carry=(ROW_KEY,)).where("kept").select("doc_id", ROW_KEY)
-    return keep_rows(docs, stay)
+    rows = identified(docs)
+    groups = exact_groups(rows.select("uid", "row.doc_id", "row.text"), carry=("uid",))
+    return without(rows, groups.where("NOT kept"))

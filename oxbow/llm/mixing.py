@@ -13,10 +13,12 @@ these so that the source's words come nearest their target.
 All draws are seeded by source, block and round, and each block is sorted, so
 reruns agree however the rows are partitioned.
 
-Defined cases: a null or empty text has size 0 and counts as a document; the
-null source is a source of its own, the last in order; a source without words
-has target 0; repeated rows are documents of their own; extra columns are
-ignored by ``mixture`` and kept by ``mixed``; an empty table gives an empty result.
+Defined cases: a null or empty text has size 0 and counts as a document; texts of
+any length are counted whole; the null source is a source of its own, the last in
+order; a source without words has target 0; repeated rows are documents of their
+own, numbered so that any number of them spreads over the blocks; ties in size are
+ordered by id, then number; extra columns, whatever their names, are ignored by
+``mixture`` and kept by ``mixed``; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from oxbow.llm.common import ROW_KEY, WORD_RE, join_hot, keep_rows, materialize, with_row_key
+from oxbow.llm.common import WORD_RE, anti_hot, identified, join_hot, materialize, repeated
 from oxbow.plans.ordering import with_ordinal
 from oxbow.session import ship_package
 
@@ -119,12 +121,13 @@ def cube(units: DataFrame, blocks: str, keys: list[str], size: str, p: str, unit
     """``units`` with each fraction in ``p`` settled to 0 or 1.
 
     ``keys`` name the group (a source) and are not null; ``blocks`` holds its
-    number of blocks. A unit's draw depends on ``unit`` (its id) and size; the
-    other columns are carried along and only order rows that share both.
+    number of blocks. A unit's draw depends on ``unit`` (its id), size and, where
+    rows share these, its ``__nth``; the other columns are carried along and only
+    order rows that share all.
     """
     ship_package(units.sparkSession)
     rest = [c for c in units.columns if c not in (p, size, unit)]
-    units = units.withColumn("__block", F.pmod(F.xxhash64(unit, size), F.col(blocks)))
+    units = units.withColumn("__block", F.pmod(F.xxhash64(unit, size, "__nth"), F.col(blocks)))
     schema = units.schema
     most = units.agg(F.max(blocks)).first()[0] or 1
     names = units.columns
@@ -154,6 +157,22 @@ def cube(units: DataFrame, blocks: str, keys: list[str], size: str, p: str, unit
     return settled.drop("__block")
 
 
+def _numbered_repeats(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Add ``__nth``: 0 for a row alone with its source, id and size; other rows are
+    numbered through in that order, so that repeats go to different blocks. Which of
+    the repeats has which number does not matter, so reruns agree."""
+    kind = rows.schema["doc_id"].dataType
+    same = ["__unit", "__unit_none", *keys, "size"]
+    keyed = rows.withColumns({"__unit": F.coalesce(F.col("doc_id"), F.lit(0).cast(kind)),
+                              "__unit_none": F.col("doc_id").isNull()})
+    often = materialize(keyed.groupBy(*same).agg(F.count(F.lit(1)).alias("__same")).where("__same > 1"))
+    if often.isEmpty():
+        return rows.withColumn("__nth", F.lit(0).cast("long"))
+    again = with_ordinal(join_hot(keyed, often, same, "__same").drop("__same"), [F.asc(c) for c in same], "__nth")
+    alone = anti_hot(keyed, often, same, "__same").withColumn("__nth", F.lit(0).cast("long"))
+    return materialize(alone.unionByName(again).drop("__unit", "__unit_none"))
+
+
 def mixture(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST,
             carry: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, ``carry``, size, source_size, target and taken, one row per document."""
@@ -167,7 +186,7 @@ def mixture(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOS
     wanted = materialize(wanted.withColumn("__whole", F.floor(times))
                          .withColumn("__p", times - F.floor(times))
                          .withColumn("__blocks", F.ceil(F.col("__docs") / BLOCK)))
-    units = (join_hot(rows.drop("source"), wanted, keys, "__docs").drop("__docs"))
+    units = join_hot(_numbered_repeats(rows.drop("source"), keys), wanted, keys, "__docs").drop("__docs")
     chosen = cube(units, "__blocks", keys, "size", "__p", "doc_id")
     return chosen.select("doc_id", *carry, "size", "source_size", "target",
                          (F.col("size") * (F.col("__whole") + F.col("__p").cast("long"))).alias("taken"),
@@ -176,5 +195,5 @@ def mixture(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOS
 
 def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
     """The mix itself: every row of ``docs`` as often as it is taken."""
-    chosen = mixture(with_row_key(docs.select("doc_id", "text", "source")), weights, most, carry=(ROW_KEY,))
-    return keep_rows(docs, chosen.where("copies > 0"), F.col("copies"))
+    rows = identified(docs)
+    return repeated(rows, mixture(rows.select("uid", "row.doc_id", "row.text", "row.source"), weights, most, carry=("uid",)))

@@ -14,9 +14,11 @@
 The sample only shapes the shards. The search is exact at any size.
 
 Defined cases: a null or wordless text has fingerprint zero and links like any
-other; a text shorter than a shingle is one shingle; repeated rows share a
-component; a null doc_id is never a component_id unless all of its component
-are null; extra columns are ignored; an empty table gives an empty result.
+other; a text shorter than a shingle is one shingle, and texts of any length are
+read whole; a bit set in exactly half of the hashes (a tie) is 0; repeated rows
+share a component; a null doc_id is never a component_id unless all of its
+component are null; extra columns, whatever their names, are ignored by the report
+and kept by ``drop_near_copies``; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,8 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from oxbow.llm.common import (ROW_KEY, ascii_words, join_hot, keep_rows, map_texts, materialize,
-                              with_row_key)
+from oxbow.llm.common import ascii_words, identified, join_hot, map_texts, materialize, without
 from oxbow.llm.components import components
 from oxbow.session import ship_package
 
@@ -256,6 +257,8 @@ def near_links(points: DataFrame, radius: int = 3, shard: int = SHARD) -> DataFr
     # One row per shard and side: bounded by the tree, which the sample bounds.
     counted = fps.mapInArrow(sizes, "shard int, role int, n long").groupBy("shard", "role").agg(F.sum("n").alias("n"))
     cuts = {(r.shard, r.role): -(-r.n // (2 * shard)) for r in counted.collect()}
+    if max(cuts.values(), default=0) > 0xFFFF:
+        raise ValueError("a shard has more blocks than a task id can hold; allow more shards")
 
     def send(batches):
         for s, role, x in routed(batches):
@@ -311,8 +314,10 @@ def near_report(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame
 
 def drop_near_copies(docs: DataFrame, shingle: int = 3, radius: int = 3) -> DataFrame:
     """The rows of ``docs`` that stay: of each component the one with the
-    smallest doc_id; columns unchanged."""
-    grouped = near_groups(with_row_key(docs.select("doc_id", "text")), shingle, radius, carry=(ROW_KEY,))
-    stay = (grouped.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .groupBy("root").agg(F.first("doc_id").alias("doc_id"), F.min(ROW_KEY).alias(ROW_KEY)))
-    return keep_rows(docs, stay)
+    smallest doc_id (a null one last, of rows that share it any); columns unchanged."""
+    rows = identified(docs)
+    grouped = materialize(near_groups(rows.select("uid", "row.doc_id", "row.text"), shingle, radius, carry=("uid",))
+                          .select("uid", "doc_id", "root"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "uid"))["uid"]
+    groups = materialize(grouped.groupBy("root").agg(first.alias("stays"), F.count(F.lit(1)).alias("n")).where("n > 1"))
+    return without(rows, join_hot(grouped, groups, ["root"], "n").where("uid <> stays"))

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from oxbow.llm.common import map_texts, materialize
+from oxbow.llm.common import fresh, map_texts, materialize
 from oxbow.session import ship_package
 
 #: Bound on the labelled rows that the model is fitted on.
@@ -273,5 +273,5 @@ def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the model does not call toxic; columns unchanged."""
-    return (scored(docs, train(docs, labels), docs.columns, "__score")
-            .where(F.col("__score") < THRESHOLD).drop("__score"))
+    score = fresh("score", docs.columns)
+    return scored(docs, train(docs, labels), docs.columns, score).where(F.col(score) < THRESHOLD).drop(score)

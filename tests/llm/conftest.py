@@ -8,7 +8,9 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 #: Extra columns whose names the operators also use.
 CLASHES = ("score", "size", "kept", "target", "taken", "fp", "label", "words", "n", "rank", "keep_id",
-           "component_id", "text_sha256", "u", "v", "task", "side", "ids", "block", "a", "b")
+           "component_id", "text_sha256", "u", "v", "task", "side", "ids", "block", "a", "b", "uid", "row", "copies",
+           "root", "stays", "score_", "__rn", "__id", "__none", "__copies", "__i", "__row_key", "__score", "__text",
+           "__nth", "__unit", "__same", "__norm", "__source", "__block", "__n", "__p")
 
 
 def prose(seed: int, n: int) -> str:
