@@ -2,45 +2,46 @@
 
 ``stream_replay`` -- paced replay. A ``rate`` stream is the clock. In
 micro-batch k the history rows with ``lo < replay time <= hi`` go out, where
-``hi`` is the newest clock time in the batch and ``lo`` the ``hi`` of the
-batch before. With no ``lo`` yet there is no lower bound, so rows whose
-replay time has already passed (the backlog) go out at once; nothing is
-dropped. The bounds of the newest batch are kept in the checkpoint folder and
-written before the batch emits; a batch run again after a failure finds its
-bounds and emits the same rows. Sinks write one folder per batch id in overwrite
-mode, so a re-run replaces rather than duplicates.
+``hi`` is the newest clock tick in the batch and ``lo`` the tick before its first
+one. With no ``lo`` yet there is no lower bound, so rows whose replay time has
+already passed (the backlog) go out at once; nothing is dropped. Which ticks belong
+to a batch is in the stream's offset log, so a batch run again after a failure emits
+the same rows. Sinks write one folder per batch id in overwrite mode, so a re-run
+replaces rather than duplicates.
 
 Each micro-batch reads only its slice of the history: the replay-time window
 is mapped back to a source-time window (rate > 0), which reaches the scan as
 a pushed filter; the exact replay-time test follows.
 
 ``stream_replay_files`` -- bounded replay of a finite slice. The slice is
-exported once as JSON lines, partitioned by batch; then one stream counts
-through the batches, and each micro-batch reads its partition and emits it in
-order. A restart keeps the finished export and goes on at the stream's checkpoint.
+exported once as JSON lines, partitioned by batch; then a streaming source whose
+offsets are batch numbers (``streaming.source``) reads batch after batch, and each
+micro-batch is emitted in order. A restart keeps the finished export and goes on at
+the offset log of the stream's checkpoint.
 
 Both fail before they start when a row of the history has no valid timestamp.
 """
 
 from __future__ import annotations
 
-import json
 import time
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from oxbow.functions.messages import JSON_WRITE_OPTIONS, envelope, row_json
+from oxbow.functions.messages import JSON_READ_OPTIONS, JSON_WRITE_OPTIONS, envelope, row_json
 from oxbow.functions.timefmt import EPOCH, ts_lit
 from oxbow.operators.replay import ENRICH_COLUMNS, Replay, assign_batches, check_timestamps, enrich
 from oxbow.plans.ordering import PREFIX
 from oxbow.session import hadoop_path
 from oxbow.sinks import messages as msg_sink
 from oxbow.sources.files import read_jsonl
+from oxbow.streaming.source import read_batches
 
 _BATCH = ("_batch_id", "_batch_start", "_batch_end")
+#: Rows of an exported file.
+EXPORT_ROWS = 200_000
 
 
 def _epoch_micros(c) -> F.Column:
@@ -52,35 +53,15 @@ def _us(t: datetime) -> int:
     return (t - datetime(1970, 1, 1)) // timedelta(microseconds=1)
 
 
-class _Bounds:
-    """The bounds of the newest micro-batch: {"batch", "lo", "hi"}.
-
-    Two files are written in turn, so one of them is whole at any time."""
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root
-
-    def _read(self, name: str) -> dict | None:
-        fs, p = hadoop_path(self.spark, f"{self.root}/{name}")
-        if not fs.exists(p):
-            return None
-        stream = fs.open(p)
-        try:
-            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-        except ValueError:
-            return None     # cut short by a failure; the other file holds the bounds before
-        finally:
-            stream.close()
-
-    def newest(self) -> dict | None:
-        found = [b for b in map(self._read, ("bounds-0", "bounds-1")) if b]
-        return max(found, key=lambda b: b["batch"], default=None)
-
-    def write(self, bounds: dict) -> None:
-        fs, p = hadoop_path(self.spark, f"{self.root}/bounds-{bounds['batch'] % 2}")
-        stream = fs.create(p, True)
-        stream.write(bytearray(json.dumps(bounds).encode()))
-        stream.close()
+def clock_bounds(clock: DataFrame) -> tuple[int | None, int] | None:
+    """(lo, hi) of a micro-batch of the clock, which ticks once a second: ``lo`` is
+    the tick before its first one, so the ``hi`` of the batch before, and None if
+    that is the clock's first tick. A batch that runs again has the same ticks, by
+    the offset log, so the same bounds. None for a batch without ticks."""
+    first, lo, hi = clock.agg(F.min("value"), F.min(F.unix_micros("timestamp")), F.max(F.unix_micros("timestamp"))).first()
+    if hi is None:
+        return None
+    return (None if first == 0 else lo - 1_000_000), hi
 
 
 def _emit(rows: DataFrame, sink: str, out: str | None, batch_id: int, payload: list[str],
@@ -118,8 +99,7 @@ def source_window(r: Replay, lo_us: int | None, hi_us: int) -> tuple[datetime, d
 
 def stream_replay(spark: SparkSession, history: DataFrame, r: Replay, *, checkpoint: str,
                   out: str | None = None, sink: str = "parquet",
-                  attributes: list[str] | tuple[str, ...] = (), rows_per_second: int = 1,
-                  trigger_seconds: float = 1.0, timeout: float | None = None,
+                  attributes: list[str] | tuple[str, ...] = (), trigger_seconds: float = 1.0, timeout: float | None = None,
                   poll_seconds: float = 0.2) -> dict:
     """ST3/ST4: paced replay until every row of the slice has gone out.
 
@@ -134,18 +114,13 @@ def stream_replay(spark: SparkSession, history: DataFrame, r: Replay, *, checkpo
     sliced = assign_batches(history, r, ts).drop(*_BATCH)
     last_us = (enrich(sliced, r, ts, publish=False, keep_replay_ts=True)
                .select(F.max(_epoch_micros(F.col("_replay_ts"))).alias("m")).first()["m"])
-    bounds = _Bounds(spark, f"{checkpoint}/replay-bounds")
     done = {"emitted_batches": 0, "last_hi": None}
 
     def each(clock: DataFrame, batch_id: int) -> None:
-        b = bounds.newest()
-        if b is None or b["batch"] != batch_id:
-            hi = clock.select(F.max(F.unix_micros("timestamp")).alias("hi")).first()["hi"]
-            if hi is None:
-                return                          # the rate source's first batch is empty
-            b = {"batch": batch_id, "lo": b and b["hi"], "hi": hi}
-            bounds.write(b)
-        lo, hi = b["lo"], b["hi"]
+        bounds = clock_bounds(clock)
+        if bounds is None:
+            return                          # the rate source's first batch is empty
+        lo, hi = bounds
         first = _us(r.replay_start)
         if last_us is not None and hi >= first and (lo is None or lo < last_us):
             a, z = source_window(r, lo, hi)
@@ -160,7 +135,7 @@ def stream_replay(spark: SparkSession, history: DataFrame, r: Replay, *, checkpo
     def finished() -> bool:
         return last_us is None or (done["last_hi"] is not None and done["last_hi"] >= last_us)
 
-    clock = spark.readStream.format("rate").option("rowsPerSecond", rows_per_second).load()
+    clock = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
     q = (clock.writeStream.foreachBatch(each).option("checkpointLocation", f"{checkpoint}/clock")
          .trigger(processingTime=f"{trigger_seconds} seconds").start())
     started = time.time()
@@ -194,29 +169,21 @@ def stream_replay_files(spark: SparkSession, history: DataFrame, r: Replay, *, w
         check_timestamps(history, ts)
         # By time, so that a task writes few batches and a batch comes from few tasks.
         (assign_batches(history, r, ts).drop("_batch_start", "_batch_end").repartitionByRange(F.col(ts))
-         .write.mode("overwrite").partitionBy("_batch_id").options(**JSON_WRITE_OPTIONS).json(src))
+         .write.mode("overwrite").partitionBy("_batch_id").option("maxRecordsPerFile", EXPORT_ROWS)
+         .options(**JSON_WRITE_OPTIONS).json(src))
     payload = list(history.columns) + list(ENRICH_COLUMNS)
-    exported = read_jsonl(spark, src, T.StructType([*history.schema.fields, T.StructField("_batch_id", T.LongType())]))
-    last = r.n_batches() - 1
-    seen = {"batch": -1}
-
-    def each(numbers: DataFrame, batch_id: int) -> None:
-        n = numbers.select(F.max("value")).first()[0]
-        rows = exported.where(F.col("_batch_id") == F.lit(n)).drop("_batch_id")
-        if n <= last and not rows.isEmpty():
-            _emit(enrich(rows, r, ts, publish=True, keep_replay_ts=True), sink, out, n, payload, list(attributes))
-        seen["batch"] = n       # beyond the last one after a restart
-
-    # One number per micro-batch, the same one if it is run again.
-    numbers = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 1).load()
-    q = (numbers.writeStream.foreachBatch(each).option("checkpointLocation", f"{workdir}/checkpoint").start())
+    rows = read_batches(spark, src, r.n_batches(), history.schema, f"{workdir}/checkpoint", JSON_READ_OPTIONS)
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        # a micro-batch is one batch, so its number is the batch's
+        _emit(enrich(batch.drop("batch"), r, ts, publish=True, keep_replay_ts=True), sink, out, batch_id, payload,
+              list(attributes))
+
+    q = rows.writeStream.foreachBatch(each).option("checkpointLocation", f"{workdir}/checkpoint").start()
     try:
-        while seen["batch"] < last:
-            if not q.isActive:
-                raise q.exception() or RuntimeError("the replay stream ended before its last batch")
-            time.sleep(0.05)
+        q.processAllAvailable()
     finally:
-        q.stop()                # at most an empty micro-batch is running
+        q.stop()
     return out
 
 

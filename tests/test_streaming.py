@@ -1,5 +1,6 @@
 import json
 import os
+import time
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from oxbow.operators import replay
 from oxbow.sinks import messages
 from oxbow.streaming import replay as streaming
+from oxbow.streaming import source
 
 
 def history(spark, n=40, step_ms=250):
@@ -34,6 +36,41 @@ def test_file_stream_replay_in_order(spark, workdir):
     assert all(max(a) < min(b) for a, b in zip(seconds, seconds[1:]))
 
 
+def test_restart_between_batches_goes_by_the_offset_log(spark, workdir, monkeypatch):
+    """Killed in batch 2 of 6: batches 0 and 1 are not read again, none is lost."""
+    h, start = history(spark, n=120, step_ms=500)
+    r = replay.Replay(start=start, end=start + timedelta(seconds=60), replay_start=start, rate=0.5, batch_seconds=10,
+                      ts_field="ts")
+    monkeypatch.setattr(streaming, "EXPORT_ROWS", 7)    # several files, so several input partitions, per batch
+    emitted, emit = [], streaming._emit
+
+    def failing(rows, sink, out, batch_id, *rest):
+        if batch_id == 2 and emitted.count(2) == 0:
+            emitted.append(2)
+            raise RuntimeError("lost")
+        emitted.append(batch_id)
+        assert rows.rdd.getNumPartitions() >= 3
+        emit(rows, sink, out, batch_id, *rest)
+    monkeypatch.setattr(streaming, "_emit", failing)
+    with pytest.raises(Exception, match="lost"):
+        streaming.stream_replay_files(spark, h, r, workdir=workdir)
+    assert emitted == [0, 1, 2] and source.newest_offset(spark, f"{workdir}/checkpoint") == 3
+    out = streaming.stream_replay_files(spark, h, r, workdir=workdir)
+    assert emitted == [0, 1, 2, 2, 3, 4, 5]
+    assert sorted(x.id for x in spark.read.parquet(f"{out}/*").collect()) == list(range(120))
+    streaming.stream_replay_files(spark, h, r, workdir=workdir)
+    assert len(emitted) == 7 and source.newest_offset(spark, f"{workdir}/checkpoint") == 6
+
+
+def test_empty_batches_and_empty_history(spark, workdir):
+    h, start = history(spark, n=4, step_ms=15_000)      # batches 1, 3, 5 of 10 s hold nothing
+    r = replay.Replay(start=start, end=start + timedelta(seconds=60), replay_start=start, rate=0, batch_seconds=10, ts_field="ts")
+    out = streaming.stream_replay_files(spark, h, r, workdir=f"{workdir}/a")
+    assert sorted(x.id for x in spark.read.parquet(f"{out}/*").collect()) == list(range(4))
+    out = streaming.stream_replay_files(spark, h.limit(0), r, workdir=f"{workdir}/b")
+    assert spark.read.schema(h.schema).parquet(f"{out}/*").count() == 0
+
+
 def test_paced_replay_emits_everything_once(spark, workdir):
     h, start = history(spark, n=20, step_ms=250)       # 5 s of history
     now = datetime.now(timezone.utc).replace(tzinfo=None, microsecond=0)
@@ -105,14 +142,19 @@ def test_missing_timestamp_stops_the_replay(spark, workdir):
         streaming.stream_replay_files(spark, bad, r, workdir=workdir)
 
 
-def test_bounds_record_survives_a_cut(spark, workdir):
-    b = streaming._Bounds(spark, f"file:{workdir}/b")
-    assert b.newest() is None
-    for k in range(5):
-        b.write({"batch": k, "lo": k, "hi": k + 1})
-        assert b.newest()["batch"] == k
-    assert sorted(f for f in os.listdir(f"{workdir}/b") if not f.startswith(".")) == ["bounds-0", "bounds-1"]
-    with open(f"{workdir}/b/bounds-0", "w") as f:
-        f.write('{"batch": 6, "lo"')
-    os.path.exists(f"{workdir}/b/.bounds-0.crc") and os.remove(f"{workdir}/b/.bounds-0.crc")
-    assert b.newest()["batch"] == 3
+def test_clock_bounds_meet(spark, workdir):
+    """The bounds of the clock's micro-batches follow on one another without a gap, also over a restart."""
+    seen = []
+
+    def each(clock, batch_id):
+        if (b := streaming.clock_bounds(clock)) is not None:
+            seen.append(b)
+
+    for wanted in (3, 6):
+        q = (spark.readStream.format("rate").option("rowsPerSecond", 1).load().writeStream.foreachBatch(each)
+             .option("checkpointLocation", f"{workdir}/clock").trigger(processingTime="1 seconds").start())
+        while len(seen) < wanted and q.isActive:
+            time.sleep(0.1)
+        streaming._stop_when_idle(q)
+    assert seen[0][0] is None
+    assert all(a[1] == b[0] for a, b in zip(seen, seen[1:]))
