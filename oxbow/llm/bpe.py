@@ -53,7 +53,7 @@ from pyspark.sql import DataFrame
 from oxbow.llm.common import map_texts
 
 #: Pieces up to this many bytes contract one pair a round.
-SHORT = 24
+SHORT = 40
 #: Pieces over this many bytes have the rule for runs too.
 MIDDLE = 512
 #: Rows (bytes of pieces) of a query, memory a row may take, and tokens of a decode.
@@ -287,27 +287,29 @@ class Codec:
             out[i] = ids[start:stop]
             start = stop
 
-    def _keep(self, cache: dict[str, bytes], key: str, ids: bytes) -> None:
-        cache[key] = ids
-        self.cached += 200 + 2 * len(key) + len(ids)
-
     def _learn(self, first: set[str], later: set[str]) -> None:
         """Encode the segments that are not known yet, each distinct piece once."""
         known = self.piece_ids
-        cut = [(self.first_ids, s, self.pieces(s)) for s in first]
-        cut += [(self.segment_ids, s, self._behind_space(s)) for s in later]
-        new = list({p for *_, ps in cut for p in ps}.difference(known))
-        for p, ids in zip(new, self.encode_pieces([p.encode() for p in new]), strict=True):
-            self._keep(known, p, ids)
-        for to, s, ps in cut:
-            self._keep(to, s, known[ps[0]] if len(ps) == 1 else b"".join([known[p] for p in ps]))
-        self.long = [(cache, s) for cache, of in ((self.first_ids, first), (self.segment_ids, later), (known, new))
-                     for s in of if len(s) > CACHED]
+        cut = [(self.first_ids, list(first), list(map(self.pieces, first))),
+               (self.segment_ids, list(later), list(map(self._behind_space, later)))]
+        new = list({p for _, _, found in cut for ps in found for p in ps}.difference(known))
+        known.update(zip(new, self.encode_pieces([p.encode() for p in new]), strict=True))
+        entries = [(known, new)]
+        for to, names, found in cut:
+            to.update(zip(names, [known[ps[0]] if len(ps) == 1 else b"".join([known[p] for p in ps]) for ps in found]))
+            entries.append((to, names))
+        for cache, names in entries:
+            sizes = list(map(len, names))
+            # a segment's ids take about two bytes a letter
+            self.cached += 200 * len(names) + 4 * sum(sizes)
+            if sizes and max(sizes) > CACHED:
+                self.long += [(cache, s) for s in names if len(s) > CACHED]
 
     def _forget(self) -> None:
         """Drop long entries, and all of them if they take too much room."""
         for cache, s in self.long:
-            self.cached -= 200 + 2 * len(s) + len(cache.pop(s))
+            self.cached -= 200 + 4 * len(s)
+            del cache[s]
         self.long = []
         if self.cached > CACHE_BYTES:
             for cache in (self.first_ids, self.segment_ids, self.piece_ids):
