@@ -86,9 +86,17 @@ def option_profit(base: DataFrame, options: DataFrame, *, per_unit: bool = False
     arm, else price - cost (NULL when the price is NULL).
     """
     decimal = _is_decimal(base, "Sales_Price") or _is_decimal(options, "Material_Cost")
+    return profit_from_totals(base, option_cost_totals(options), per_unit=per_unit, broadcast_rows=broadcast_rows,
+                              with_arm=with_arm, decimal=decimal)
+
+
+def profit_from_totals(base: DataFrame, totals: DataFrame, *, per_unit: bool = False, broadcast_rows: int | None = None,
+                       with_arm: bool = False, decimal: bool | None = None) -> DataFrame:
+    """``option_profit`` from the (key, code) sums and counts of the costs."""
+    if decimal is None:
+        decimal = _is_decimal(base, "Sales_Price") or _is_decimal(totals, "cost_sum")
     # Both averaged sides are re-aggregations of the totals, so one check of
     # the totals bounds both of them.
-    totals = option_cost_totals(options)
     small = is_small(totals, broadcast_rows)
     by_key = maybe_broadcast(avg_cost_by_key(totals, decimal), small)
     by_code = maybe_broadcast(avg_cost_by_code(totals, decimal), small)

@@ -20,7 +20,7 @@ import math
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from oxbow.functions.messages import row_json
@@ -103,21 +103,41 @@ def batch_sizes(df: DataFrame, r: Replay, ts_col: str | None = None) -> DataFram
                  F.max(ts).alias("last_ts")))
 
 
-def split_bad_rows(df: DataFrame, ts_col: str) -> tuple[DataFrame, DataFrame]:
-    """FLT4: (good, bad). A row is bad when its timestamp is missing, empty or
-    unparseable; bad rows carry ``_error``. Text timestamps are parsed."""
+def _tagged(df: DataFrame, ts_col: str) -> DataFrame:
+    """``df`` with ``_ts`` (parsed) and ``_error`` (null for a good row)."""
     is_text = dict(df.dtypes)[ts_col] == "string"
     parsed = parse_ts(ts_col) if is_text else F.col(ts_col)
     raw = F.col(ts_col)
     missing = raw.isNull() | (F.trim(raw.cast("string")) == "") if is_text else raw.isNull()
     err = F.when(missing, F.lit("missing timestamp")).when(parsed.isNull(),
                                                            F.lit("unparseable timestamp"))
-    tagged = df.withColumn("_ts", parsed).withColumn("_error", err)
+    return df.withColumn("_ts", parsed).withColumn("_error", err)
+
+
+def split_bad_rows(df: DataFrame, ts_col: str) -> tuple[DataFrame, DataFrame]:
+    """FLT4: (good, bad). A row is bad when its timestamp is missing, empty or
+    unparseable; bad rows carry ``_error``. Text timestamps are parsed. Each of the
+    two reads ``df`` on its own; ``quarantine`` reads it once."""
+    tagged = _tagged(df, ts_col)
     good = tagged.where(F.col("_error").isNull()).drop("_error")
     bad = tagged.where(F.col("_error").isNotNull()).drop("_ts")
     return good, bad
 
 
+def quarantine(df: DataFrame, ts_col: str, path: str) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """FLT4 in one pass: (good, bad, counts). ``df`` is read once, and its rows are
+    written to ``path`` by verdict; the counts ("good", "bad") are observed on the way.
+    Reading one side back opens only its folder."""
+    tagged = _tagged(df, ts_col).withColumn("_verdict", F.when(F.col("_error").isNull(), "good").otherwise("bad"))
+    seen = Observation()
+    (tagged.observe(seen, F.count_if(F.col("_verdict") == "good").alias("good"), F.count_if(F.col("_verdict") == "bad").alias("bad"))
+     .write.mode("overwrite").partitionBy("_verdict").parquet(path))
+    written = df.sparkSession.read.schema(tagged.schema).parquet(path)
+    good = written.where(F.col("_verdict") == "good").drop("_error", "_verdict")
+    bad = written.where(F.col("_verdict") == "bad").drop("_ts", "_verdict")
+    return good, bad, dict(seen.get)
+
+
 def require_timestamps(df: DataFrame, ts_col: str) -> DataFrame:
     """FLT4, strict and lazy: a query fails on the first row whose timestamp is
     missing or cannot be parsed; the column becomes a timestamp."""

@@ -17,13 +17,15 @@ from pyspark.sql import functions as F
 from oxbow.functions import messages
 from oxbow.functions.keys import first_token_ws, model_option_key, zero_cost_flag
 from oxbow.functions.timefmt import format_ts, parse_ts
-from oxbow.operators import costing, quality, ranges, replay, reports
+from oxbow.operators import costing, profit_view, quality, ranges, replay, reports
 from oxbow.plans import mapping
 from oxbow.plans.joins import bounded_broadcast
 from oxbow.plans.partitioning import spread
 from oxbow.session import scratch_path
+from oxbow.sinks import delivery
 from oxbow.sinks import messages as msg_sink
 from oxbow.sinks import tables as sinks
+from oxbow.sinks import versions
 from oxbow.sources import files, schema, zones
 from oxbow.sources.split_csv import read_csv_split
 from oxbow.streaming import replay as streaming
@@ -466,6 +468,23 @@ def q_replay_good_rows(spark, sf):
     return good
 
 
+# Both sides of one pass, counted on the way and read back.
+@register("replay_quarantine", """
+SELECT CASE WHEN event_type IN ('error', 'signup') THEN 'missing timestamp'
+            WHEN event_type = 'purchase' THEN 'unparseable timestamp' END AS _error,
+       count(*) AS n_rows, count(ts) FILTER (event_type NOT IN ('error', 'signup', 'purchase')) AS n_times,
+       sum(count(*)) OVER (PARTITION BY event_type IN ('error', 'signup', 'purchase'))::BIGINT AS n_of_verdict
+FROM (SELECT CASE WHEN event_type = 'signup' THEN 'error' ELSE event_type END AS kind, * FROM events)
+GROUP BY 1, event_type IN ('error', 'signup', 'purchase')""")
+def q_replay_quarantine(spark, sf):
+    good, bad, counts = replay.quarantine(_events_ts_text(spark, sf), "timestamp", scratch_path(spark, "quarantine"))
+    none = F.lit(None)
+    both = (good.select(none.cast("string").alias("_error"), "_ts", F.lit(counts["good"]).alias("n_of_verdict"))
+            .unionByName(bad.select("_error", none.cast("timestamp_ntz").alias("_ts"), F.lit(counts["bad"]).alias("n_of_verdict"))))
+    return both.groupBy("_error", F.col("n_of_verdict").cast("long").alias("n_of_verdict")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count("_ts").alias("n_times"))
+
+
 @register("ts_text_roundtrip", """
 SELECT event_id, ts,
        strftime(ts, '%Y-%m-%d %H:%M:%S.%f UTC') AS ts_text,
@@ -655,6 +674,30 @@ def q_truncate_load(spark, sf):
     return sinks.truncate_load(mapping.option_costs(spark, sf), schema.OPTIONS_CSV_FIELDS, path=path)
 
 
+@register("atomic_load", f"""
+WITH {OPTIONS_SQL}
+SELECT Model, Option_Code, Option_Desc, CAST(Material_Cost AS DECIMAL(28,9)) AS Material_Cost, CAST(2 AS BIGINT) AS version
+FROM options""")
+def q_atomic_load(spark, sf):
+    path = scratch_path(spark, "versioned-options")
+    options = mapping.option_costs(spark, sf)
+    versions.atomic_load(options.withColumn("Option_Code", F.lit("old")), schema.OPTIONS_CSV_FIELDS, path)
+    loaded = versions.atomic_load(options, schema.OPTIONS_CSV_FIELDS, path)
+    versions.vacuum(spark, path, keep=1)
+    return loaded.withColumn("version", F.lit(versions.current(spark, path)[0]).cast("long"))
+
+
+# A third of the options arrive in two later deliveries; the kept view then equals
+# the one computed from all of them.
+@register("profit_view_incremental", _profit_sql(BASE_SQL))
+def q_profit_view_incremental(spark, sf):
+    path = scratch_path(spark, "kept-profit")
+    options = mapping.option_costs(spark, sf)
+    profit_view.create(mapping.option_base(spark, sf), options.where("row_order % 6 < 4"), path)
+    profit_view.add_options(spark, path, options.where("row_order % 6 = 4"))
+    return _money(profit_view.add_options(spark, path, options.where("row_order % 6 = 5")), "Production_Cost", "Profit")
+
+
 @register("profit_view", f"""
 SELECT Vehicle_ID, Option_Quantities, Options_Code, Option_Desc, Model_Text,
        CAST(Sales_Price AS DOUBLE) AS Sales_Price,
@@ -761,3 +804,22 @@ def q_message_publish(spark, sf):
     back = msg_sink.read_messages(spark, target)
     return back.select(messages.decode("data", enriched.schema).alias("m"),
                        F.size("attributes").alias("n_attributes")).select("m.*", "n_attributes")
+
+
+# Delivered in groups; the messages come back once each, and every group keeps its limits.
+@register("message_delivery", f"""
+WITH r AS ({_replay_sql(EVENTS_REPLAY)})
+SELECT e.event_id, e.ts, CASE WHEN e.event_type <> 'error' THEN e.user_id END AS user_id,
+       e.event_type, e.value, e.props, r._offset, r._replay_timestamp, true AS group_within_limits
+FROM events e JOIN r ON e.event_id = r.event_id""")
+def q_message_delivery(spark, sf):
+    src = _events_attr_source(spark, sf)
+    enriched = replay.enrich(replay.assign_batches(src, EVENTS_REPLAY), EVENTS_REPLAY,
+                             publish=False).drop("_batch_id", "_batch_start", "_batch_end")
+    target = scratch_path(spark, "delivered")
+    delivery.deliver(messages.envelope(spread(enriched), ["event_type", "user_id"]), target)
+    groups = delivery.read_groups(spark, target).select("file", (
+        (F.col("messages") <= delivery.MAX_MESSAGES) & ((F.col("bytes") <= delivery.MAX_BYTES) | (F.col("messages") == 1))
+    ).alias("group_within_limits"))
+    back = delivery.read_delivered(spark, target).join(groups, "file")
+    return back.select(messages.decode("data", enriched.schema).alias("m"), "group_within_limits").select("m.*", "group_within_limits")
