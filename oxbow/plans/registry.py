@@ -777,6 +777,21 @@ def q_stream_replay_paced(spark, sf):
                       .alias("published_after_replay_time"))
 
 
+# The same, by state and timers.
+@register("stream_replay_timers", """
+SELECT event_id, ts, true AS published_after_replay_time FROM events
+WHERE ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-02-01'""")
+def q_stream_replay_timers(spark, sf):
+    rate = 4.0 / 86400
+    r = replay.Replay(start=EVENTS_REPLAY.start, end=EVENTS_REPLAY.end, rate=rate, ts_field="ts", batch_seconds=7 * 86400,
+                      replay_start=datetime.now(timezone.utc).replace(tzinfo=None) - timedelta(seconds=30 * 86400 * rate))
+    out = streaming.stream_replay_timers(spark, _events(spark, sf), r, workdir=scratch_path(spark, "replay-timers"),
+                                         trigger_seconds=0.5)
+    got = spark.read.option("recursiveFileLookup", True).parquet(out)
+    return got.select("event_id", "ts", (F.col("_publish_timestamp") >= F.col("_replay_timestamp"))
+                      .alias("published_after_replay_time"))
+
+
 # Text order of the exported timestamp equals time order here (fixed-width
 # text, no ties), so the oracle numbers rows by ts.
 @register("jsonl_sort", """

@@ -19,25 +19,31 @@ offsets are batch numbers (``streaming.source``) reads batch after batch, and ea
 micro-batch is emitted in order. A restart keeps the finished export and goes on at
 the offset log of the stream's checkpoint.
 
-Both fail before they start when a row of the history has no valid timestamp.
+``stream_replay_timers`` -- paced replay of exported batches by keyed state and
+processing-time timers.
+
+All fail before they start when a row of the history has no valid timestamp.
 """
 
 from __future__ import annotations
 
+import re
 import time
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor
 
 from oxbow.functions.messages import JSON_READ_OPTIONS, JSON_WRITE_OPTIONS, envelope, row_json
-from oxbow.functions.timefmt import EPOCH, ts_lit
+from oxbow.functions.timefmt import EPOCH, replay_time, ts_lit
 from oxbow.operators.replay import ENRICH_COLUMNS, Replay, assign_batches, check_timestamps, enrich
 from oxbow.plans.ordering import PREFIX
 from oxbow.session import hadoop_path
 from oxbow.sinks import messages as msg_sink
 from oxbow.sources.files import read_jsonl
-from oxbow.streaming.source import read_batches
+from oxbow.streaming.source import parse_lines, read_batches
 
 _BATCH = ("_batch_id", "_batch_start", "_batch_end")
 #: Rows of an exported file.
@@ -158,28 +164,33 @@ def _stop_when_idle(q) -> None:
     q.stop()
 
 
+def _export(spark: SparkSession, history: DataFrame, r: Replay, path: str) -> None:
+    """The slice as JSON lines by batch, once; a finished export is kept."""
+    fs, finished = hadoop_path(spark, f"{path}/_SUCCESS")
+    if fs.exists(finished):
+        return
+    check_timestamps(history, r.ts_field)
+    # By time, so that a task writes few batches and a batch comes from few tasks.
+    (assign_batches(history, r, r.ts_field).drop("_batch_start", "_batch_end").repartitionByRange(F.col(r.ts_field))
+     .write.mode("overwrite").partitionBy("_batch_id").option("maxRecordsPerFile", EXPORT_ROWS)
+     .options(**JSON_WRITE_OPTIONS).json(path))
+
+
 def stream_replay_files(spark: SparkSession, history: DataFrame, r: Replay, *, workdir: str,
                         sink: str = "parquet", attributes: list[str] | tuple[str, ...] = ()) -> str:
     """ST7: bounded replay through exported files, batch after batch; returns
     the output folder (one folder per micro-batch, ordered within)."""
-    ts = r.ts_field
-    src, out = f"{workdir}/export", f"{workdir}/out"
-    fs, finished = hadoop_path(spark, f"{src}/_SUCCESS")
-    if not fs.exists(finished):
-        check_timestamps(history, ts)
-        # By time, so that a task writes few batches and a batch comes from few tasks.
-        (assign_batches(history, r, ts).drop("_batch_start", "_batch_end").repartitionByRange(F.col(ts))
-         .write.mode("overwrite").partitionBy("_batch_id").option("maxRecordsPerFile", EXPORT_ROWS)
-         .options(**JSON_WRITE_OPTIONS).json(src))
+    ts, out = r.ts_field, f"{workdir}/out"
+    _export(spark, history, r, f"{workdir}/export")
     payload = list(history.columns) + list(ENRICH_COLUMNS)
-    rows = read_batches(spark, src, r.n_batches(), history.schema, f"{workdir}/checkpoint", JSON_READ_OPTIONS)
+    lines = read_batches(spark, f"{workdir}/export", r.n_batches(), f"{workdir}/checkpoint")
 
     def each(batch: DataFrame, batch_id: int) -> None:
         # a micro-batch is one batch, so its number is the batch's
-        _emit(enrich(batch.drop("batch"), r, ts, publish=True, keep_replay_ts=True), sink, out, batch_id, payload,
-              list(attributes))
+        rows = parse_lines(batch, history.schema, JSON_READ_OPTIONS)
+        _emit(enrich(rows, r, ts, publish=True, keep_replay_ts=True), sink, out, batch_id, payload, list(attributes))
 
-    q = rows.writeStream.foreachBatch(each).option("checkpointLocation", f"{workdir}/checkpoint").start()
+    q = lines.writeStream.foreachBatch(each).option("checkpointLocation", f"{workdir}/checkpoint").start()
     try:
         q.processAllAvailable()
     finally:
@@ -187,6 +198,90 @@ def stream_replay_files(spark: SparkSession, history: DataFrame, r: Replay, *, w
     return out
 
 
+class _Hold(StatefulProcessor):
+    """Holds the lines of one second of replay time until that second is over."""
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.lines = handle.getListState("lines", "line string")
+
+    def handleInputRows(self, key, rows, timerValues):
+        self.lines.appendList([(r["line"],) for r in rows])
+        self.handle.registerTimer((key[0] + 1) * 1000)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        for (line,) in self.lines.get():
+            yield Row(line=line)
+        self.lines.clear()
+
+    def close(self) -> None:
+        pass
+
+
+def stream_replay_timers(spark: SparkSession, history: DataFrame, r: Replay, *, workdir: str, sink: str = "parquet",
+                         attributes: list[str] | tuple[str, ...] = (), spread_keys: int = 8, trigger_seconds: float = 1.0,
+                         timeout: float | None = None, poll_seconds: float = 0.2) -> str:
+    """ST3/ST4 with state and timers: paced replay of exported batches; returns the
+    output folder (one folder per micro-batch, ordered within).
+
+    The source gives out a batch when the replay time of its first row comes, so
+    state holds a batch or two, never the whole history. Rows whose time is past go
+    out at once; the others are held in state, by second of replay time and
+    ``spread_keys`` parts (so a busy second is spread), until a processing-time timer
+    at the second's end lets them go: never early, at most a second and a trigger
+    late. Offsets, state and timers are the engine's, so a killed replay goes on
+    where it was. With ``timeout``, rows that are left then raise ``TimeoutError``.
+    """
+    ts, out, checkpoint = r.ts_field, f"{workdir}/out", f"{workdir}/checkpoint"
+    _export(spark, history, r, f"{workdir}/export")
+    payload = list(history.columns) + list(ENRICH_COLUMNS)
+    batches, step = r.n_batches(), round(r.batch_seconds * r.rate * 1e6)
+    lines = read_batches(spark, f"{workdir}/export", batches, checkpoint, _us(r.replay_start), step).select("line")
+    time_of = F.from_json("line", T.StructType([history.schema[ts]]), {**JSON_READ_OPTIONS, "mode": "FAILFAST"})[ts]
+    due = _epoch_micros(replay_time(time_of, r.start, r.replay_start, r.rate))
+    timed = lines.withColumn("second", F.floor(due / 1_000_000)).withColumn("past", due <= F.unix_micros(F.current_timestamp()))
+    held = (timed.where("NOT past").withColumn("part", F.pmod(F.xxhash64("line"), F.lit(spread_keys)))
+            .groupBy("second", "part").transformWithState(_Hold(), "line string", "Append", "ProcessingTime"))
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        rows = parse_lines(batch, history.schema, JSON_READ_OPTIONS)
+        if not rows.isEmpty():
+            _emit(enrich(rows, r, ts, publish=True, keep_replay_ts=True), sink, out, batch_id, payload, list(attributes))
+
+    old = spark.conf.get(_PROVIDER, None)
+    spark.conf.set(_PROVIDER, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        q = (timed.where("past").select("line").unionByName(held).writeStream.foreachBatch(each)
+             .option("checkpointLocation", checkpoint).trigger(processingTime=f"{trigger_seconds} seconds").start())
+    finally:
+        spark.conf.set(_PROVIDER, old) if old else spark.conf.unset(_PROVIDER)
+    started = time.time()
+    try:
+        while not _all_out(q, batches):
+            if not q.isActive:
+                raise q.exception() or RuntimeError("the replay stream ended before its last row")
+            if timeout is not None and time.time() - started > timeout:
+                raise TimeoutError(f"rows are left to replay after {timeout} s")
+            time.sleep(poll_seconds)
+    finally:
+        q.stop()    # a micro-batch that is cut short runs again, into the same folder
+    return out
+
+
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
+
+def _all_out(q, batches: int) -> bool:
+    """Whether the last micro-batch began behind the last batch and left no state."""
+    progress = q.lastProgress
+    if not batches or progress is None:
+        return not batches
+    begun = [re.search(r"batch\W+(\d+)", str(s["startOffset"])) for s in progress["sources"]]
+    return (all(m and int(m[1]) == batches for m in begun)
+            and all(s["numRowsTotal"] == 0 for s in progress["stateOperators"]))
+
+
 def read_replay_output(spark: SparkSession, out: str, schema, sink: str = "parquet") -> DataFrame:
     """Read back a replay's file output (all batch folders)."""
     if sink == "json":

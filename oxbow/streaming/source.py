@@ -8,7 +8,9 @@ micro-batch is one batch, and each of its files one input partition.
 
 Options: ``path``; ``batches``, the number of batches; ``from``, the newest offset
 of the query's log (``newest_offset``), since a source learns of committed offsets
-only by the micro-batches it plans itself.
+only by the micro-batches it plans itself; ``first_us`` and ``step_us``, for a paced
+source: the time (microseconds since the epoch) from which batch 0 is given out, and
+how much later each further one is.
 
 Files are read in Python workers by Arrow's file systems (local, HDFS, S3, GCS); the
 lines are parsed by Spark. A file's lines are held at a time, so the export bounds
@@ -18,6 +20,7 @@ the rows of a file.
 from __future__ import annotations
 
 import json
+import time
 
 import pyarrow as pa
 import pyarrow.fs
@@ -44,13 +47,16 @@ class BatchReader(DataSourceStreamReader):
     def __init__(self, options):
         self.root, self.batches = options["path"], int(options["batches"])
         self.planned = int(options.get("from", 0))
+        self.first, self.step = (int(options.get(k, 0)) for k in ("first_us", "step_us"))
 
     def initialOffset(self) -> dict:
         return {"batch": 0}
 
     def latestOffset(self) -> dict:
-        """One batch further than what has been planned."""
-        return {"batch": min(self.planned + 1, self.batches)}
+        """One batch further than what has been planned, if its time has come."""
+        now = time.time_ns() // 1000
+        due = self.batches if not self.step else 0 if now < self.first else (now - self.first) // self.step + 1
+        return {"batch": max(self.planned, min(self.planned + 1, self.batches, due))}
 
     def partitions(self, start: dict, end: dict) -> list[BatchFile]:
         self.planned = max(self.planned, end["batch"])
@@ -103,11 +109,16 @@ def newest_offset(spark: SparkSession, checkpoint: str) -> int:
     return int(json.loads(text.strip().split("\n")[-1])["batch"])
 
 
-def read_batches(spark: SparkSession, path: str, batches: int, schema, checkpoint: str, options: dict) -> DataFrame:
-    """A stream of ``batch`` and the parsed columns of ``schema``."""
+def read_batches(spark: SparkSession, path: str, batches: int, checkpoint: str, first_us: int = 0,
+                 step_us: int = 0) -> DataFrame:
+    """A stream of ``batch`` and ``line``; with ``step_us`` paced by batches."""
     ship_package(spark)
     spark.dataSource.register(BatchSource)
-    lines = (spark.readStream.format(FORMAT).option("path", path).option("batches", batches)
-             .option("from", newest_offset(spark, checkpoint)).load())
-    parsed = F.from_json("line", schema, {**options, "mode": "FAILFAST"})
-    return lines.select("batch", parsed.alias("row")).select("batch", "row.*")
+    return (spark.readStream.format(FORMAT).option("path", path).option("batches", batches)
+            .option("first_us", first_us).option("step_us", step_us)
+            .option("from", newest_offset(spark, checkpoint)).load())
+
+
+def parse_lines(lines: DataFrame, schema, options: dict) -> DataFrame:
+    """The columns of ``schema`` from ``line``; a broken line fails."""
+    return lines.select(F.from_json("line", schema, {**options, "mode": "FAILFAST"}).alias("row")).select("row.*")

@@ -142,6 +142,29 @@ def test_missing_timestamp_stops_the_replay(spark, workdir):
         streaming.stream_replay_files(spark, bad, r, workdir=workdir)
 
 
+def test_timers_kill_and_resume(spark, workdir):
+    """Backlog at once, the rest held until its second is over; killed half way, nothing is lost or repeated."""
+    h, start = history(spark, n=40, step_ms=750)       # 30 s of history, in two batches
+    now = datetime.now(timezone.utc).replace(tzinfo=None, microsecond=0)
+    r = replay.Replay(start=start, end=start + timedelta(seconds=30), replay_start=now + timedelta(seconds=2),
+                      rate=1.0, ts_field="ts", batch_seconds=15)
+    with pytest.raises(TimeoutError):
+        streaming.stream_replay_timers(spark, h, r, workdir=workdir, timeout=14, trigger_seconds=0.5)
+    out = streaming.stream_replay_timers(spark, h, r, workdir=workdir, timeout=120, trigger_seconds=0.5)
+    got = spark.read.parquet(f"{out}/*")
+    assert sorted(x.id for x in got.collect()) == list(range(40))
+    assert got.where(F.col("_publish_timestamp") < F.col("_replay_timestamp")).count() == 0
+
+
+def test_timers_on_backlog_and_nothing(spark, workdir):
+    h, start = history(spark, n=12)
+    r = replay.Replay(start=start, end=start + timedelta(seconds=60), replay_start=start, rate=0.5, ts_field="ts")
+    out = streaming.stream_replay_timers(spark, h, r, workdir=f"{workdir}/a", timeout=100, trigger_seconds=0.2)
+    assert sorted(x.id for x in spark.read.parquet(f"{out}/*").collect()) == list(range(12))
+    streaming.stream_replay_timers(spark, h.limit(0), r, workdir=f"{workdir}/b", timeout=100, trigger_seconds=0.2)
+    assert not os.path.exists(f"{workdir}/b/out")
+
+
 def test_clock_bounds_meet(spark, workdir):
     """The bounds of the clock's micro-batches follow on one another without a gap, also over a restart."""
     seen = []
