@@ -103,7 +103,7 @@ def _sql_text(value: str) -> str:
 
 #: The text extraction of the oracle, apart from the operator's own.
 _SQL_HTML_RULES = (
-    (r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>", ""),
+    (r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)", ""),
     (r"(?i)</?(a|abbr|b|cite|code|em|font|i|mark|q|s|small|span|strong|sub|sup|u)\b[^>]*>", ""),
     (r"<[^>]*>", "\n"),
     (r"[ \t\r\x0B\f]{2,}|[\t\r\x0B\f]", " "),
@@ -137,7 +137,7 @@ _WARC_SQL = f"""
              nullif(trim(html, ''), '') IS NULL AS nothing,
              'sha256:' || sha256(html) AS source_digest,
              {_sql_html_text("html")} AS plain,
-             {_sql_html_text("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title', 1)")} AS title
+             {_sql_html_text("regexp_extract(html, '(?is)<title[^>]*(?:>|\\z)(.*?)(?:</title|\\z)', 1)")} AS title
       FROM s),
     q AS (
       SELECT *, {_sql_uuid('conversion', 'id')} AS conv, {_sql_uuid('metadata', 'id')} AS meta,

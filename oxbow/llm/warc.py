@@ -32,11 +32,14 @@ BLOCK_TAGS = (
     "m(?:ain|enu) n(?:av|oframes|oscript) o(?:l|ptgroup|ption) plaintext pre s(?:earch|ection|ummary) "
     "t(?:able|body|d|foot|h|head|itle|r) ul xmp").replace(" ", "|")
 #: Text extraction, in order (pattern, replacement): what is not
-#: text goes, block tags end a line, all other tags go.
-HTML_RULES = (
-    (r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>", ""),
+#: text goes (up to the end of the page, if it is never closed), block tags end a
+#: line, all other tags go, white space shrinks.
+NO_TEXT = r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)"
+TAG_RULES = (
     (rf"(?i)</?(?:{BLOCK_TAGS})(?![\w-])[^>]*>", "\n"),
     (r"<[^>]*>", ""),
+)
+SPACE_RULES = (
     (r"[ \t\r\x0B\f]{2,}|[\t\r\x0B\f]", " "),
     (r" ?\n[ \n]*", "\n"),
 )
@@ -97,13 +100,22 @@ def decode_entities(text: Column) -> Column:
 
 
 def html_text(html: Column) -> Column:
-    for pattern, to in HTML_RULES:
+    """Plain text of a page, in time linear in its length: what is never closed is
+    matched once, to the end, and tags are looked for only up to the last ``>``,
+    where each ``<`` has an end (what follows it holds no tag, and stays)."""
+    html = F.regexp_replace(html, NO_TEXT, "")
+    rest = F.substring_index(html, ">", -1)
+    tagged = F.left(html, F.length(html) - F.length(rest))
+    for pattern, to in TAG_RULES:
+        tagged = F.regexp_replace(tagged, pattern, to)
+    html = F.concat(tagged, rest)
+    for pattern, to in SPACE_RULES:
         html = F.regexp_replace(html, pattern, to)
     return decode_entities(F.btrim(html, F.lit(" \n")))
 
 
 def title(html: Column) -> Column:
-    return html_text(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title", 1))
+    return html_text(F.regexp_extract(html, r"(?is)<title[^>]*(?:>|\z)(.*?)(?:</title|\z)", 1))
 
 
 def header(head: Column, name: str) -> Column:
@@ -161,7 +173,7 @@ def derive(records: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     s = s.withColumn("__text_digest", digest(F.col("__text")))
     conversion = record_id(F.lit("conversion"), F.coalesce("__id", F.lit("")))
     metadata = record_id(F.lit("metadata"), F.coalesce("__id", F.lit("")))
-    sent = F.array_join(F.transform(F.slice(F.split("__http", CRLF), 2, 1_000_000),
+    sent = F.array_join(F.transform(F.slice(F.split("__http", CRLF), 2, F.length("__http") + 1),
                                     lambda x: F.concat(F.lit("http-header: "), x)), CRLF)
     fields = F.concat(
         _lines(("title", F.nullif(title(F.col("__payload")), F.lit(""))),

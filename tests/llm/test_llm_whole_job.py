@@ -1,6 +1,7 @@
 """Cuts that a review found: each test fails on the code before its mending."""
 
 import random
+import time
 
 from pyspark.sql import functions as F
 
@@ -121,6 +122,22 @@ def test_wrapped_standard_licenses(spark):
     assert got == {1: "", 2: "MIT", 3: "", 4: ""}
 
 
+def test_broken_html_in_linear_time(spark):
+    """A megabyte of what is never closed; and what such a page gives."""
+    n = 1 << 20
+    rows = [(k, f"<p>start</p> {(unit * n)[:n]}") for k, unit in enumerate(
+        ["<!-- x ", "<script> x ", "<style ", "<", "<p ", "</div ", "<title>", "<title ", "< a ", "<![CDATA[ ", "</script ", "&", "&#"])]
+    rows += [(100, "a <!-- b > c"), (101, "a <script>var x = 1 < 2;</script> b <script> c > d"), (102, "a < b"), (103, "a < b > c"),
+             (104, "x<style>p{}</style >y<STYLE>z"), (105, "1 <b>2</b> <i 3"), (106, "")]
+    df = spark.createDataFrame(rows, "k int, html string").repartition(4).select(
+        "k", warc.html_text(F.col("html")).alias("t"), warc.title(F.col("html")).alias("title"))
+    began = time.time()
+    got = {r.k: r for r in df.collect()}
+    assert time.time() - began < 90
+    assert [got[k].t for k in range(100, 107)] == ["a", "a b", "a < b", "a c", "xy", "1 2 <i 3", ""]
+    assert got[0].t == got[1].t == "start" and got[6].title and all(got[k].t.startswith("start") for k in range(13))
+
+
 def test_inline_tags_and_references(spark):
     inline = ("a abbr acronym b bdi bdo big button cite code data del dfn em font i img input ins kbd label map mark "
               "meter my-tag object output p-x picture progress q ruby s samp small span strong sub sup svg time tt u "
