@@ -10,8 +10,9 @@ each other in the sequence (sentences that are not known are skipped).
 The tables are fixed and small, so they are literals: no join, no shuffle.
 
 Defined cases: a null or empty text has no sentences; a sentence matches as a
-whole or not at all, and the longest one at a place counts; a license stated twice is reported once; repeated rows
-give repeated results; extra columns are ignored; an empty table gives an empty
+whole or not at all, and of several that match at a place (a tie) the longest
+counts; texts of any length are scanned whole; a license stated twice is reported once; repeated rows
+give repeated results; extra columns, whatever their names, are ignored; an empty table gives an empty
 result.
 """
 

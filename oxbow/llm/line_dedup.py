@@ -21,10 +21,11 @@ Nothing is paired: a passage in a third of all documents is one row of first
 occurrences, and is joined hot-safe.
 
 Defined cases: lines are compared without outer white space; blank lines are
-kept and skipped when matching; null text counts as empty; without ``words``,
+kept and skipped when matching; null text counts as empty, texts of any length are read whole; of equal runs the
+first by (doc_id, place) stays, of a tie in doc_id the one whose text hash is less; without ``words``,
 texts of fewer lines than the window keep all; a null doc_id is last in order; rows that repeat both
-doc_id and text count as one document and get the same result; extra columns
-are ignored; an empty table gives an empty result.
+doc_id and text count as one document and get the same result; extra columns,
+whatever their names, are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations

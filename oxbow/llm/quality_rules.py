@@ -6,9 +6,10 @@ another policy, or asking what a rule costs, reads the ledger and never a text
 again. ``ablation`` works on one row per distinct bit pattern (at most
 2**len(RULES) rows, whatever the input size).
 
-Defined cases: a null or empty text has no words and fails ``few_words``; a
-repeated row is measured like any other; extra columns are ignored by
-``ledger`` and kept by ``accepted``; an empty table gives an empty ledger.
+Defined cases: a null or empty text has no words and fails ``few_words``; texts of
+any length are measured whole; a measurement that ties with a limit passes, as the
+rules compare strictly; a repeated row is measured like any other; extra columns,
+whatever their names, are ignored; an empty table gives an empty ledger.
 """
 
 from __future__ import annotations

@@ -11,8 +11,8 @@ files). With an empty mark, as for byte-level vocabularies, an entry may stand
 anywhere in a word. A word that cannot be cut counts as one unknown piece.
 
 Defined cases: a null or empty text has no words and no pieces; very long texts
-and words are counted whole; repeated rows count alike; extra columns are
-ignored; an empty table gives an empty result.
+and words are counted whole; there are no ties, as one longest entry matches at a
+place; repeated rows count alike; extra columns, whatever their names, are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -14,10 +14,11 @@ does not.
   ``MAX_FEATURES``, plus the identity terms that the texts name.
 * Scoring is one pass over the whole texts, each row on its own.
 
-Defined cases: null and empty texts score as a text without known words; a
+Defined cases: null and empty texts score as a text without known words; texts of
+any length are scored whole; a score that ties with the threshold counts as toxic; a
 doc_id labelled twice is toxic if one label says so; null labels are ignored;
 with one kind of label all score alike, and 0.5 without labels; repeated rows
-score alike; extra columns are ignored by ``scores`` and kept by ``drop_toxic``;
+score alike; extra columns, whatever their names, are ignored by ``scores`` and kept by ``drop_toxic``;
 an empty table gives an empty result.
 """
 

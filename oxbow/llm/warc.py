@@ -12,7 +12,9 @@ response records from a table of pages.
 Defined cases: a null record is dropped; a record of another type is passed
 over; a record or HTTP block without an empty line has headers only and an
 empty payload; absent headers are left out of derived records; a null url or
-html counts as empty; repeated rows give repeated records; extra columns are
+html counts as empty; pages of any length and however broken are read whole, in
+linear time; of headers that are there twice (a tie) the first counts; repeated rows
+give repeated records; extra columns, whatever their names, are
 kept by ``derive`` only if named; an empty table gives no records.
 """
 
