@@ -5,6 +5,13 @@ Each stage takes (spark, docs, sf_dir) and works on all that the stage before
 kept; its result is written as Parquet and read again as the next one's input.
 All stages but the last return the columns of ``documents``; the last returns
 the token ids' count and digests, and the digest of the decoded text.
+
+Defined cases, in every stage: null and empty texts are documents like any other
+(the dedup stages keep one of them); texts of any length are read whole; rows keep
+their identity, so rows that share a doc_id, or repeat in all columns, are rows of
+their own until a dedup stage finds them equal; ties go to the smallest doc_id (exact
+dedup: the longest original first); extra columns, whatever their names, are kept as
+they are; an empty table passes through as an empty one.
 """
 
 from __future__ import annotations
