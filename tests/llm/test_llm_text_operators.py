@@ -140,8 +140,8 @@ def test_bpe_small_cache_changes_nothing(monkeypatch):
     texts = [t for _, t, *_ in odd_rows()]
     want = CODEC.encode(texts)
     monkeypatch.setattr(bpe, "CACHE_BYTES", 3)
-    monkeypatch.setattr(bpe, "ROWS", 7)
-    monkeypatch.setattr(bpe, "TOKENS", 5)
+    monkeypatch.setattr(bpe, "ROWS", 3000)
+    monkeypatch.setattr(bpe, "TOKENS", 4001)
     small = bpe.Codec(RANKS, P.PATTERN)
     got = [small.encode([t])[0] for t in texts]
     assert got == want and [small.decode([x])[0] for x in got] == [(t or "").encode() for t in texts]
