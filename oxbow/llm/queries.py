@@ -149,6 +149,9 @@ _WARC_SQL = f"""
       SELECT page_id, 'metadata', meta, id, uri, nl, conv, source_digest, 'application/warc-fields',
              CASE WHEN title <> '' THEN 'title: ' || title || nl ELSE '' END
              || 'http-status: 200' || nl || 'source-payload-digest: ' || source_digest || nl
+             || 'source-block-digest: sha256:' || sha256('HTTP/1.1 200 OK' || nl
+               || 'Content-Type: text/html; charset=utf-8' || nl || 'Content-Length: ' || strlen(html) || nl || nl
+               || html) || nl
              || 'text-digest: ' || plain_digest || nl || 'text-length: ' || strlen(plain) || nl
              || 'digest-match: true' || nl || 'http-header: Content-Type: text/html; charset=utf-8' || nl
              || 'http-header: Content-Length: ' || strlen(html) FROM q)

@@ -1,5 +1,7 @@
 """Cuts that a review found: each test fails on the code before its mending."""
 
+import base64
+import hashlib
 import random
 import time
 
@@ -160,7 +162,7 @@ def test_inline_tags_and_references(spark):
 def test_neighbouring_windows_are_one_place(spark):
     rows = [(i, "\n".join(prose(50 * i + k, 4) for k in range(40))) for i in range(5)]
     rows += [(9, "\n".join(prose(k, 4) for k in range(10, 15))), (10, "\n".join(["same"] * 5))]
-    every = line_dedup.windows(spark.createDataFrame(rows, "doc_id long, text string")).localCheckpoint()
+    every = line_dedup.windows(spark.createDataFrame(rows, "doc_id long, text string")).checkpoint()
     left = line_dedup.followed(every).collect()
     # All windows of 9 and 10 and those of 0 that are equal or share a smallest line with one; no others.
     assert {r.doc_id for r in left} == {0, 9, 10} and len([r for r in left if r.doc_id]) == 6
@@ -176,3 +178,48 @@ def test_no_sample_for_one_shard(spark, monkeypatch):
     assert not taken and {x for e in edges for x in (e.u, e.v)} >= {1, 3, 7}
     simhash.near_links(points, 3, shard=2).collect()
     assert taken
+
+
+def response(payload, mime="text/html", http="", **warc_headers):
+    head = "".join(f"{k.replace('_', '-')}: {v}\r\n" for k, v in warc_headers.items())
+    kind = f"Content-Type: {mime}\r\n" if mime else ""
+    return (f"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:uuid:{len(payload)}>\r\n{head}\r\n"
+            f"HTTP/1.1 200 OK\r\n{kind}{http}Server: s\r\n\r\n").encode() + payload
+
+
+def test_source_digests_headers_and_payloads_that_are_no_text(spark):
+    page = "<title>é</title><p>caf\xe9 \u2019 <b>x</b>"
+    data = page.encode()
+    sha1 = hashlib.sha1(data)
+    base32 = base64.b32encode(sha1.digest()).decode()
+    rows = {
+        "b32": response(data, WARC_Payload_Digest=f"sha1:{base32}", WARC_IP_Address="1.2.3.4", WARC_Block_Digest="sha1:Q"),
+        "hex": response(data, WARC_Payload_Digest=f"SHA1:{sha1.hexdigest().upper()}"),
+        "sha256": response(data, WARC_Payload_Digest=f"sha256:{hashlib.sha256(data).hexdigest()}"),
+        "md5": response(data, WARC_Payload_Digest=f"md5:{hashlib.md5(data).hexdigest()}"),
+        "wrong": response(data, WARC_Payload_Digest=f"sha1:{'A' * 32}"),
+        "other": response(data, WARC_Payload_Digest="blake3:00"), "absent": response(data),
+        "png": response(b"\x89PNG\r\n\r\n\xff\x00<p>", "image/png"), "gzip": response(data, http="Content-Encoding: gzip\r\n"),
+        "plain": response(b"a <b> c", "text/plain; charset=utf-8"), "json": response(b'{"a": "<p>"}', "application/ld+json"),
+        "none": response(b"<p>a</p>b", ""), "latin": response("<p>café \u2019".encode("cp1252"), 'text/html; charset="ISO-8859-1"'),
+        "broken": response(b"<p>a\xffb", "application/xhtml+xml; charset=utf-8")}
+    df = spark.createDataFrame([(k, bytearray(v)) for k, v in rows.items()], "k string, record binary")
+    got = {(r.k, r.warc_type): r for r in warc.derive(df, keep=("k",)).collect()}
+    meta = {k: got[k, "metadata"].block.split("\r\n") for k in rows}
+    text = {k: got[k, "conversion"].block for k in rows if (k, "conversion") in got}
+    match = {k: [x.split()[1] for x in m if x.startswith("digest-match")] for k, m in meta.items()}
+    assert {k: match[k] for k in ("b32", "hex", "sha256", "md5", "wrong", "other", "absent")} == {
+        "b32": ["true"], "hex": ["true"], "sha256": ["true"], "md5": ["true"], "wrong": ["false"], "other": [], "absent": []}
+    assert {"warc-header: WARC-IP-Address: 1.2.3.4", f"source-payload-digest: sha1:{base32}", "source-block-digest: sha1:Q",
+            "http-header: Server: s", "title: é"} <= set(meta["b32"])
+    assert got["b32", "conversion"].source_digest == f"sha1:{base32}"
+    assert got["absent", "metadata"].source_digest == "sha256:" + hashlib.sha256(data).hexdigest()
+    assert set(text) == set(rows) - {"png", "gzip"}
+    assert got["png", "metadata"].concurrent_to is None and not any(x.startswith("text-") for x in meta["png"])
+    assert got["png", "metadata"].source_digest == "sha256:" + hashlib.sha256(b"\x89PNG\r\n\r\n\xff\x00<p>").hexdigest()
+    assert text["b32"] == "é\ncafé \u2019 x" and text["plain"] == "a <b> c" and text["json"] == '{"a": "<p>"}'
+    assert text["none"] == "a\nb" and text["latin"] == "café \u2019" and text["broken"] == "a\ufffdb"
+    # Records of text give the same as those of bytes, where the bytes are UTF-8.
+    same = {k: v.decode() for k, v in rows.items() if k not in ("png", "latin", "broken")}
+    of_text = warc.derive(spark.createDataFrame(list(same.items()), "k string, record string"), keep=("k",)).collect()
+    assert {(r.k, r.warc_type): r.record for r in of_text} == {k: r.record for k, r in got.items() if k[0] in same}
