@@ -172,14 +172,16 @@ def test_components(spark):
 # ---- line dedup -----------------------------------------------------------
 
 def lines_brute(rows, window):
-    """rows: distinct (doc_id, text). Lines in a run of ``window`` that occurred before go."""
+    """rows: distinct (doc_id, text). Lines in a run of ``window`` that occurred before go, and
+    documents of fewer lines that did."""
     strip = lambda x: x.strip(" \t\r\x0b\x0c")
     seen, gone = set(), defaultdict(set)
     for i, t in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
         at = [k for k, x in enumerate((t or "").split("\n")) if strip(x)]
         lines = [strip(x) for x in (t or "").split("\n")]
-        for k in range(len(at) - window + 1):
-            w = tuple(lines[p] for p in at[k:k + window])
+        short = 0 < len(at) < window
+        for k in [0] if short else range(len(at) - window + 1):
+            w = (short, *[lines[p] for p in at[k:k + window]])
             if w in seen:
                 gone[i, t].update(at[k:k + window])
             seen.add(w)

@@ -159,15 +159,30 @@ def test_inline_tags_and_references(spark):
     assert got["once"] == "&lt; &#38; &amp; &unknown; & &; &#; &#x; &amp &eacute R&D; a&b" and got["none"] == "plain"
 
 
-def test_neighbouring_windows_are_one_place(spark):
+def test_fingerprints_are_sparse_and_anchored(spark):
     rows = [(i, "\n".join(prose(50 * i + k, 4) for k in range(40))) for i in range(5)]
-    rows += [(9, "\n".join(prose(k, 4) for k in range(10, 15))), (10, "\n".join(["same"] * 5))]
-    every = line_dedup.windows(spark.createDataFrame(rows, "doc_id long, text string")).checkpoint()
-    left = line_dedup.followed(every).collect()
-    # All windows of 9 and 10 and those of 0 that are equal or share a smallest line with one; no others.
-    assert {r.doc_id for r in left} == {0, 9, 10} and len([r for r in left if r.doc_id]) == 6
-    assert 3 <= len([r for r in left if not r.doc_id]) <= 7
-    assert every.count() == 5 * 38 + 6
+    rows += [(9, "\n".join(prose(k, 4) for k in range(10, 15))), (10, "\n".join(["same"] * 50)), (11, "a\n\nb"), (12, "a\nb")]
+    every = line_dedup.fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).checkpoint()
+    # Each window once, whoever selected it; about one fingerprint for two windows.
+    windows = line_dedup.extended(every).collect()
+    assert len(windows) == len({(r.doc_id, tuple(r["at"])) for r in windows}) == 5 * 38 + 3 + 48 + 2
+    assert every.where("doc_id < 9").count() < 0.6 * 5 * 38
+    left = line_dedup.anchors(every).collect()
+    assert {r.doc_id for r in left} == {0, 9, 10, 11, 12}
+    # Equal runs select the same lines: what 9 shares with 0 is anchored there, and little else of 0.
+    assert all(p in {r.print for r in left if r.doc_id == 0} for p in {r.print for r in left if r.doc_id == 9})
+    assert len([r for r in left if r.doc_id == 0]) <= 4 and [list(r["at"]) for r in left if r.doc_id == 11] == [[0, 2]]
+
+
+def test_long_runs_in_linear_time(spark):
+    body = [prose(k, 3) for k in range(3000)]
+    rows = [(1, "\n".join(body)), (2, "\n".join(x for k in range(0, 3000, 3) for x in [*body[k:k + 3], f"own {k}"])),
+            (3, "\n".join(["same"] * 3000))]
+    began = time.time()
+    got = {r.doc_id: r for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert time.time() - began < 60
+    assert [got[k].n_removed for k in (1, 2, 3)] == [0, 3000, 2999]
+    assert got[2].text.split("\n") == [f"own {k}" for k in range(0, 3000, 3)]
 
 
 def test_no_sample_for_one_shard(spark, monkeypatch):
