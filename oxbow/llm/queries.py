@@ -168,8 +168,8 @@ _WARC_SQL = f"""
     FROM r"""
 
 _LICENSE_SQL = f"""
-    WITH known(sentence, id) AS (VALUES {', '.join(f"({_sql_text(k)}, {_sql_text(v)})" for k, v in licenses.SENTENCES.items())}),
-    rules(n, name, ids) AS (VALUES {', '.join(f"({i}, {_sql_text(name)}, {_sql_text('|' + '|'.join(ids) + '|')})" for i, (name, ids) in enumerate(licenses.RULES))}),
+    WITH known(sentence, id) AS (VALUES {', '.join(f"({_sql_text(k)}, {_sql_text(v)})" for k, v in licenses.KNOWN.items())}),
+    rules(n, name, ids) AS (VALUES {', '.join(f"({i}, {_sql_text(name)}, {_sql_text('|' + '|'.join(ids) + '|')})" for i, (name, ids) in enumerate(licenses.EVERY_RULE))}),
     s AS (
       SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS i
       FROM (SELECT doc_id, string_split(regexp_replace(coalesce(text, ''), '([.!?;:])[ \t\r]+', E'\\1\n', 'g'),

@@ -124,6 +124,59 @@ def test_wrapped_standard_licenses(spark):
     assert got == {1: "", 2: "MIT", 3: "", 4: ""}
 
 
+LATER = """{0} you can redistribute it and/or modify
+it under the terms of the GNU {1} General Public License as published by
+the Free Software Foundation{2} either version {3} of the License, or
+(at your option) any later version.
+"""
+GRANT = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted{}.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH
+REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND
+FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE.
+"""
+FURTHER = {
+    "LGPL-2.1-or-later": LATER.format("This library is free software;", "Lesser", ";", "2.1"),
+    "LGPL-3.0-or-later": LATER.format("This program is free software:", "Lesser", ",", "3"),
+    "AGPL-3.0-or-later": LATER.format("This program is free software:", "Affero", ",", "3"),
+    "ISC": GRANT.format(""", provided that the above
+copyright notice and this permission notice appear in all copies"""),
+    "0BSD": GRANT.format(""),
+    "MPL-2.0": """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.
+""",
+    "Unlicense": """This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or
+distribute this software, either in source code form or as a compiled
+binary, for any purpose, commercial or non-commercial, and by any
+means.
+""",
+    "Zlib": """This software is provided 'as-is', without any express or implied
+warranty. In no event will the authors be held liable for any damages
+arising from the use of this software.
+
+Permission is granted to anyone to use this software for any purpose,
+including commercial applications, and to alter it and redistribute it
+freely, subject to the following restrictions:
+""",
+    "EPL-2.0": "Distributed under the Eclipse Public License 2.0.", "BSL-1.0": "x\nDistributed under the Boost Software License, Version 1.0.",
+    "CC0-1.0": "This work is licensed under\nCC0 1.0!", "CC-BY-NC-SA-4.0": "Licensed under CC BY-NC-SA 4.0", "BSD-3-Clause": "Released under the BSD 3-Clause License",
+}
+
+
+def test_further_licenses(spark):
+    rows = [(mark + name, "\n".join(mark + x for x in text.split("\n"))) for name, text in FURTHER.items() for mark in ("", " * ", "# ")]
+    rows += [("cut", FURTHER["ISC"].replace("FITNESS.", "FITNESS AND MORE.")), ("order", FURTHER["Zlib"][::-1])]
+    got = {r.doc_id: r.licenses for r in licenses.scan(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    assert got == {i: "" if i in ("cut", "order") else i.strip(" *#") for i, _ in rows}
+    # Every rule can be met, and every sentence has words only and is in use.
+    assert {i for _, rule in licenses.EVERY_RULE for i in rule} == set(licenses.KNOWN.values())
+    assert all(k == " ".join("".join(c if c.isalnum() else " " for c in k.lower()).split()) for k in licenses.KNOWN)
+
+
 def test_broken_html_in_linear_time(spark):
     """A megabyte of what is never closed; and what such a page gives."""
     n = 1 << 20
