@@ -821,6 +821,21 @@ def q_message_publish(spark, sf):
                        F.size("attributes").alias("n_attributes")).select("m.*", "n_attributes")
 
 
+# The lines that the console sink prints, read back from a text file of them.
+@register("message_console", f"""
+WITH r AS ({_replay_sql(EVENTS_REPLAY)})
+SELECT e.event_id, e.ts, CASE WHEN e.event_type <> 'error' THEN e.user_id END AS user_id,
+       e.event_type, e.value, e.props, r._offset, r._replay_timestamp
+FROM events e JOIN r ON e.event_id = r.event_id""")
+def q_message_console(spark, sf):
+    src = _events_attr_source(spark, sf)
+    enriched = replay.enrich(replay.assign_batches(src, EVENTS_REPLAY), EVENTS_REPLAY,
+                             publish=False).drop("_batch_id", "_batch_start", "_batch_end")
+    target = scratch_path(spark, "console")
+    msg_sink.console_lines(messages.envelope(spread(enriched))).write.text(target)
+    return spark.read.text(target).select(messages.decode("value", enriched.schema).alias("m")).select("m.*")
+
+
 # Delivered in groups; the messages come back once each, and every group keeps its limits.
 @register("message_delivery", f"""
 WITH r AS ({_replay_sql(EVENTS_REPLAY)})

@@ -7,7 +7,8 @@ Messages are rows ``(value BINARY, attributes MAP<STRING,STRING>)``
   a folder of its own, which a re-run replaces, so each batch is there once;
 * any format of the session, such as a message service's connector
   (``fmt="kafka"``), with its options; delivery is then what the connector gives;
-* no target: the console.
+* no target: the console, one JSON object per row and line, every row. The driver
+  prints, one partition in memory at a time.
 """
 
 from __future__ import annotations
@@ -35,8 +36,14 @@ def publish(messages: DataFrame, target: str | None = None, *, batch: str | None
         else:
             writer.mode("append").json(target)
     else:
-        rows.select(F.col("value").cast("string").alias("data"), "attributes") \
-            .write.format("console").option("truncate", False).mode("append").options(**options).save()
+        for row in console_lines(messages).toLocalIterator():
+            print(row.line)
+
+
+def console_lines(messages: DataFrame) -> DataFrame:
+    """SNK5: the lines that the console shows, ``line`` for each message: its JSON
+    object, whose line ends JSON escapes. A null value shows as null."""
+    return messages.select(F.coalesce(F.col("value").cast("string"), F.lit("null")).alias("line"))
 
 
 def read_messages(spark: SparkSession, target: str) -> DataFrame:

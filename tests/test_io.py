@@ -158,5 +158,12 @@ def test_envelope_and_folder(spark, workdir):
     msg_sink.publish(env, fmt="noop")
 
 
-def test_console_without_a_target(spark):
-    msg_sink.publish(messages.envelope(spark.range(2), []))   # printed by the JVM
+def test_console_without_a_target(spark, capsys):
+    """One JSON object per row and line, all of them (more than a table sink shows)."""
+    rows = spark.range(50).select("id", F.concat(F.lit("a\nb "), F.col("id")).alias("t")).repartition(3)
+    capsys.readouterr()
+    msg_sink.publish(messages.envelope(rows, ["id"]))
+    lines = [json.loads(x) for x in capsys.readouterr().out.splitlines()]
+    assert sorted(x["id"] for x in lines) == list(range(50)) and all(x["t"] == f"a\nb {x['id']}" for x in lines)
+    msg_sink.publish(messages.envelope(rows.limit(0), []))
+    assert capsys.readouterr().out == ""
