@@ -11,8 +11,9 @@ Instead both sides meet on an equi-join over aligned blocks:
   level k the covered blocks are lo_k = ceil(p / R^k) .. hi_k = floor((q+1) /
   R^k) - 1; those whose parent at level k+1 is covered too are left out, which
   leaves one run of blocks at either end.
-* pieces JOIN minima ON (level, block), then MIN per query together with one
-  NULL row per query, which never takes part in the join.
+* pieces JOIN minima ON (level, block), a sort-merge join at any size, then MIN
+  per query together with one NULL row per query, which never takes part in the
+  join.
 
 L = floor(log_R(longest query)), measured with one aggregate. Every query gets a
 row (NULL when its range holds no position, or when p > q); ``query_id`` must be
@@ -102,7 +103,8 @@ def range_min(positions: DataFrame, queries: DataFrame, *, pos: str = "pos", val
     if levels is None:
         levels = max_level(queries, lo, hi)
     minima = block_minima(positions, levels, pos, value)
-    found = query_pieces(queries, levels, qid, lo, hi).join(minima, ["level", "block"])
+    # The planner sizes the pieces by their queries and would broadcast them by that.
+    found = query_pieces(queries, levels, qid, lo, hi).hint("merge").join(minima, ["level", "block"])
     kind = positions.schema[value].dataType
     every = queries.select(F.col(qid).alias("query_id"), F.lit(None).cast(kind).alias("block_min"))
     return (found.select("query_id", "block_min").unionByName(every)

@@ -6,7 +6,9 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from oxbow.operators import ranges
-from tests.conftest import plan_text
+from oxbow.plans.registry import QUERIES
+from oxbow.sources.tables import table
+from tests.conftest import SF_SMALL, plan_text
 
 
 def test_sequence_example(spark):
@@ -76,3 +78,21 @@ def test_plan_has_no_cartesian(spark):
                                 (F.col("id") * 3 + 100).alias("q"))
     plan = plan_text(ranges.range_min(pos, qs))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def _joined_without_broadcast(spark, name):
+    """Rows of a registered query, whose run copied no join side to the driver."""
+    df = QUERIES[name](spark, SF_SMALL)
+    rows = {r.query_id: r.min_value for r in df.collect()}
+    plan = plan_text(df)
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan, plan
+    return rows
+
+
+def test_range_min_broadcasts_no_pieces(spark):
+    events = {r.event_id: r.value for r in table(spark, SF_SMALL, "events").collect()}
+    expected = {}
+    for r in table(spark, SF_SMALL, "part").collect():
+        p = r.p_partkey * 4
+        expected[r.p_partkey] = min((events[k] for k in range(p, p + r.p_size + 1) if k in events), default=None)
+    assert _joined_without_broadcast(spark, "range_min") == expected
