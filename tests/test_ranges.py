@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -96,3 +97,13 @@ def test_range_min_broadcasts_no_pieces(spark):
         p = r.p_partkey * 4
         expected[r.p_partkey] = min((events[k] for k in range(p, p + r.p_size + 1) if k in events), default=None)
     assert _joined_without_broadcast(spark, "range_min") == expected
+
+
+def test_range_min_long_broadcasts_no_pieces(spark):
+    events = {r.event_id: r.value for r in table(spark, SF_SMALL, "events").collect()}
+    expected = {}
+    for r in table(spark, SF_SMALL, "customer").collect():
+        p = r.c_custkey * 3
+        last = p + math.floor(abs(r.c_acctbal))
+        expected[r.c_custkey] = min((events[k] for k in range(p, last + 1) if k in events), default=None)
+    assert _joined_without_broadcast(spark, "range_min_long") == expected
