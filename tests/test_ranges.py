@@ -107,3 +107,12 @@ def test_range_min_long_broadcasts_no_pieces(spark):
         last = p + math.floor(abs(r.c_acctbal))
         expected[r.c_custkey] = min((events[k] for k in range(p, last + 1) if k in events), default=None)
     assert _joined_without_broadcast(spark, "range_min_long") == expected
+
+
+def test_range_min_symbols_broadcasts_no_pieces(spark):
+    factors = {r.event_id: 1 + r.user_id % 4 for r in table(spark, SF_SMALL, "events").collect()}
+    expected = {}
+    for r in table(spark, SF_SMALL, "part").collect():
+        p = r.p_partkey * 4
+        expected[r.p_partkey] = min((factors[k] for k in range(p, p + r.p_size * 3 + 1) if k in factors), default=None)
+    assert _joined_without_broadcast(spark, "range_min_symbols") == expected
