@@ -3,15 +3,16 @@
 A plain ``pos BETWEEN p AND q`` join plans as a Cartesian / nested-loop join.
 Instead both sides meet on an equi-join over aligned blocks:
 
-* block minima: for level k = 0..L, block j holds the minimum of positions
-  [j*R^k, (j+1)*R^k) with radix R. Level 0 is the positions themselves; each
-  further level is aggregated from the one below, so level 1 shuffles each
-  position once and every later level at most 1/R of the one before.
-* query pieces: [p, q] splits into fewer than 2R aligned blocks per level. At
-  level k the covered blocks are lo_k = ceil(p / R^k) .. hi_k = floor((q+1) /
-  R^k) - 1; those whose parent at level k+1 is covered too are left out, which
-  leaves one run of blocks at either end.
-* pieces JOIN minima ON (level, block), a sort-merge join at any size, then MIN
+* cells: at level k = 0..L, cell c holds the minimum of positions [c*R^k,
+  (c+1)*R^k) with radix R. Level 0 has the positions themselves. R neighbouring
+  cells are a block, kept as one row; it is one cell of the next level, which is
+  aggregated from these rows. So each position is shuffled in the aggregate of
+  its block and once more, with its block, in the join.
+* query pieces: [p, q] covers the cells lo_k = ceil(p / R^k) .. hi_k = floor((q+1)
+  / R^k) - 1 of level k; those whose block is a covered cell of level k+1 are left
+  out, which leaves one run of cells at either end, each within a block. A piece is
+  a block with its first and last cell: two per level and query at most.
+* pieces JOIN blocks ON (level, block), a sort-merge join at any size, then MIN
   per query together with one NULL row per query, which never takes part in the
   join.
 
@@ -39,7 +40,7 @@ def symbol_factor(symbol: Column | str) -> Column:
                                                  F.coalesce(s, F.lit("NULL")))))
 
 
-# Blocks of a level that make one block of the next: a power of two.
+# Cells of a level that make one cell of the next: a power of two.
 RADIX_BITS = 4
 RADIX = 1 << RADIX_BITS
 
@@ -60,29 +61,34 @@ def _down(c: Column, levels: int) -> Column:
 
 def block_minima(positions: DataFrame, levels: int, pos: str = "pos",
                  value: str = "value") -> DataFrame:
-    """(level, block, block_min) for levels 0..``levels``; level 0 has a row for
-    every input row."""
-    below = positions.where(F.col(pos).isNotNull()).select(
-        F.col(pos).cast("long").alias("block"), F.col(value).alias("block_min"))
-    out = below.select(F.lit(0).alias("level"), "block", "block_min")
-    for level in range(1, levels + 1):
-        below = (below.groupBy(_down(F.col("block"), 1).alias("block"))
-                 .agg(F.min("block_min").alias("block_min")))
-        out = out.unionByName(below.select(F.lit(level).alias("level"), "block", "block_min"))
+    """(level, block, present, minima) for levels 0..``levels``: bit i of ``present``
+    is set if the block's cell i has a value; ``minima`` has these cells' in order."""
+    cells = positions.where(F.col(pos).isNotNull()).select(
+        F.col(pos).cast("long").alias("cell"), F.col(value).alias("cell_min"))
+    out = None
+    for level in range(levels + 1):
+        slot = F.col("cell").bitwiseAND(RADIX - 1)
+        mins = [F.min(F.when(slot == i, F.col("cell_min"))).alias(f"_{i}") for i in range(RADIX)]
+        present = sum((F.when(F.col(f"_{i}").isNotNull(), F.lit(1 << i)).otherwise(0) for i in range(RADIX)), F.lit(0))
+        blocks = cells.groupBy(_down(F.col("cell"), 1).alias("block")).agg(*mins).select(
+            F.lit(level).alias("level"), "block", present.alias("present"),
+            F.array_compact(F.array(*[f"_{i}" for i in range(RADIX)])).alias("minima"))
+        out = blocks if out is None else out.unionByName(blocks)
+        cells = blocks.select(F.col("block").alias("cell"), F.array_min("minima").alias("cell_min"))
     return out
 
 
 def query_pieces(queries: DataFrame, levels: int, qid: str = "query_id", lo: str = "p",
                  hi: str = "q") -> DataFrame:
-    """(query_id, level, block): the aligned blocks that make up each range."""
+    """(query_id, level, block, first, last): the cells that make up each range, as
+    the first and last of a block."""
     base = queries.select(F.col(qid).alias("query_id"), F.col(lo).cast("long").alias("_p"),
                           F.col(hi).cast("long").alias("_q")).where("_p <= _q")
     covered = [(_down(F.col("_p") + (RADIX ** k - 1), k), _down(F.col("_q") + 1, k) - 1)
                for k in range(levels + 1)]
 
     def run(level: int, a: Column, b: Column) -> Column:
-        blocks = F.when(a <= b, F.sequence(a, b)).otherwise(F.array().cast("array<bigint>"))
-        return F.transform(blocks, lambda j: F.struct(F.lit(level).alias("level"), j.alias("block")))
+        return F.struct(F.lit(level).alias("level"), a.alias("_a"), b.alias("_b"))
 
     runs = []
     for k, (first, last) in enumerate(covered):
@@ -93,7 +99,19 @@ def query_pieces(queries: DataFrame, levels: int, qid: str = "query_id", lo: str
         none = up_first > up_last
         runs.append(run(k, first, F.when(none, last).otherwise(up_first * RADIX - 1)))
         runs.append(run(k, F.when(none, last + 1).otherwise((up_last + 1) * RADIX), last))
-    return base.select("query_id", F.inline(F.concat(*runs)))
+    cells = base.select("query_id", F.inline(F.array(*runs))).where("_a <= _b")
+    block, start = F.col("block"), F.col("block") * RADIX
+    return (cells.select("*", F.explode(F.sequence(_down(F.col("_a"), 1), _down(F.col("_b"), 1))).alias("block"))
+            .select("query_id", "level", block,
+                    (F.greatest("_a", start) - start).cast("int").alias("first"),
+                    (F.least("_b", start + (RADIX - 1)) - start).cast("int").alias("last")))
+
+
+def _piece_min() -> Column:
+    """Minimum of the cells ``first``..``last`` of a block; NULL if none has a value."""
+    skipped = F.expr("bit_count(present & (shiftleft(1, first) - 1))")
+    upto = F.expr("bit_count(present & (shiftleft(1, last + 1) - 1))")
+    return F.array_min(F.slice("minima", skipped + 1, upto - skipped))
 
 
 def range_min(positions: DataFrame, queries: DataFrame, *, pos: str = "pos", value: str = "value",
@@ -106,9 +124,9 @@ def range_min(positions: DataFrame, queries: DataFrame, *, pos: str = "pos", val
     # The planner sizes the pieces by their queries and would broadcast them by that.
     found = query_pieces(queries, levels, qid, lo, hi).hint("merge").join(minima, ["level", "block"])
     kind = positions.schema[value].dataType
-    every = queries.select(F.col(qid).alias("query_id"), F.lit(None).cast(kind).alias("block_min"))
-    return (found.select("query_id", "block_min").unionByName(every)
-            .groupBy("query_id").agg(F.min("block_min").alias("min_value")))
+    every = queries.select(F.col(qid).alias("query_id"), F.lit(None).cast(kind).alias("piece_min"))
+    return (found.select("query_id", _piece_min().alias("piece_min")).unionByName(every)
+            .groupBy("query_id").agg(F.min("piece_min").alias("min_value")))
 
 
 def symbol_positions(sequence: DataFrame, pos: str = "pos", symbol: str = "symbol") -> DataFrame:

@@ -116,3 +116,14 @@ def test_range_min_symbols_broadcasts_no_pieces(spark):
         p = r.p_partkey * 4
         expected[r.p_partkey] = min((factors[k] for k in range(p, p + r.p_size * 3 + 1) if k in factors), default=None)
     assert _joined_without_broadcast(spark, "range_min_symbols") == expected
+
+
+def test_range_min_long_has_two_pieces_a_level(spark):
+    qs = table(spark, SF_SMALL, "customer").select(
+        F.col("c_custkey").alias("query_id"), (F.col("c_custkey") * 3).alias("p"),
+        (F.col("c_custkey") * 3 + F.floor(F.abs("c_acctbal")).cast("long")).alias("q"))
+    levels = ranges.max_level(qs)
+    pieces = ranges.query_pieces(qs, levels)
+    most = pieces.groupBy("query_id", "level").count().agg(F.max("count").alias("n")).first()["n"]
+    assert levels == 3 and most == 2
+    assert pieces.where(F.col("first").between(0, F.col("last")) & (F.col("last") < ranges.RADIX)).count() == pieces.count()
