@@ -63,8 +63,10 @@ def block_minima(positions: DataFrame, levels: int, pos: str = "pos",
                  value: str = "value") -> DataFrame:
     """(level, block, present, minima) for levels 0..``levels``: bit i of ``present``
     is set if the block's cell i has a value; ``minima`` has these cells' in order."""
-    cells = positions.where(F.col(pos).isNotNull()).select(
-        F.col(pos).cast("long").alias("cell"), F.col(value).alias("cell_min"))
+    # Never NULL after the filter; a key known as such gets no filter of its own at
+    # each level, so that all levels share one scan and shuffle of the positions.
+    at = F.coalesce(F.col(pos).cast("long"), F.lit(0))
+    cells = positions.where(F.col(pos).isNotNull()).select(at.alias("cell"), F.col(value).alias("cell_min"))
     out = None
     for level in range(levels + 1):
         slot = F.col("cell").bitwiseAND(RADIX - 1)

@@ -127,3 +127,11 @@ def test_range_min_long_has_two_pieces_a_level(spark):
     most = pieces.groupBy("query_id", "level").count().agg(F.max("count").alias("n")).first()["n"]
     assert levels == 3 and most == 2
     assert pieces.where(F.col("first").between(0, F.col("last")) & (F.col("last") < ranges.RADIX)).count() == pieces.count()
+
+
+def test_range_min_symbols_shuffles_its_positions_once(spark):
+    df = QUERIES["range_min_symbols"](spark, SF_SMALL)
+    df.collect()
+    final = plan_text(df).split("== Initial Plan ==")[0]
+    # One scan of the events, two of part: its ranges, and a row for each query.
+    assert final.count("ReusedExchange") == 1 and final.count("Scan parquet") == 3, final
